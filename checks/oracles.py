@@ -400,10 +400,17 @@ ORACLES["e1_daily_sales_by_chain_quarter"] = query(
     f"""SELECT sale_date, chain, COUNT(DISTINCT ticket_id) AS tickets, SUM(quantity) AS units,
                {NET} AS net_sales, {LINE} AS avg_line_value
         FROM sales JOIN stores USING (store_id) WHERE sale_date {Q4} GROUP BY sale_date, chain""")
+MONTH_NOW = f"""SELECT region, product_id, category, brand, product_name, {NET} AS net_sales, SUM(quantity) AS units,
+                COUNT(DISTINCT store_id) AS stores
+                FROM sales JOIN products USING (product_id) JOIN stores USING (store_id)
+                WHERE sale_date >= DATE '2001-07-01' GROUP BY ALL"""
 RANKED = """SELECT *, ROW_NUMBER() OVER (PARTITION BY region ORDER BY net_sales DESC, product_id) AS region_rank
             FROM ({m3}) WHERE month = DATE '2001-07-01' AND net_sales > 1000""".format(m3=M3)
 E2_COLUMNS = "region:s product_id:i category:s brand:s product_name:s net_sales:d units:i stores:i region_rank:i"
-ORACLES["e2a_regional_ranking"] = query(E2_COLUMNS, RANKED)
+ORACLES["e2a_regional_ranking"] = query(
+    E2_COLUMNS,
+    f"""SELECT *, ROW_NUMBER() OVER (PARTITION BY region ORDER BY net_sales DESC, product_id) AS region_rank
+        FROM ({MONTH_NOW}) WHERE net_sales > 1000""")
 ORACLES["e2b_regional_ranking_fast"] = query(E2_COLUMNS, f"{RANKED} QUALIFY region_rank <= 10")
 ORACLES["e3a_inventory_alerts_full"] = query(ALERT_COLUMNS, supply(LATEST.format(where=""), M5))
 ORACLES["e3b_critical_alerts"] = query(
@@ -428,6 +435,47 @@ ORACLES["r4_alerts_for_chain"] = query(
     "product_id:i store_id:i store_name:s product_name:s final_stock:i alert:s",
     f"""SELECT * FROM ({supply(M4, M5)}) WHERE alert IN ('SIN_STOCK', 'STOCK_BAJO') AND chain = 'FURNITURE'""")
 
+
+
+def status(**summaries: tuple[str, str]) -> str:
+    """Name, rows and age of summaries; each is given as (SQL, date column or '')."""
+    rows = []
+    for name, (body, column) in summaries.items():
+        newest = f"CAST(MAX({column}) AS DATE)" if column else "CAST(NULL AS DATE)"
+        rows.append(f"SELECT '{name}' AS name, COUNT(*) AS rows, {newest} AS newest_data, "
+                    f"{AS_OF} - {newest} AS days_behind FROM ({body})")
+    return query("name:s rows:i newest_data:t days_behind:i", " UNION ALL ".join(rows))
+
+
+STATUS = {
+    "daily_sales": (M1, "sale_date"),
+    "product_performance": (M2, "month"),
+    "regional_performance": (M3, "month"),
+    "store_performance": ("SELECT DISTINCT store_id FROM sales", ""),
+    "latest_inventory": (M4, "snapshot_date"),
+    "recent_sales": (M5, "last_sale_date"),
+    "inventory_alerts": (supply(M4, M5), "snapshot_date"),
+}
+
+
+def status_of(*names: str) -> str:
+    return status(**{name: STATUS[name] for name in names})
+
+
+ORACLES["m7_rebuild"] = status_of("daily_sales")
+ORACLES["m8_refresh_sales_summaries"] = status_of("daily_sales", "product_performance")
+ORACLES["m9_refresh_regional"] = status_of("regional_performance")
+ORACLES["m10_refresh_inventory"] = status_of("latest_inventory", "recent_sales", "inventory_alerts")
+ORACLES["m11_refresh_beside_readers"] = ORACLES["m1_daily_summary"]
+ORACLES["m12_refresh_status"] = status_of("store_performance")
+ORACLES["x9_summary_stats"] = status_of(*STATUS)
+ORACLES["x12_freshness"] = status_of("daily_sales", "regional_performance")
+ORACLES["v6_list_summaries"] = query(
+    "name:s version:i",
+    """SELECT name, 1 AS version FROM (VALUES ('inventory_alerts'), ('latest_inventory'), ('recent_sales')) AS x(name)""")
+ORACLES["v9_profile_files"] = query(
+    "file:s records:i", "SELECT 'lineitem.parquet' AS file, COUNT(*) AS records FROM lineitem")
+
 # Sources, sinks and keys.
 PRODUCT_FILE = "product_id:i sku:s product_name:s brand:s category:s subcategory:s list_price:d"
 STORE_FILE = ("store_id:i store_code:s store_name:s chain:s format:s region:s city:s state:s floor_area_m2:i opened_on:t")
@@ -473,6 +521,12 @@ ORACLES["s13_key_status"] = query(
     """SELECT 'products' AS table_name, MAX(product_id) + 1 AS next_id, MAX(product_id) AS max_id, true AS is_free FROM products
        UNION ALL SELECT 'stores', MAX(store_id) + 1, MAX(store_id), true FROM stores""")
 
+ORACLES["s14_analyze"] = query("store_id:i lines:i", "SELECT store_id, COUNT(*) AS lines FROM sales GROUP BY 1")
+ORACLES["x11_archive_year"] = query(
+    "place:s sale_year:i lines:i",
+    """SELECT CASE year(sale_date) WHEN 1995 THEN 'archive' ELSE 'current' END AS place, year(sale_date) AS sale_year,
+              COUNT(*) AS lines FROM sales GROUP BY ALL""")
+
 # Calendar over the years of the data, with the lines sold per day.
 CALENDAR_SALES = """SELECT c.*, coalesce(n, 0) AS lines FROM data_calendar c
                     LEFT JOIN (SELECT sale_date, COUNT(*) AS n FROM sales GROUP BY 1) ON sale_date = cal_date"""

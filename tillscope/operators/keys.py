@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 
 def assign_keys(df: DataFrame, key: str, start_after: int = 0) -> DataFrame:
-    """Unique, not consecutive keys above ``start_after``, without a shuffle."""
+    """Unique, not consecutive keys above ``start_after``, without a shuffle.
+
+    The key depends on a row's place in its partition. Call this on a table
+    scan, where that place is fixed; after a shuffle a lost task that is run
+    again could number its rows differently.
+    """
     return df.withColumn(key, F.monotonically_increasing_id() + F.lit(start_after + 1))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.operators.keys import assign_keys
@@ -23,12 +23,17 @@ class SourceFiles:
     inventory: str
 
 
-def _staged(spark: SparkSession, table: str, paths) -> tuple[DataFrame, DataFrame]:
-    """(rows that parse, rows that do not)."""
-    raw = read_csv(spark, table, paths, keep_corrupt=True)
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).withColumn("broken_rules", F.array(F.lit("PARSE")))
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return with_defaults(good, table), bad
+def _stage(table: str, paths, warehouse: Warehouse, key: str | None) -> DataFrame:
+    """Parse a table's files once, into a staging table; rows that do not parse are kept marked.
+
+    A generated key is assigned on the scan of the staging table, where the
+    order of rows is fixed, so tasks that are run again give the same keys.
+    """
+    raw = read_csv(warehouse.spark, table, paths, keep_corrupt=True)
+    name = warehouse.name(f"staging_{table}")
+    raw.write.mode("overwrite").format("parquet").saveAsTable(name)
+    staged = warehouse.spark.table(name)
+    return assign_keys(staged, key) if key else staged
 
 
 def _as_rejects(table: str, df: DataFrame) -> DataFrame:
@@ -39,10 +44,11 @@ def _as_rejects(table: str, df: DataFrame) -> DataFrame:
     )
 
 
-def load_star(spark: SparkSession, files: SourceFiles, calendar: DataFrame, warehouse: Warehouse) -> DataFrame:
+def load_star(files: SourceFiles, calendar: DataFrame, warehouse: Warehouse) -> DataFrame:
     """Read, check and store all tables; returns the rejected rows.
 
-    Dimensions are stored first, since facts are checked against them and
+    Files are parsed into staging tables, which stay until the next load, so
+    that the rejected rows can be read. Dimensions are stored first, since facts are checked against them and
     against the calendar. Rejected rows keep the ids of the rules they break.
     """
     rejected: list[DataFrame] = []
@@ -55,10 +61,11 @@ def load_star(spark: SparkSession, files: SourceFiles, calendar: DataFrame, ware
             rejected.append(_as_rejects(table, repeated))
         return good
 
-    def stage(table: str, paths) -> DataFrame:
-        rows, unparsed = _staged(spark, table, paths)
+    def stage(table: str, paths, key: str | None = None) -> DataFrame:
+        staged = _stage(table, paths, warehouse, key)
+        unparsed = staged.filter(F.col(CORRUPT).isNotNull()).withColumn("broken_rules", F.array(F.lit("PARSE")))
         rejected.append(_as_rejects(table, unparsed))
-        return rows
+        return with_defaults(staged.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), table)
 
     warehouse.write_table("calendar", calendar)
     products = admit("products", stage("products", files.products), {"DQ1": ("product_id",), "DQ2": ("sku",)})
@@ -67,11 +74,14 @@ def load_star(spark: SparkSession, files: SourceFiles, calendar: DataFrame, ware
     warehouse.write_table("stores", stores)
 
     stored = {name: warehouse.table(name) for name in ("products", "stores", "calendar")}
-    sales = admit("sales", stage("sales", list(files.sales)), {}, stored)
-    warehouse.write_sales(assign_keys(sales, "sale_id"))
+    sales = admit("sales", stage("sales", list(files.sales), "sale_id"), {}, stored)
+    warehouse.write_sales(sales)
     inventory = admit(
-        "inventory", stage("inventory", files.inventory), {"DQ4": ("product_id", "store_id", "snapshot_date")}, stored
+        "inventory",
+        stage("inventory", files.inventory, "inventory_id"),
+        {"DQ4": ("product_id", "store_id", "snapshot_date")},
+        stored,
     )
-    warehouse.write_table("inventory", assign_keys(with_inventory_value(inventory), "inventory_id"))
+    warehouse.write_table("inventory", with_inventory_value(inventory))
     warehouse.analyze()
     return reduce(DataFrame.unionByName, rejected)

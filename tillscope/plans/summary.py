@@ -218,8 +218,11 @@ class SummaryStore:
         tables = self.spark.catalog.listTables(self.database)
         return sorted(t.name for t in tables if t.tableType == "VIEW" and not t.isTemporary)
 
+    def version(self, name: str) -> int:
+        return self._versions(name)[-1]
+
     def current_table(self, name: str) -> str:
-        return f"{self.database}.{name}__v{self._versions(name)[-1]}"
+        return f"{self.database}.{name}__v{self.version(name)}"
 
     def properties(self, name: str) -> dict[str, str]:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.current_table(name)}").collect()
@@ -308,6 +311,6 @@ def summary_stats(store: SummaryStore, as_of: date, names: Iterable[str] | None
 
 
 def list_summaries(store: SummaryStore) -> DataFrame:
-    """Published summaries with the table that holds their current version."""
-    rows = [(store.database, name, store.current_table(name)) for name in store.names()]
-    return store.spark.createDataFrame(rows, "database string, name string, current_table string")
+    """Published summaries with their current version."""
+    rows = [(name, store.version(name)) for name in store.names()]
+    return store.spark.createDataFrame(rows, "name string, version int")
