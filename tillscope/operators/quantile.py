@@ -18,13 +18,15 @@ def weighted_quantile(
     First a histogram over value bands finds the one or two bands that hold
     the wanted positions; then only the distinct values of those bands are
     counted through. Positions run from 0 to total - 1, and the result is
-    interpolated between the values around ``fraction * (total - 1)``.
+    interpolated between the values around ``fraction * (total - 1)``. Keys
+    must not be NULL; groups without any value are left out. The band is never
+    NULL, which keeps both uses of the counted values one and the same shuffle.
     """
     values = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.sum(weight).alias("_w"))
-        .withColumn("_band", value_band(F.col(value), BANDS_PER_E_FOLD))
+        .withColumn("_band", F.coalesce(value_band(F.col(value), BANDS_PER_E_FOLD), F.lit(0)))
     )
     group = Window.partitionBy(*keys)
     before_band = group.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)

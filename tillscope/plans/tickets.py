@@ -79,17 +79,16 @@ def monthly_ticket_by_region(
     days = calendar_days(star.calendar, start, end)
     lines = with_day(_ticket_lines(star, start, end), days, "year", "month", "month_name")
     lines = with_store(lines, star.stores, "region")
-    tickets = (
-        _per_ticket(lines, *keys)
-        .join(_whole_tickets(star, start, end, across_dates), "ticket_id")
-        .withColumn("weight", F.lit(1) if per_ticket else F.col("lines"))
+    tickets = _per_ticket(lines, *keys)
+    valued = tickets.join(_whole_tickets(star, start, end, across_dates), "ticket_id").withColumn(
+        "weight", F.lit(1) if per_ticket else F.col("lines")
     )
     totals = tickets.groupBy(*keys).agg(
         F.count("*").alias("tickets"),
         net_sales().alias("net_sales"),
         ratio(net_sales(), F.count("*")).alias("net_per_ticket"),
     )
-    medians = weighted_quantile(tickets, keys, "ticket_net_x100", "weight", "median_x100")
+    medians = weighted_quantile(valued, keys, "ticket_net_x100", "weight", "median_x100")
     return (
         totals.join(medians, keys, "left")
         .withColumn("median_ticket", F.col("median_x100") / F.lit(100.0))
