@@ -449,6 +449,7 @@ def status(**summaries: tuple[str, str]) -> str:
 
 STATUS = {
     "daily_sales": (M1, "sale_date"),
+    "product_months": (M2, "month"),
     "product_performance": (M2, "month"),
     "regional_performance": (M3, "month"),
     "store_performance": ("SELECT DISTINCT store_id FROM sales", ""),
@@ -463,7 +464,7 @@ def status_of(*names: str) -> str:
 
 
 ORACLES["m7_rebuild"] = status_of("daily_sales")
-ORACLES["m8_refresh_sales_summaries"] = status_of("daily_sales", "product_performance")
+ORACLES["m8_refresh_sales_summaries"] = status_of("daily_sales", "product_months", "product_performance")
 ORACLES["m9_refresh_regional"] = status_of("regional_performance")
 ORACLES["m10_refresh_inventory"] = status_of("latest_inventory", "recent_sales", "inventory_alerts")
 ORACLES["m11_refresh_beside_readers"] = ORACLES["m1_daily_summary"]

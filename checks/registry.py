@@ -340,7 +340,7 @@ QUERIES: dict[str, Query] = {
     "m5_recent_sales": on_star(m5),
     "m6_inventory_alerts": on_star(m6),
     "m7_rebuild": refreshed("daily_sales", twice=True),
-    "m8_refresh_sales_summaries": refreshed("daily_sales", "product_performance"),
+    "m8_refresh_sales_summaries": refreshed("daily_sales", "product_months", "product_performance"),
     "m9_refresh_regional": refreshed("regional_performance"),
     "m10_refresh_inventory": refreshed(*summary.group_names("inventory")),
     "m11_refresh_beside_readers": old_reader,

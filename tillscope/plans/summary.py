@@ -49,8 +49,8 @@ def build_daily_summary(star: Star, by_category: bool = False) -> DataFrame:
     )
 
 
-def build_product_performance(star: Star, velocity: bool = False) -> DataFrame:
-    """Monthly units and net sales per product, ranked in its category.
+def build_product_months(star: Star, velocity: bool = False) -> DataFrame:
+    """Monthly units and net sales per product.
 
     ``velocity`` adds the sale days of the month and the units per sale day.
     """
@@ -65,14 +65,27 @@ def build_product_performance(star: Star, velocity: bool = False) -> DataFrame:
     )
     if velocity:
         monthly = monthly.withColumn("units_per_sale_day", ratio("units", "sale_days"))
-    named = with_product(monthly, star.products, "product_name", "category", "brand")
-    ranked = rank_descending(named, ["category", "month"], "net_sales", "category_month_rank")
     more = ["sale_days", "units_per_sale_day"] if velocity else []
-    return ranked.select(
-        "month", "product_id", "product_name", "category", "brand", "units", "net_sales", *more, "category_month_rank"
+    return with_product(monthly, star.products, "product_name", "category", "brand").select(
+        "month", "product_id", "product_name", "category", "brand", "units", "net_sales", *more
     )
 
 
+def rank_product_months(months: DataFrame) -> DataFrame:
+    """Rank of each product in its category and month.
+
+    The ranking reads its input twice (band sizes, then rows), so a refresh
+    gives it the stored product months instead of the sale lines.
+    """
+    ranked = rank_descending(months, ["category", "month"], "net_sales", "category_month_rank")
+    return ranked.select(*months.columns, "category_month_rank")
+
+
+def build_product_performance(star: Star, velocity: bool = False) -> DataFrame:
+    """Product months with their rank, straight from the star."""
+    return rank_product_months(build_product_months(star, velocity))
+
+
 def build_regional_performance(star: Star, as_of: date, months: int = 6) -> DataFrame:
     """Net sales, units, stores and tickets per region, product and month."""
     lines = with_net(sold_between(star.sales, months_before(as_of, months)))
@@ -237,12 +250,20 @@ class Summary:
     group: str
     freshness: str | None = None
     partition_by: tuple[str, ...] = ()
+    needs: tuple[str, ...] = ()
 
 
-# In dependency order: the alert summary reads the two before it.
+# In dependency order: the ranked products read the product months, the alerts the
+# two inventory summaries before them.
 SUMMARIES = {
     "daily_sales": Summary(lambda s, _, d: build_daily_summary(s), "sales", "sale_date", ("year",)),
-    "product_performance": Summary(lambda s, _, d: build_product_performance(s), "sales", "month"),
+    "product_months": Summary(lambda s, _, d: build_product_months(s), "sales", "month"),
+    "product_performance": Summary(
+        lambda s, store, d: rank_product_months(store.read("product_months")),
+        "sales",
+        "month",
+        needs=("product_months",),
+    ),
     "regional_performance": Summary(lambda s, _, d: build_regional_performance(s, d), "regional", "month"),
     "store_performance": Summary(lambda s, _, d: build_store_performance(s), "sales"),
     "latest_inventory": Summary(lambda s, _, d: build_latest_inventory(s, d), "inventory", "snapshot_date"),
@@ -251,6 +272,7 @@ SUMMARIES = {
         lambda s, store, d: build_inventory_alerts(s, store.read("latest_inventory"), store.read("recent_sales")),
         "inventory",
         "snapshot_date",
+        needs=("latest_inventory", "recent_sales"),
     ),
 }
 
@@ -271,6 +293,10 @@ def refresh(
     unknown = wanted - set(summaries)
     if unknown:
         raise ValueError(f"unknown summaries: {sorted(unknown)}")
+    published = set(store.names())
+    missing = {need for name in wanted for need in summaries[name].needs} - wanted - published
+    if missing:
+        raise ValueError(f"summaries not published yet: {sorted(missing)}")
     done = [name for name in summaries if name in wanted]
     for name in done:
         summary = summaries[name]
