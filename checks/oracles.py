@@ -686,3 +686,51 @@ RULE_IDS = [f"DQ{number}" for number in range(1, 23)]
 for rule_id in RULE_IDS:
     ORACLES[f"{rule_id.lower()}_rule"] = quality_query([rule_id])
 ORACLES["dq_all_rules"] = quality_query(RULE_IDS)
+
+
+def _flags(table: str, targets: dict[str, str]) -> str:
+    """Boolean column per rule id: row rules of the file's columns, then references."""
+    broken: dict[str, list[str]] = {}
+    for r in ROW_RULES:
+        # A file has no tax column; the default passes.
+        if r.table == table and "tax_pct" not in r.condition and "postal_code" not in r.condition:
+            broken.setdefault(r.rule_id, []).append(f"coalesce(NOT ({r.condition}), false)")
+    for r in REFERENCE_RULES:
+        if r.table == table and r.target in targets:
+            broken.setdefault(r.rule_id, []).append(
+                f"({r.column} IS NOT NULL AND {r.column} NOT IN (SELECT {r.target_column} FROM {targets[r.target]}))")
+    return ", ".join(f"({' OR '.join(tests)}) AS {rule_id}" for rule_id, tests in broken.items())
+
+
+def _loaded(table: str, keys: dict[str, tuple[str, ...]], targets: dict[str, str]) -> tuple[str, list[str]]:
+    """CTEs ending in ``stored_<table>``, and the selects that count rejected rows per rule."""
+    flags = _flags(table, targets)
+    ids = [part.rsplit(" AS ", 1)[1] for part in flags.split(", ") if " AS DQ" in part]
+    ctes = [f"flagged_{table} AS (SELECT *, {flags} FROM spoiled_{table})",
+            f"good_{table}_0 AS (SELECT * FROM flagged_{table} WHERE NOT ({' OR '.join(ids)}))"]
+    counts = [f"SELECT '{table}' AS table_name, '{i}' AS rule_id, COUNT(*) AS rejected_rows FROM flagged_{table} WHERE {i}"
+              for i in ids]
+    for step, (rule_id, key) in enumerate(keys.items()):
+        columns = ", ".join(key)
+        ctes.append(f"counted_{table}_{step} AS (SELECT *, COUNT(*) OVER (PARTITION BY {columns}) AS n_{step} "
+                    f"FROM good_{table}_{step})")
+        ctes.append(f"good_{table}_{step + 1} AS (SELECT * FROM counted_{table}_{step} WHERE n_{step} = 1)")
+        counts.append(f"SELECT '{table}', '{rule_id}', COUNT(*) FROM counted_{table}_{step} WHERE n_{step} > 1")
+    ctes.append(f"stored_{table} AS (SELECT * FROM good_{table}_{len(keys)})")
+    return ", ".join(ctes), counts
+
+
+def load_query() -> str:
+    stored = {"products": "stored_products", "stores": "stored_stores", "calendar": "calendar"}
+    steps = [
+        _loaded("products", {"DQ1": ("product_id",), "DQ2": ("sku",)}, {}),
+        _loaded("stores", {"DQ1": ("store_id",), "DQ3": ("store_code",)}, {}),
+        _loaded("sales", {}, stored),
+        _loaded("inventory", {"DQ4": ("product_id", "store_id", "snapshot_date")}, stored),
+    ]
+    counts = " UNION ALL ".join(c for _, selects in steps for c in selects)
+    return query("table_name:s rule_id:s rejected_rows:i", f"SELECT * FROM ({counts}) WHERE rejected_rows > 0",
+                 ", ".join([SPOILED_STAR, *(ctes for ctes, _ in steps)]))
+
+
+ORACLES["x10_load_pipeline"] = load_query()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,9 +23,10 @@ class HolidayRule:
     last_day: int
     iso_weekday: int | None = None
 
-    def matches(self) -> Column:
-        hit = (F.col("month") == self.month) & F.col("day").between(self.first_day, self.last_day)
-        return hit if self.iso_weekday is None else hit & (F.col("iso_weekday") == self.iso_weekday)
+    def matches(self) -> str:
+        """SQL condition on calendar columns."""
+        hit = f"month = {self.month} AND day BETWEEN {self.first_day} AND {self.last_day}"
+        return hit if self.iso_weekday is None else f"{hit} AND iso_weekday = {self.iso_weekday}"
 
 
 # The holidays of the data model.
@@ -57,32 +58,29 @@ def add_date_parts(days: DataFrame, padded: bool = True) -> DataFrame:
     days of January may carry week 52 or 53. Names are blank-padded unless
     ``padded`` is off.
     """
-    day = F.col("cal_date")
-
-    def name(pattern: str) -> Column:
-        text = F.date_format(day, pattern)
-        return F.rpad(text, NAME_WIDTH, " ") if padded else text
-
-    return days.select(
-        day,
-        F.dayofmonth(day).alias("day"),
-        (F.weekday(day) + 1).alias("iso_weekday"),
-        name("EEEE").alias("day_name"),
-        F.weekofyear(day).alias("iso_week"),
-        F.month(day).alias("month"),
-        name("MMMM").alias("month_name"),
-        F.quarter(day).alias("quarter"),
-        F.year(day).alias("year"),
-        (F.weekday(day) >= 5).alias("is_weekend"),
-        F.concat(F.lit("Q"), F.quarter(day), F.lit("-"), F.year(day)).alias("fiscal_period"),
+    def name(pattern: str) -> str:
+        text = f"date_format(cal_date, '{pattern}')"
+        return f"rpad({text}, {NAME_WIDTH}, ' ')" if padded else text
+
+    return days.selectExpr(
+        "cal_date",
+        "dayofmonth(cal_date) AS day",
+        "weekday(cal_date) + 1 AS iso_weekday",
+        f"{name('EEEE')} AS day_name",
+        "weekofyear(cal_date) AS iso_week",
+        "month(cal_date) AS month",
+        f"{name('MMMM')} AS month_name",
+        "quarter(cal_date) AS quarter",
+        "year(cal_date) AS year",
+        "weekday(cal_date) >= 5 AS is_weekend",
+        "concat('Q', quarter(cal_date), '-', year(cal_date)) AS fiscal_period",
     )
 
 
 def add_holidays(days: DataFrame, rules: tuple[HolidayRule, ...] = HOLIDAYS) -> DataFrame:
     """Mark holidays. The first matching rule names the day."""
-    name: Column = F.lit(None).cast("string")
-    for rule in reversed(rules):
-        name = F.when(rule.matches(), F.lit(rule.name)).otherwise(name)
+    cases = " ".join("WHEN {} THEN '{}'".format(r.matches(), r.name.replace("'", "\\'")) for r in rules)
+    name = F.expr(f"CASE {cases} END") if rules else F.lit(None).cast("string")
     return days.withColumn("holiday_name", name).withColumn("is_holiday", F.col("holiday_name").isNotNull())
 
 

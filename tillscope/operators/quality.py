@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.operators.joins import small
-from tillscope.star import Star
+from tillscope.star import TABLE_NAMES, Star
 
 
 @dataclass(frozen=True)
@@ -171,22 +171,21 @@ def check(star: Star, rule_ids: set[str] | None = None) -> DataFrame:
     def chosen(rule_id: str) -> bool:
         return rule_ids is None or rule_id in rule_ids
 
-    tables = star.tables()
     findings = []
-    for table, df in tables.items():
+    for table in TABLE_NAMES:
         rules = [r for r in ROW_RULES if r.table == table and chosen(r.rule_id)]
         if rules:
-            findings.append(check_rows(df, rules))
+            findings.append(check_rows(star.table(table), rules))
     findings += [
-        check_key(tables[r.table], r)
+        check_key(star.table(r.table), r)
         for r in KEY_RULES
-        if chosen(r.rule_id) and set(r.columns) <= set(tables[r.table].columns)
+        if chosen(r.rule_id) and set(r.columns) <= set(star.table(r.table).columns)
     ]
     findings += [
-        check_reference(tables[r.table], tables[r.target], r) for r in REFERENCE_RULES if chosen(r.rule_id)
+        check_reference(star.table(r.table), star.table(r.target), r) for r in REFERENCE_RULES if chosen(r.rule_id)
     ]
     if chosen("DQ22"):
-        findings += [check_date_range(tables[t], star.calendar, t) for t in DATE_COLUMNS]
+        findings += [check_date_range(star.table(t), star.calendar, t) for t in DATE_COLUMNS]
     return reduce(DataFrame.unionByName, findings)
 
 

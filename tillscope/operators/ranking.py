@@ -2,9 +2,9 @@
 
 A window over a group sends the whole group to one task. Here a group is first
 cut into value bands by a fixed function of the value, so that equal values
-fall into one band and bands are ordered like the values. Rows are ranked
-inside their band and shifted by the number of rows in the bands before it.
-The band of a row depends on the row alone, so re-run tasks agree with it.
+fall into one band and bands are ordered like the values. Positions are counted
+inside a band and shifted by the number of rows in the bands before it. The
+band depends on the value alone, so tasks that are run again agree with it.
 """
 
 from __future__ import annotations
@@ -23,32 +23,48 @@ def value_band(value: Column, per_e_fold: int = BANDS_PER_E_FOLD) -> Column:
     return F.when(number < 0, -size - 1).otherwise(size).cast("int")
 
 
-def _banded(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    band = F.coalesce(value_band(F.col(value)), F.lit(MISSING_BAND))
-    rows = df.withColumn("_band", band)
-    sizes = rows.groupBy(*keys, "_band").agg(F.count("*").alias("_band_rows"))
+def _with_band(df: DataFrame, value: str) -> DataFrame:
+    return df.withColumn("_band", F.coalesce(value_band(F.col(value)), F.lit(MISSING_BAND)))
+
+
+def _rows_above(banded: DataFrame, keys: list[str], rows: Column) -> DataFrame:
+    """Per group and band: the number of rows in higher bands."""
     above = Window.partitionBy(*keys).orderBy(F.desc("_band")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
+    sizes = banded.groupBy(*keys, "_band").agg(rows.alias("_band_rows"))
+    return sizes.select(
         *keys, "_band", F.coalesce(F.sum("_band_rows").over(above), F.lit(0)).alias("_rows_above")
     )
-    return rows.join(offsets, [*keys, "_band"])
 
 
 def rank_descending(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """``rank()`` by falling ``value`` within ``keys``; keys must not be NULL."""
-    inside = Window.partitionBy(*keys, "_band").orderBy(F.desc_nulls_first(value))
-    return (
-        _banded(df, keys, value)
-        .withColumn(name, F.col("_rows_above") + F.rank().over(inside))
-        .drop("_band", "_rows_above")
+    """``rank()`` by falling ``value`` within ``keys``; keys must not be NULL.
+
+    Distinct values are counted and ranked, and rows take the rank of their
+    value, so even a value that most rows share is no burden on one task.
+    """
+    counts = _with_band(df.groupBy(*keys, value).agg(F.count("*").alias("_n")), value)
+    greater = (
+        Window.partitionBy(*keys, "_band")
+        .orderBy(F.desc_nulls_first(value))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ranks = counts.join(_rows_above(counts, keys, F.sum("_n")), [*keys, "_band"]).select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col(value).alias("_value"),
+        (F.col("_rows_above") + F.coalesce(F.sum("_n").over(greater), F.lit(0)) + 1).alias(name),
     )
+    same = F.col(value).eqNullSafe(F.col("_value"))
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"_key_{key}"))
+    return df.join(ranks, same).drop("_value", *[f"_key_{k}" for k in keys])
 
 
 def number_descending(df: DataFrame, keys: list[str], value: str, tiebreak: list[str], name: str) -> DataFrame:
     """``row_number()`` by falling ``value``, then ``tiebreak``, within ``keys`` (not NULL)."""
+    rows = _with_band(df, value)
     inside = Window.partitionBy(*keys, "_band").orderBy(F.desc_nulls_first(value), *tiebreak)
     return (
-        _banded(df, keys, value)
+        rows.join(_rows_above(rows, keys, F.count("*")), [*keys, "_band"])
         .withColumn(name, F.col("_rows_above") + F.row_number().over(inside))
         .drop("_band", "_rows_above")
     )

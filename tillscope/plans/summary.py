@@ -264,7 +264,7 @@ SUMMARIES = {
         "month",
         needs=("product_months",),
     ),
-    "regional_performance": Summary(lambda s, _, d: build_regional_performance(s, d), "regional", "month"),
+    "regional_performance": Summary(lambda s, _, d: build_regional_performance(s, d), "regional", "month", ("month",)),
     "store_performance": Summary(lambda s, _, d: build_store_performance(s), "sales"),
     "latest_inventory": Summary(lambda s, _, d: build_latest_inventory(s, d), "inventory", "snapshot_date"),
     "recent_sales": Summary(lambda s, _, d: build_recent_sales(s, d), "inventory", "last_sale_date"),
@@ -300,10 +300,10 @@ def refresh(
     done = [name for name in summaries if name in wanted]
     for name in done:
         summary = summaries[name]
-        # A clustered layout keeps one task from writing to every partition.
         df = summary.build(star, store, as_of)
         if summary.partition_by:
-            df = df.repartitionByRange(*summary.partition_by, *([summary.freshness] if summary.freshness else []))
+            # Gathered by partition, so that not every task writes to each of them.
+            df = df.hint("rebalance", *summary.partition_by)
         store.publish(name, df, as_of, summary.freshness, summary.partition_by)
     return summary_stats(store, as_of, done)
 

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from tillscope.sources.schema import CSV_HEADERS, DEFAULTS, STOCK_VALUE, TABLES
 
 CORRUPT = "corrupt_record"
+# What an unquoted empty field is read as before it becomes NULL. It differs
+# from "", so that a quoted empty field stays an empty string.
+NULL_MARK = "\u0000"
 
 
 def file_schema(table: str) -> T.StructType:
@@ -24,13 +27,16 @@ def read_csv(
 ) -> DataFrame:
     """Read a table's files with its fixed schema, renamed to our columns.
 
-    The header is checked against the schema. A row that does not parse stops
+    The header is checked against the schema. An empty field is NULL, a quoted
+    one an empty string. A row that does not parse stops
     the read, or with ``keep_corrupt`` is kept with its text in
     ``corrupt_record``. Files are split between tasks unless ``multi_line``
     allows line breaks inside quotes.
     """
     schema = file_schema(table)
-    reader = spark.read.options(header=True, encoding="UTF-8", escape='"', enforceSchema=False, multiLine=multi_line)
+    reader = spark.read.options(
+        header=True, encoding="UTF-8", escape='"', nullValue=NULL_MARK, enforceSchema=False, multiLine=multi_line
+    )
     if keep_corrupt:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
@@ -58,9 +64,12 @@ def read_inventory(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def write_csv(df: DataFrame, table: str, path: str) -> None:
-    """Write a table's exchange columns under their file headers."""
+    """Write a table's exchange columns under their file headers, blanks kept."""
     columns = [F.col(col).alias(head) for head, col in CSV_HEADERS[table].items()]
-    df.select(*columns).write.mode("overwrite").options(header=True, encoding="UTF-8", escape='"').csv(path)
+    writer = df.select(*columns).write.mode("overwrite").options(
+        header=True, encoding="UTF-8", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    writer.csv(path)
 
 
 def with_defaults(df: DataFrame, table: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,4 +116,4 @@ class Warehouse:
         return self.spark.table(self.name(table))
 
     def star(self) -> Star:
-        return Star(**{table: self.table(table) for table in TABLES})
+        return Star(**{table: partial(self.table, table) for table in TABLES})

@@ -2,31 +2,52 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+TABLE_NAMES = ("products", "stores", "calendar", "sales", "inventory")
+
 
-@dataclass(frozen=True)
 class Star:
     """The five tables every plan reads, as lazy DataFrames.
 
     Column names and types are those of ``tillscope.sources.schema``. Where the
     DataFrames come from (a loaded warehouse, a staging area, other tables) is
-    of no concern to the plans.
+    of no concern to the plans. A table may be given as a function, which is
+    called when a plan first asks for it.
     """
 
-    products: DataFrame
-    stores: DataFrame
-    calendar: DataFrame
-    sales: DataFrame
-    inventory: DataFrame
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        if set(tables) != set(TABLE_NAMES):
+            raise ValueError(f"a star has the tables {TABLE_NAMES}, got {sorted(tables)}")
+        self._tables = dict(tables)
+
+    def table(self, name: str) -> DataFrame:
+        given = self._tables[name]
+        if not isinstance(given, DataFrame):
+            given = self._tables[name] = given()
+        return given
+
+    @property
+    def products(self) -> DataFrame:
+        return self.table("products")
+
+    @property
+    def stores(self) -> DataFrame:
+        return self.table("stores")
+
+    @property
+    def calendar(self) -> DataFrame:
+        return self.table("calendar")
+
+    @property
+    def sales(self) -> DataFrame:
+        return self.table("sales")
+
+    @property
+    def inventory(self) -> DataFrame:
+        return self.table("inventory")
 
     def tables(self) -> dict[str, DataFrame]:
-        return {
-            "products": self.products,
-            "stores": self.stores,
-            "calendar": self.calendar,
-            "sales": self.sales,
-            "inventory": self.inventory,
-        }
+        return {name: self.table(name) for name in TABLE_NAMES}

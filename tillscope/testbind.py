@@ -7,6 +7,7 @@ engine can repeat it. Only tests, checks and the bench use this module.
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,22 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 FORMATS = ("Super", "Express", "Hiper", "Convenience")
 
 
+# Stated so that opening a table starts no job.
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
+
+
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return spark.read.schema(SOURCE_SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
 
 def _choose(number: Column, values: tuple[str, ...]) -> Column:
@@ -136,14 +151,14 @@ def inventory(spark: SparkSession, folder: str, sale_lines: DataFrame) -> DataFr
 
 
 def star(spark: SparkSession, folder: str) -> Star:
-    sale_lines = sales(spark, folder)
-    return Star(
-        products=products(spark, folder),
-        stores=stores(spark, folder),
-        calendar=calendar(spark, FIRST_DAY, LAST_DAY),
-        sales=sale_lines,
-        inventory=inventory(spark, folder, sale_lines),
+    bound = Star(
+        products=lambda: products(spark, folder),
+        stores=lambda: stores(spark, folder),
+        calendar=lambda: calendar(spark, FIRST_DAY, LAST_DAY),
+        sales=lambda: sales(spark, folder),
+        inventory=lambda: inventory(spark, folder, bound.sales),
     )
+    return bound
 
 
 def _spoil(df: DataFrame, column: str, divisor: int, remainder: int, key: str, value: str) -> DataFrame:
@@ -200,11 +215,13 @@ REPEATED = {"products": 23, "stores": 13, "sales": 157, "inventory": 139}
 def spoiled_star(spark: SparkSession, folder: str) -> Star:
     """The star with known faults in it, to give the quality rules something to find."""
     clean = star(spark, folder)
-    tables = {"calendar": clean.calendar}
-    for table, (key, faults) in SPOILED.items():
-        df = clean.tables()[table].withColumn(key, F.col(KEYS[table]))
+
+    def spoiled(table: str) -> DataFrame:
+        key, faults = SPOILED[table]
+        df = clean.table(table).withColumn(key, F.col(KEYS[table]))
         for column, divisor, remainder, value in faults:
             df = _spoil(df, column, divisor, remainder, key, value)
         copies = F.when(F.col(key) % REPEATED[table] == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        tables[table] = df.withColumn("_copy", F.explode(copies)).drop(key, "_copy")
-    return Star(**tables)
+        return df.withColumn("_copy", F.explode(copies)).drop(key, "_copy")
+
+    return Star(calendar=lambda: clean.calendar, **{t: partial(spoiled, t) for t in SPOILED})
