@@ -237,3 +237,36 @@ def test_store_mix_and_position(spark):
     s = star(spark, lines, stores=shops)
     assert dict(rows(summary.build_store_performance(s), "store_id", "share_online_pct")) == {1: 75.0, 2: 0.0}
     assert dict(rows(metrics.store_vs_chain(s, *YEAR), "store_id", "position")) == {1: "above", 2: "below"}
+
+
+def test_hot_ticket_forms_no_product_pairs(spark):
+    """A ticket with 1500 products in each of two categories: 2.25 million pairs, counted not built."""
+    n = 1500
+    goods = [{"product_id": i, "sku": str(i), "product_name": f"p{i}", "category": "A" if i < n else "B"}
+             for i in range(2 * n)]
+    s = star(spark, [{"product_id": i, "unit_price": 1 if i < n else 3} for i in range(2 * n)], products=goods)
+    got = advanced.category_affinity(s, *YEAR)
+    assert rows(got, "co_occurrences", "avg_joint_value") == [(n * n, 4.0)]
+
+
+def test_one_product_store_and_day_may_hold_most_lines(spark):
+    """Figures of a skewed star against plain Python."""
+    lines = [{"product_id": 1 if i % 3 else i % 7 + 2, "store_id": 1 if i % 3 else i % 4 + 1, "quantity": i % 5 + 1,
+              "ticket_id": None if i % 3 == 1 else f"t{i % 50}", "sale_date": D("2024-06-05") if i % 3 else D("2024-06-06")}
+             for i in range(3000)]
+    shops = [{"store_id": i, "store_code": str(i), "chain": "ab"[i % 2]} for i in range(1, 5)]
+    goods = [{"product_id": i, "sku": str(i), "product_name": f"p{i}"} for i in range(1, 9)]
+    s = star(spark, lines, stores=shops, products=goods)
+    want = {}
+    for line in lines:
+        key = (line["sale_date"], "ab"[line["store_id"] % 2])
+        tickets_, units = want.setdefault(key, (set(), [0]))
+        units[0] += line["quantity"]
+        if line["ticket_id"]:
+            tickets_.add(line["ticket_id"])
+    got = sales.daily_sales_by_chain(s, *YEAR).collect()
+    assert {(r["sale_date"], r["chain"]): (r["tickets"], r["units"]) for r in got} == {
+        k: (len(t), u[0]) for k, (t, u) in want.items()}
+    numbered = rows(products.regional_ranking(s, D("2024-06-30"), min_net=0), "product_id", "region_rank")
+    units = {p: sum(x["quantity"] for x in lines if x["product_id"] == p) for p in range(1, 9)}
+    assert numbered == [(p, i + 1) for i, p in enumerate(sorted(units, key=lambda p: (-units[p], p))) if units[p]]

@@ -44,8 +44,13 @@ class Warehouse:
         return f"{self.database}.{table}"
 
     def write_table(self, table: str, df: DataFrame, mode: str = "overwrite") -> None:
-        """Store a table that is not partitioned (dimensions, inventory)."""
-        with_comments(df, table).write.mode(mode).format("parquet").saveAsTable(self.name(table))
+        """Store a table that is not partitioned (dimensions, inventory).
+
+        Snapshots are sorted by date inside each file, so page statistics
+        prune date ranges.
+        """
+        rows = df.sortWithinPartitions("snapshot_date") if table == "inventory" else df
+        with_comments(rows, table).write.mode(mode).format("parquet").saveAsTable(self.name(table))
         self._describe(table)
 
     def write_sales(self, df: DataFrame, mode: str = "overwrite") -> None:
