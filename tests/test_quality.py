@@ -107,9 +107,21 @@ def test_validation_counts(spark):
 
 def test_row_rules_of_a_table_are_one_aggregate(spark):
     s = star(spark, [{}])
-    rules = [r for r in quality.ROW_RULES if r.table == "sales"]
-    checked = quality.check_rows(s.sales, rules)
+    (checked,) = quality.check_table(s, "sales", lambda rule_id: rule_id not in ("DQ19", "DQ20", "DQ22"))
     plan = checked._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
-    assert checked.count() == len(rules)
+    assert checked.count() == len([r for r in quality.ROW_RULES if r.table == "sales"])
     assert checked.agg(F.sum("violations")).first()[0] == 0
+
+
+def test_references_to_large_tables_give_the_same_counts(spark):
+    s = star(spark, [{}, {"product_id": 8}, {"store_id": 9}, {"store_id": None, "sale_date": D("2030-01-01")}], [{}])
+    together = findings(s, "DQ19", "DQ20")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert len(quality.check_table(s, "sales", lambda rule_id: rule_id == "DQ19")) == 2
+        assert findings(s, "DQ19", "DQ20") == together
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ("DQ20", "sales", 1) in together

@@ -24,15 +24,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast if the estimate is within the session's threshold.
+def is_small(df: DataFrame) -> bool:
+    """Whether the estimate is within the session's broadcast threshold.
 
     The estimate comes from file sizes and only grows through joins, so it is
-    an upper bound in practice. Above the threshold the frame is returned
-    unhinted and Spark joins by shuffle (with adaptive skew handling).
+    an upper bound in practice.
     """
     size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= broadcast_limit(df) else df
+    return size is not None and size <= broadcast_limit(df)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast if ``df`` is small; otherwise Spark joins by shuffle,
+    with adaptive skew handling."""
+    return F.broadcast(df) if is_small(df) else df
 
 
 def with_store(facts: DataFrame, stores: DataFrame, *columns: str) -> DataFrame:

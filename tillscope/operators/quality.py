@@ -6,13 +6,14 @@ false, a NULL passes. All row rules of a table are counted in one pass.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.operators.joins import small
+from tillscope.operators.joins import is_small, small
 from tillscope.star import TABLE_NAMES, Star
 
 
@@ -130,10 +131,20 @@ def _finding(rule_id: str, table: str, name: str, count: Column) -> Column:
     )
 
 
-def check_rows(df: DataFrame, rules: list[RowRule]) -> DataFrame:
-    """Violations of every rule, counted in one aggregate over the table."""
-    counts = df.agg(*[F.count_if(rule.broken()).alias(f"r{i}") for i, rule in enumerate(rules)])
-    findings = [_finding(r.rule_id, r.table, r.name, F.col(f"r{i}")) for i, r in enumerate(rules)]
+@dataclass(frozen=True)
+class Probe:
+    """A condition counted per row, under the rule it reports to."""
+
+    rule_id: str
+    table: str
+    name: str
+    broken: Column
+
+
+def check_rows(df: DataFrame, probes: list[Probe]) -> DataFrame:
+    """Violations of every probe, counted in one aggregate over the table."""
+    counts = df.agg(*[F.count_if(probe.broken).alias(f"r{i}") for i, probe in enumerate(probes)])
+    findings = [_finding(p.rule_id, p.table, p.name, F.col(f"r{i}")) for i, p in enumerate(probes)]
     return counts.select(F.inline(F.array(*findings)))
 
 
@@ -156,36 +167,55 @@ def check_reference(df: DataFrame, target: DataFrame, rule: ReferenceRule) -> Da
     return broken.select(F.inline(F.array(_finding(rule.rule_id, rule.table, rule.name, F.col("broken")))))
 
 
-def check_date_range(df: DataFrame, calendar: DataFrame, table: str) -> DataFrame:
+def date_range_probe(table: str, calendar: DataFrame) -> Probe:
     """Dates before the first or after the last calendar day."""
     column = DATE_COLUMNS[table]
     first = calendar.agg(F.min("cal_date")).scalar()
     last = calendar.agg(F.max("cal_date")).scalar()
-    broken = df.agg(F.count_if((F.col(column) < first) | (F.col(column) > last)).alias("broken"))
-    return broken.select(F.inline(F.array(_finding("DQ22", table, f"{column} inside the calendar", F.col("broken")))))
+    outside = (F.col(column) < first) | (F.col(column) > last)
+    return Probe("DQ22", table, f"{column} inside the calendar", outside)
+
+
+def check_table(star: Star, table: str, chosen: Callable[[str], bool]) -> list[DataFrame]:
+    """Findings of one table.
+
+    Row rules, the date range and references to small tables share one pass.
+    A reference to a large table is checked on the table's distinct keys.
+    """
+    df, findings = star.table(table), []
+    probes = [Probe(r.rule_id, table, r.name, r.broken()) for r in ROW_RULES if r.table == table and chosen(r.rule_id)]
+    if table in DATE_COLUMNS and chosen("DQ22"):
+        probes.append(date_range_probe(table, star.calendar))
+    for i, rule in enumerate(r for r in REFERENCE_RULES if r.table == table and chosen(r.rule_id)):
+        target = star.table(rule.target)
+        known = target.select(F.col(rule.target_column).alias(rule.column)).distinct()
+        if is_small(known):
+            found = f"_found_{i}"
+            df = df.join(F.broadcast(known.withColumn(found, F.lit(True))), rule.column, "left")
+            missing = F.col(found).isNull() & F.col(rule.column).isNotNull()
+            probes.append(Probe(rule.rule_id, table, rule.name, missing))
+        else:
+            findings.append(check_reference(star.table(table), target, rule))
+    if probes:
+        findings.append(check_rows(df, probes))
+    return findings
 
 
 def check(star: Star, rule_ids: set[str] | None = None) -> DataFrame:
-    """Findings of the chosen rules (all by default) over the whole star."""
+    """Findings of the chosen rules (all by default) over the whole star.
+
+    A key rule is left out where its table lacks the generated key.
+    """
 
     def chosen(rule_id: str) -> bool:
         return rule_ids is None or rule_id in rule_ids
 
-    findings = []
-    for table in TABLE_NAMES:
-        rules = [r for r in ROW_RULES if r.table == table and chosen(r.rule_id)]
-        if rules:
-            findings.append(check_rows(star.table(table), rules))
+    findings = [found for table in TABLE_NAMES for found in check_table(star, table, chosen)]
     findings += [
         check_key(star.table(r.table), r)
         for r in KEY_RULES
         if chosen(r.rule_id) and set(r.columns) <= set(star.table(r.table).columns)
     ]
-    findings += [
-        check_reference(star.table(r.table), star.table(r.target), r) for r in REFERENCE_RULES if chosen(r.rule_id)
-    ]
-    if chosen("DQ22"):
-        findings += [check_date_range(star.table(t), star.calendar, t) for t in DATE_COLUMNS]
     return reduce(DataFrame.unionByName, findings)
 
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillscope.functions.measures import NET_X100, change_pct, money, net_sales, ratio, real, share_pct, with_net
+from tillscope.functions.measures import NET_X100, change_pct, money, net_sales, ratio, share_pct, with_net
 from tillscope.functions.periods import calendar_days, sold_between, year_span
 from tillscope.operators.joins import with_day, with_product, with_store
 from tillscope.star import Star

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillscope.functions.measures import NET_X100, money, net_sales, ratio, with_net
+from tillscope.functions.measures import NET_X100, net_sales, ratio, with_net
 from tillscope.functions.periods import calendar_days, days_before, sold_between
 from tillscope.operators.joins import with_day, with_store
 from tillscope.star import Star

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.functions.measures import NET_X100, net_sales, ratio, real, with_net
+from tillscope.functions.measures import NET_X100, net_sales, ratio, with_net
 from tillscope.functions.periods import calendar_days, sold_between
 from tillscope.operators.joins import with_day, with_store
 from tillscope.operators.quantile import weighted_quantile
