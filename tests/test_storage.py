@@ -42,7 +42,8 @@ def test_csv_quotes_nulls_and_accents(spark, tmp_path):
 
 
 def test_csv_with_a_wrong_header_or_value_stops(spark, tmp_path):
-    swapped = write(tmp_path / "a.csv", PRODUCTS_HEADER.replace("sku,nombre_producto", "nombre_producto,sku") + "1,a,b,c,d,e,1\n")
+    header = PRODUCTS_HEADER.replace("sku,nombre_producto", "nombre_producto,sku")
+    swapped = write(tmp_path / "a.csv", header + "1,a,b,c,d,e,1\n")
     with pytest.raises((PySparkException, Py4JJavaError)):
         csv.read_products(spark, swapped).collect()
     broken = write(tmp_path / "b.csv", PRODUCTS_HEADER + "one,S1,n,m,c,s,1\n")
@@ -99,13 +100,19 @@ def test_clear_keeps_the_calendar_and_reload_works(spark, tmp_path, database):
     assert warehouse.table("sales").count() == 1
 
 
-def test_archive_moves_a_year(spark, tmp_path, database):
-    s = star(spark, [{"sale_date": D("2023-05-05")}, {}], first="2023-01-01")
+def test_archive_moves_years_and_can_be_repeated(spark, tmp_path, database):
+    s = star(spark, [{"sale_date": D("2022-05-05")}, {"sale_date": D("2023-05-05")}, {}], first="2022-01-01")
     warehouse = Warehouse(spark, database, str(tmp_path / "db"))
+    archive = f"{database}.old_sales"
     warehouse.write_sales(s.sales)
-    assert warehouse.archive_year(2023, f"{database}.old_sales") == 1
+    assert warehouse.archive_year(2023, archive) == 1
+    assert sorted(rows(warehouse.table("sales"), "sale_year")) == [2022, 2024]
+    # As if the run had broken off before it removed the year.
+    warehouse.write_sales(s.sales.filter("year(sale_date) = 2023"), mode="append")
+    assert warehouse.archive_year(2023, archive) == 1
+    assert warehouse.archive_year(2022, archive) == 1
     assert rows(warehouse.table("sales"), "sale_year") == [2024]
-    assert rows(spark.table(f"{database}.old_sales"), "sale_year") == [2023]
+    assert sorted(rows(spark.table(archive), "sale_year")) == [2022, 2023]
 
 
 def test_load_rejects_with_reasons_and_keeps_the_rest(spark, tmp_path, database):

@@ -101,12 +101,21 @@ class Warehouse:
     def archive_year(self, year: int, archive_table: str) -> int:
         """Move one year of sales to another table; returns the rows moved.
 
-        The year leaves the sales table only after the copy holds as many rows.
+        The year replaces what the archive holds of it, so a run that broke off
+        can be repeated. It leaves the sales table only after the copy holds as
+        many rows.
         """
         of_year = F.col(YEAR_PARTITION) == year
         rows = self.spark.table(self.name("sales")).filter(of_year)
         moved = rows.count()
-        rows.write.mode("append").format("parquet").partitionBy(YEAR_PARTITION).saveAsTable(archive_table)
+        if self.spark.catalog.tableExists(archive_table):
+            columns = ", ".join(c for c in self.spark.table(archive_table).columns if c != YEAR_PARTITION)
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {archive_table} PARTITION ({YEAR_PARTITION} = {year}) "
+                f"SELECT {columns} FROM {self.name('sales')} WHERE {YEAR_PARTITION} = {year}"
+            )
+        else:
+            rows.write.format("parquet").partitionBy(YEAR_PARTITION).saveAsTable(archive_table)
         stored = self.spark.table(archive_table).filter(of_year).count()
         if stored != moved:
             raise RuntimeError(f"archive holds {stored} rows of {year}, expected {moved}")
