@@ -15,6 +15,36 @@ _BROKEN = " OR ".join(
     )
 )
 
+OP3 = r"""
+WITH split AS (
+    SELECT doc_id, list_filter(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM documents),
+item AS (
+    SELECT item_id, list_filter(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+    FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+          FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM split, sizes WHERE len(w) >= n)),
+hits AS (SELECT doc_id, n, i, item_id FROM places JOIN windows USING (n, s)),
+words AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS k FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM split LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 OP5 = rf"""
 WITH words AS (
     SELECT doc_id, coalesce(text, '') AS text,
@@ -49,5 +79,6 @@ FROM judged
 """
 
 ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": OP3,
     "op5_quality_rules": OP5,
 }

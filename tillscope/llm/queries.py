@@ -5,13 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillscope.llm import quality_rules
+from tillscope.llm import decontaminate, quality_rules
 from tillscope.llm.tables import table
+from tillscope.llm.workers import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    overlaps = decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return overlaps.by_document().select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return found.select(
@@ -20,5 +31,6 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_quality_rules": op5_quality_rules,
 }
