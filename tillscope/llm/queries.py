@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import decontaminate, quality_rules
+from tillscope.llm import decontaminate, packing, quality_rules
 from tillscope.llm.tables import table
 from tillscope.llm.workers import ship_package
 
@@ -23,6 +24,14 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return found.select(
@@ -32,5 +41,6 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
 }
