@@ -20,12 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillscope.llm.bitmap import BITS, bitmap, within
 from tillscope.llm.stored import stored
-from tillscope.llm.words import Words, shingles, split_words
+from tillscope.llm.words import Words, shingles, small_batches, split_words
 
 WINDOW = 10
 SHINGLE = 3
-FILTER_BITS = 24
 
 
 @dataclass(frozen=True)
@@ -77,7 +77,7 @@ def _windows(items: DataFrame, window: int) -> DataFrame:
     """Windows of the items with their shingles: ``item_id``, ``window``, ``length``, ``shingle``, ``offset``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             words = split_words(batch.column("text"))
             rows: list[tuple] = []
             for r, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
@@ -102,32 +102,15 @@ def _windows(items: DataFrame, window: int) -> DataFrame:
     return items.mapInArrow(cut, f"item_id {kind}, window string, length long, shingle long, offset long")
 
 
-def _bitmap(keys: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A bitmap of 2**bits bits with those of the keys set. At most 2**(bits - 6) rows reach the driver."""
-    place = F.shiftrightunsigned(F.col(column), 64 - bits)
-    words = keys.groupBy(F.shiftrightunsigned(place, 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))).alias("bits")
-    )
-    table = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    found = words.toArrow()
-    table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return table
-
-
-def _within(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    place = hashes >> np.uint64(64 - bits)
-    return (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
-
-
-def _counts(docs: DataFrame, bitmap: np.ndarray, widths: list[int], bits: int) -> DataFrame:
+def _counts(docs: DataFrame, seen: np.ndarray, widths: list[int]) -> DataFrame:
     """Occurrences over all documents of the shingles in the bitmap."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             words = split_words(batch.column("text"))
             for width in widths:
                 _, hashes = shingles(words, width)
-                keys, n = np.unique(hashes[_within(bitmap, hashes, bits)], return_counts=True)
+                keys, n = np.unique(hashes[within(seen, hashes)], return_counts=True)
                 if len(keys):
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["shingle", "n"])
 
@@ -140,17 +123,17 @@ def _context(words: Words, row: int, at: int, width: int, reach: int) -> tuple[s
     return words.text(begin, end), at - begin
 
 
-def _probe(docs: DataFrame, bitmap: np.ndarray, widths: list[int], window: int, bits: int) -> DataFrame:
+def _probe(docs: DataFrame, seen: np.ndarray, widths: list[int], window: int) -> DataFrame:
     """A row for each document (``shingle`` null), and one for each of its shingles in the bitmap with the words around."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             words = split_words(batch.column("text"))
             n_words, owner = words.counts(), words.rows()
             row, place, key, context, left = [np.arange(batch.num_rows)], [], [], [], []
             for width in widths:
                 at, hashes = shingles(words, width)
-                found = np.flatnonzero(_within(bitmap, hashes, bits))
+                found = np.flatnonzero(within(seen, hashes))
                 rows = owner[at[found]] if len(found) else np.zeros(0, np.int64)
                 row.append(rows)
                 place.append(at[found] - words.first[rows])
@@ -180,7 +163,7 @@ def find_overlaps(
     window: int = WINDOW,
     id_column: str = "doc_id",
     text: str = "text",
-    filter_bits: int = FILTER_BITS,
+    filter_bits: int = BITS,
 ) -> Overlaps:
     """Occurrences of benchmark windows in documents.
 
@@ -197,13 +180,13 @@ def find_overlaps(
     parts = cut.select("window", "length", "shingle", "offset").distinct()
     lengths = parts.agg(F.collect_set(F.least("length", F.lit(SHINGLE)))).first()[0]
     widths = sorted(int(w) for w in lengths) or [SHINGLE]
-    counts = _counts(docs, _bitmap(parts, "shingle", filter_bits), widths, filter_bits)
+    counts = _counts(docs, bitmap(parts, "shingle", filter_bits), widths)
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "offset")).alias("rarest")
     prefix = stored(
         parts.join(counts, "shingle", "left").groupBy("window", "length").agg(rarest)
         .select("window", "length", "rarest.shingle", "rarest.offset")
     )
-    probed = stored(_probe(docs, _bitmap(prefix, "shingle", filter_bits), widths, window, filter_bits))
+    probed = stored(_probe(docs, bitmap(prefix, "shingle", filter_bits), widths, window))
     start: Column = F.col("place") - F.col("offset")
     fits = (start >= 0) & (start + F.col("length") <= F.col("n_words"))
     inside = F.array_join(

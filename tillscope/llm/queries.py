@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import decontaminate, packing, quality_rules
+from tillscope.llm import decontaminate, near_dedup, packing, quality_rules
 from tillscope.llm.tables import table
 from tillscope.llm.workers import ship_package
 
@@ -39,8 +39,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    classes = near_dedup.near_duplicates(table(spark, sf_dir, "documents")).documents
+    return classes.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }

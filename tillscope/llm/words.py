@@ -7,6 +7,7 @@ are single bytes in UTF-8, so cutting bytes cuts the same words. Columns are wor
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +16,8 @@ import pyarrow.compute as pc
 
 PIECE = 1 << 20
 
+BATCH = 4 << 20
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _IS_WORD = np.ones(256, dtype=bool)
@@ -117,3 +120,13 @@ def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     rows = words.rows()
     at = np.flatnonzero(rows[:n] == rows[width - 1 :])
     return at, mix(total[at] + np.uint64(width))
+
+
+def small_batches(batches: Iterable[pa.RecordBatch], *columns: str, most: int = BATCH) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches with about ``most`` bytes of text in the columns named."""
+    for batch in batches:
+        sizes = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy().astype(np.int64) for c in columns)
+        group = np.cumsum(sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield batch.slice(a, b - a)
