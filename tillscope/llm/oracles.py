@@ -78,7 +78,37 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM judged
 """
 
+OP10 = r"""
+WITH lines AS (
+    SELECT doc_id, i - 1 AS place, parts[i] AS line, doc_id * 1000000 + i AS place_at
+    FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
+    WHERE regexp_matches(parts[i], '[^\x20\x09-\x0D]')),
+firsts AS (
+    SELECT line, length(line) AS n, min(place_at) AS first, len(string_split(line, ' ')) AS blanks,
+           len(string_split(line, 'e')) AS e, len(string_split(line, 'a')) AS a, len(string_split(line, 'o')) AS o
+    FROM lines GROUP BY line),
+near AS (
+    SELECT DISTINCT y.line
+    FROM firsts x JOIN (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM firsts WHERE n >= 20) y
+      ON x.n = y.m AND x.n >= 20 AND x.first < y.first AND abs(x.blanks - y.blanks) <= 2 AND abs(x.e - y.e) <= 2
+         AND abs(x.a - y.a) <= 2 AND abs(x.o - y.o) <= 2
+    WHERE levenshtein(x.line, y.line) <= 2),
+judged AS (
+    SELECT doc_id, place, place_at <> first AS exact, place_at = first AND near.line IS NOT NULL AS near
+    FROM lines JOIN firsts USING (line) LEFT JOIN near USING (line)),
+gone AS (
+    SELECT doc_id, count(*) FILTER (exact) AS n_exact, count(*) FILTER (near) AS n_near,
+           string_agg(place::VARCHAR, ',' ORDER BY place) FILTER (exact) AS exact_lines,
+           string_agg(place::VARCHAR, ',' ORDER BY place) FILTER (near) AS near_lines
+    FROM judged GROUP BY doc_id)
+SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n_exact, 0)::BIGINT AS n_exact,
+       coalesce(n_near, 0)::BIGINT AS n_near, coalesce(exact_lines, '') AS exact_lines, coalesce(near_lines, '') AS near_lines
+FROM documents LEFT JOIN gone USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": OP3,
     "op5_quality_rules": OP5,
+    "op10_line_dedup": OP10,
 }

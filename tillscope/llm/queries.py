@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import decontaminate, near_dedup, packing, quality_rules
+from tillscope.llm import decontaminate, line_dedup, near_dedup, packing, quality_rules
 from tillscope.llm.tables import table
 from tillscope.llm.workers import ship_package
 
@@ -45,9 +45,20 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the lines that go are joined by commas."""
+    found = line_dedup.decide(table(spark, sf_dir, "documents")).documents
+    return found.select(
+        "doc_id", "n_lines", F.size("exact").cast("long").alias("n_exact"), F.size("near").cast("long").alias("n_near"),
+        F.array_join(F.col("exact").cast("array<string>"), ",").alias("exact_lines"),
+        F.array_join(F.col("near").cast("array<string>"), ",").alias("near_lines"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
