@@ -8,13 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import decontaminate, line_dedup, near_dedup, packing, quality_rules
+from tillscope.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality_rules
 from tillscope.llm.tables import table
 from tillscope.llm.workers import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.classify(docs, language_id.fit(docs.select("doc_id", "text", "lang")))
+    held_out = F.coalesce(language_id.fold() == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     overlaps = decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -56,6 +64,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
