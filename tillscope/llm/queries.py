@@ -8,13 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality_rules
+from tillscope.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality_classifier, quality_rules
 from tillscope.llm.tables import table
 from tillscope.llm.workers import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    held_out = F.coalesce(language_id.fold() == 2, F.lit(False))
+    scores, _ = quality_classifier.train_and_score(table(spark, sf_dir, "documents"), labels, learn=~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +71,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_packing": op4_packing,
