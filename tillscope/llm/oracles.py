@@ -78,6 +78,21 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM judged
 """
 
+OP8 = """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+    SELECT *, length('<|turn|>' || role || text || '<|end|>') + 3
+              + CASE WHEN conv_id = -1 THEN 3 ELSE 0 END AS formatted FROM turns)
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(formatted)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 OP10 = r"""
 WITH lines AS (
     SELECT doc_id, i - 1 AS place, parts[i] AS line, doc_id * 1000000 + i AS place_at
@@ -110,5 +125,6 @@ FROM documents LEFT JOIN gone USING (doc_id)
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": OP3,
     "op5_quality_rules": OP5,
+    "op8_chat_formatting": OP8,
     "op10_line_dedup": OP10,
 }

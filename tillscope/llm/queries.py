@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality_classifier, quality_rules
+from tillscope.llm import (
+    chat,
+    decontaminate,
+    language_id,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    warc,
+)
+from tillscope.llm.stored import stored
 from tillscope.llm.tables import table
 from tillscope.llm.workers import ship_package
 
@@ -54,6 +65,21 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    records = warc.read(warc.write(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], given.schema)
+    turns = given.union(added).withColumn("parts", chat.text_parts(F.col("text")))
+    return chat.read_back(stored(chat.format_turns(turns)))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     classes = near_dedup.near_duplicates(table(spark, sf_dir, "documents")).documents
@@ -76,6 +102,8 @@ QUERIES: dict[str, Query] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_warc": op6_warc,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
