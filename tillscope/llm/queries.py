@@ -17,6 +17,7 @@ from tillscope.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    token_files,
     warc,
 )
 from tillscope.llm.stored import stored
@@ -71,6 +72,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    folder = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -103,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_warc": op6_warc,
+    "op7_token_files": op7_token_files,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
