@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tillscope.operators.quality import DATE_COLUMNS, KEY_RULES, REFERENCE_RULES, ROW_RULES
 from tillscope.testbind import KEYS, REPEATED, SPOILED
 
 HOLIDAY_VALUES = """
@@ -297,7 +296,7 @@ ORACLES["a1_category_affinity"] = query(
     f"""SELECT category_a, category_b, co_occurrences, avg_joint_value,
                RANK() OVER (ORDER BY co_occurrences DESC) AS affinity_rank
         FROM (SELECT a.category AS category_a, b.category AS category_b, COUNT(*) AS co_occurrences,
-                     CAST(CAST(SUM(a.v + b.v) AS DECIMAL(28,4)) * CAST(0.01 AS DECIMAL(3,2)) AS DOUBLE) / COUNT(*)
+                     CAST(CAST(SUM(a.v + b.v) AS DECIMAL(28,4)) * CAST(0.01 AS DECIMAL(3,2)) AS DOUBLE) / COUNT(a.v + b.v)
                        AS avg_joint_value
               FROM basket a JOIN basket b ON a.ticket_id = b.ticket_id AND a.category < b.category
               GROUP BY ALL HAVING COUNT(*) >= 100)
@@ -424,7 +423,7 @@ ORACLES["r1_daily_kpis"] = query(
 ORACLES["r2_top_in_category_region"] = query(
     "product_id:i product_name:s brand:s units:i net_sales:d",
     f"""SELECT * FROM ({M3}) WHERE month = DATE '2001-07-01' AND category = 'ECONOMY' AND region = 'ASIA'
-        ORDER BY net_sales DESC, product_id LIMIT 5""")
+        QUALIFY RANK() OVER (ORDER BY net_sales DESC) <= 5""")
 ORACLES["r3_ticket_by_format"] = query(
     "format:s avg_line_value:d net_per_ticket:d units_per_ticket:d",
     f"""SELECT format, {LINE} AS avg_line_value, {NET_D} / COUNT(DISTINCT ticket_id) AS net_per_ticket,
@@ -456,6 +455,10 @@ STATUS = {
     "latest_inventory": (M4, "snapshot_date"),
     "recent_sales": (M5, "last_sale_date"),
     "inventory_alerts": (supply(M4, M5), "snapshot_date"),
+    "daily_sales_by_category": ("SELECT DISTINCT sale_date, chain, format, region, category FROM sales JOIN stores USING (store_id) "
+                                "JOIN products USING (product_id)", "sale_date"),
+    "product_velocity_months": (M2, "month"),
+    "product_velocity": (M2, "month"),
 }
 
 
@@ -463,10 +466,10 @@ def status_of(*names: str) -> str:
     return status(**{name: STATUS[name] for name in names})
 
 
-ORACLES["m7_rebuild"] = status_of("daily_sales")
-ORACLES["m8_refresh_sales_summaries"] = status_of("daily_sales", "product_months", "product_performance")
-ORACLES["m9_refresh_regional"] = status_of("regional_performance")
-ORACLES["m10_refresh_inventory"] = status_of("latest_inventory", "recent_sales", "inventory_alerts")
+ORACLES["m7_rebuild"] = ORACLES["m1_daily_summary"]
+ORACLES["m8_refresh_sales_summaries"] = ORACLES["m2_product_performance"]
+ORACLES["m9_refresh_regional"] = ORACLES["m3_regional_performance"]
+ORACLES["m10_refresh_inventory"] = ORACLES["m6_inventory_alerts"]
 ORACLES["m11_refresh_beside_readers"] = ORACLES["m1_daily_summary"]
 ORACLES["m12_refresh_status"] = status_of("store_performance")
 ORACLES["x9_summary_stats"] = status_of(*STATUS)
@@ -475,7 +478,18 @@ ORACLES["v6_list_summaries"] = query(
     "name:s version:i",
     """SELECT name, 1 AS version FROM (VALUES ('inventory_alerts'), ('latest_inventory'), ('recent_sales')) AS x(name)""")
 ORACLES["v9_profile_files"] = query(
-    "file:s records:i", "SELECT 'lineitem.parquet' AS file, COUNT(*) AS records FROM lineitem")
+    "file:s records:i a_byte_a_row:b",
+    "SELECT 'lineitem.parquet' AS file, COUNT(*) AS records, true AS a_byte_a_row FROM lineitem")
+ORACLES["v8_table_sizes"] = query(
+    "table_name:s record_count:i a_byte_a_row:b",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS record_count, true AS a_byte_a_row FROM {t}"
+        for t in ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")))
+ORACLES["x13_daily_change"] = query(
+    f"{M1_COLUMNS} tickets:i units:i net_sales:d net_sales_before:d tickets_before:i change_pct:d",
+    f"""SELECT a.*, b.net_sales AS net_sales_before, b.tickets AS tickets_before, {pct("a.net_sales", "b.net_sales")} AS change_pct
+        FROM ({M1}) a LEFT JOIN ({M1}) b
+          ON b.sale_date = a.sale_date - 1 AND a.chain = b.chain AND a.format = b.format AND a.region = b.region""")
 
 # Sources, sinks and keys.
 PRODUCT_FILE = "product_id:i sku:s product_name:s brand:s category:s subcategory:s list_price:d"
@@ -522,7 +536,27 @@ ORACLES["s13_key_status"] = query(
     """SELECT 'products' AS table_name, MAX(product_id) + 1 AS next_id, MAX(product_id) AS max_id, true AS is_free FROM products
        UNION ALL SELECT 'stores', MAX(store_id) + 1, MAX(store_id), true FROM stores""")
 
-ORACLES["s14_analyze"] = query("store_id:i lines:i", "SELECT store_id, COUNT(*) AS lines FROM sales GROUP BY 1")
+ORACLES["s14_analyze"] = query(
+    "column_name:s rows:i least:s greatest:s nulls:i",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS rows, MIN({c})::VARCHAR AS least, MAX({c})::VARCHAR AS greatest, "
+        f"COUNT(*) - COUNT({c}) AS nulls FROM sales" for c in ("product_id", "store_id", "sale_date")))
+# What the columns of the stored sales table say of themselves.
+SALES_NOTES = {
+    "sale_id": "Line key, unique together with the date", "product_id": "Product sold", "store_id": "Selling store",
+    "sale_date": "Day of sale", "sale_time": "Time of sale as HH:mm:ss",
+    "ticket_id": "Groups the lines of one transaction", "quantity": "Units", "unit_price": "Price per unit",
+    "discount_pct": "Discount in percent", "tax_pct": "Tax in percent", "channel": "in-store, online, mobile or phone",
+}
+ORACLES["s15_descriptions"] = query(
+    "col_name:s comment:s filled:i",
+    " UNION ALL ".join(f"SELECT '{c}' AS col_name, '{note}' AS comment, COUNT({c}) AS filled FROM sales"
+                       for c, note in SALES_NOTES.items())
+    + " UNION ALL SELECT 'created_at', 'Row creation time', COUNT(*) FROM sales")
+ORACLES["x10_append_year"] = query(
+    "sale_year:i lines:i keys:i new_keys:i sellers:i",
+    """SELECT year(sale_date) AS sale_year, COUNT(*) AS lines, COUNT(*) AS keys,
+              COUNT(*) FILTER (year(sale_date) = 2001) AS new_keys, 0 AS sellers FROM sales GROUP BY 1""")
 ORACLES["x11_archive_year"] = query(
     "place:s sale_year:i lines:i",
     """SELECT CASE year(sale_date) WHEN 1995 THEN 'archive' ELSE 'current' END AS place, year(sale_date) AS sale_year,
@@ -559,11 +593,11 @@ ORACLES["c11_holiday_list"] = query(
 ORACLES["v1_orphan_sales"] = query(
     "check_type:s orphans:i",
     """SELECT 'Orphaned sales records' AS check_type, COUNT(*) AS orphans FROM spoiled_sales s
-       LEFT JOIN products p USING (product_id) WHERE p.sku IS NULL""", "{spoiled}")
+       WHERE NOT EXISTS (SELECT 1 FROM spoiled_products p WHERE p.product_id = s.product_id)""", "{spoiled}")
 ORACLES["v2_orphan_inventory"] = query(
     "check_type:s orphans:i",
     """SELECT 'Orphaned inventory records' AS check_type, COUNT(*) AS orphans FROM spoiled_inventory i
-       LEFT JOIN stores s USING (store_id) WHERE s.store_code IS NULL""", "{spoiled}")
+       WHERE NOT EXISTS (SELECT 1 FROM spoiled_products p WHERE p.product_id = i.product_id)""", "{spoiled}")
 COUNTS = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS record_count FROM {t}"
     for t in ("products", "stores", "calendar", "sales", "inventory"))
@@ -583,13 +617,13 @@ ORACLES["v7_summary_row_count"] = query(
 CHANNEL_NET = "CAST(CAST(coalesce(SUM(net_x100) FILTER (channel = '{c}'), 0) AS DECIMAL(28,4)) * CAST(0.01 AS DECIMAL(3,2)) AS DOUBLE)"
 ORACLES["x1_store_performance"] = query(
     "store_id:i store_name:s chain:s format:s region:s units:i tickets:i net_sales:d net_per_ticket:d net_per_m2:d "
-    "share_in_store_pct:d share_online_pct:d share_mobile_pct:d share_phone_pct:d",
+    "share_in_store_pct:d share_online_pct:d share_mobile_pct:d share_phone_pct:d share_other_pct:d",
     f"""SELECT store_id, store_name, chain, format, region, SUM(quantity) AS units, COUNT(DISTINCT ticket_id) AS tickets,
                {NET} AS net_sales, {NET_D} / COUNT(DISTINCT ticket_id) AS net_per_ticket,
                {NET_D} / floor_area_m2 AS net_per_m2, """ + ", ".join(
         f"round({CHANNEL_NET.format(c=c)} / {NET_D} * 100, 2) AS share_{c.replace('-', '_')}_pct"
         for c in ("in-store", "online", "mobile", "phone")) +
-    " FROM sales JOIN stores USING (store_id) GROUP BY store_id, store_name, chain, format, region, floor_area_m2")
+    ", 0.0 AS share_other_pct FROM sales JOIN stores USING (store_id) GROUP BY store_id, store_name, chain, format, region, floor_area_m2")
 ORACLES["x2_store_vs_chain"] = query(
     "chain:s store_id:i store_name:s net_sales:d chain_mean:d position:s",
     f"""SELECT *, CAST(SUM(net_sales) OVER c AS DOUBLE) / COUNT(*) OVER c AS chain_mean,
@@ -642,38 +676,103 @@ def _spoiled(table: str) -> str:
     return f"spoiled_{table} AS (SELECT * REPLACE ({changed}), {copies} FROM {table})"
 
 
+AFFINITY_ALL = """SELECT category_a, category_b, co_occurrences, avg_joint_value,
+               RANK() OVER (ORDER BY co_occurrences DESC) AS affinity_rank
+        FROM (SELECT a.category AS category_a, b.category AS category_b, COUNT(*) AS co_occurrences,
+                     CAST(CAST(SUM(a.v + b.v) AS DECIMAL(28,4)) * CAST(0.01 AS DECIMAL(3,2)) AS DOUBLE) / COUNT(a.v + b.v)
+                       AS avg_joint_value
+              FROM basket a JOIN basket b ON a.ticket_id = b.ticket_id AND a.category < b.category GROUP BY ALL)"""
 SPOILED_STAR = ", ".join([*(_spoiled(t) for t in SPOILED), "spoiled_calendar AS (SELECT * FROM calendar)"])
+ORACLES["a1_category_affinity_with_nulls"] = query(
+    "category_a:s category_b:s co_occurrences:i avg_joint_value:d affinity_rank:i", AFFINITY_ALL,
+    SPOILED_STAR + f""", basket AS (
+        SELECT ticket_id, category, product_name, SUM(quantity * unit_price * (100 - discount_pct)) AS v
+        FROM spoiled_sales s JOIN (
+            SELECT product_id, any_value(product_name) AS product_name,
+                   any_value(CASE WHEN product_id % 31 <> 3 THEN category END) AS category
+            FROM spoiled_products WHERE product_id IS NOT NULL GROUP BY product_id) p USING (product_id)
+        WHERE sale_date {Y2000} AND ticket_id IS NOT NULL GROUP BY ALL)""")
 for name in ("v1_orphan_sales", "v2_orphan_inventory"):
     ORACLES[name] = ORACLES[name].replace("{spoiled}", SPOILED_STAR)
 
 
+# The rules as the data model states them, written down here apart from the engine's own list.
+NOT_NULL = {
+    "products": "sku product_name brand category",
+    "stores": "store_code store_name chain format region city",
+    "calendar": "day iso_weekday day_name iso_week month month_name quarter year is_weekend",
+    "sales": "product_id store_id sale_date quantity unit_price",
+    "inventory": "product_id store_id snapshot_date opening_stock final_stock",
+}
+LONGEST = {
+    "products": {"sku": 50, "product_name": 200, "brand": 100, "category": 50, "subcategory": 50},
+    "stores": {"store_code": 20, "store_name": 200, "chain": 100, "format": 50, "region": 50, "city": 100, "state": 50,
+               "postal_code": 10},
+    "calendar": {"day_name": 20, "month_name": 20, "holiday_name": 100, "fiscal_period": 10},
+    "sales": {"ticket_id": 50, "channel": 20},
+}
+ROW_CONDITIONS = [
+    *(("DQ5", t, f"{c} required", f"{c} IS NOT NULL") for t, columns in NOT_NULL.items() for c in columns.split()),
+    ("DQ6", "products", "list_price not negative", "list_price >= 0"),
+    ("DQ7", "stores", "floor_area_m2 positive", "floor_area_m2 > 0"),
+    ("DQ8", "sales", "quantity positive", "quantity > 0"),
+    ("DQ9", "sales", "unit_price not negative", "unit_price >= 0"),
+    ("DQ10", "sales", "discount_pct 0 to 100", "discount_pct >= 0 AND discount_pct <= 100"),
+    ("DQ11", "sales", "tax_pct not negative", "tax_pct >= 0"),
+    ("DQ12", "inventory", "opening_stock not negative", "opening_stock >= 0"),
+    ("DQ12", "inventory", "final_stock not negative", "final_stock >= 0"),
+    ("DQ13", "inventory", "stock_in not negative", "stock_in >= 0"),
+    ("DQ13", "inventory", "stock_out not negative", "stock_out >= 0"),
+    ("DQ14", "inventory", "unit_cost not negative", "unit_cost >= 0"),
+    ("DQ15", "products", "product_name not blank", "trim(product_name) <> ''"),
+    ("DQ16", "stores", "store_name not blank", "trim(store_name) <> ''"),
+    ("DQ17", "sales", "channel known", "channel IN ('in-store', 'online', 'mobile', 'phone')"),
+    ("DQ18", "inventory", "stock balance", "final_stock = opening_stock + stock_in - stock_out"),
+    *(("DQ21", t, f"{c} at most {n}", f"length({c}) <= {n}") for t, limits in LONGEST.items() for c, n in limits.items()),
+]
+UNIQUE = [  # rule, table, columns, whether a missing value counts
+    ("DQ1", "products", ("product_id",), True), ("DQ1", "stores", ("store_id",), True),
+    ("DQ1", "calendar", ("cal_date",), True), ("DQ1", "sales", ("sale_id", "sale_date"), True),
+    ("DQ1", "inventory", ("inventory_id",), True), ("DQ2", "products", ("sku",), False),
+    ("DQ3", "stores", ("store_code",), False),
+    ("DQ4", "inventory", ("product_id", "store_id", "snapshot_date"), False),
+]
+REFERENCES = [
+    (rule, table, column, target, target_column)
+    for table, day in (("sales", "sale_date"), ("inventory", "snapshot_date"))
+    for rule, column, target, target_column in (
+        ("DQ19", "product_id", "products", "product_id"), ("DQ19", "store_id", "stores", "store_id"),
+        ("DQ20", day, "calendar", "cal_date"))
+]
+DAYS = {"sales": "sale_date", "inventory": "snapshot_date"}
+
+
 def _rule_select(rule_id: str, table: str, name: str, count: str) -> str:
     return f"SELECT '{rule_id}' AS rule_id, '{table}' AS table_name, '{name}' AS rule, coalesce(({count}), 0) AS violations"
 
 
 def quality_parts(rule_id: str) -> list[str]:
     parts = [
-        _rule_select(rule_id, r.table, r.name,
-                     f"SELECT COUNT(*) FROM spoiled_{r.table} WHERE NOT ({r.condition})")
-        for r in ROW_RULES if r.rule_id == rule_id]
-    for k in (k for k in KEY_RULES if k.rule_id == rule_id):
-        columns = ", ".join(k.columns)
-        missing = " OR ".join(f"{c} IS NULL" for c in k.columns)
+        _rule_select(rule_id, table, name, f"SELECT COUNT(*) FROM spoiled_{table} WHERE NOT ({condition})")
+        for rule, table, name, condition in ROW_CONDITIONS if rule == rule_id]
+    for _, table, columns, primary in (k for k in UNIQUE if k[0] == rule_id):
+        listed = ", ".join(columns)
+        missing = " OR ".join(f"{c} IS NULL" for c in columns)
         parts.append(_rule_select(
-            rule_id, k.table, k.name,
-            f"SELECT SUM(CASE WHEN {missing} THEN {'n' if k.primary else '0'} ELSE n - 1 END) "
-            f"FROM (SELECT {columns}, COUNT(*) AS n FROM spoiled_{k.table} GROUP BY ALL)"))
+            rule_id, table, f"unique({listed})",
+            f"SELECT SUM(CASE WHEN {missing} THEN {'n' if primary else '0'} ELSE n - 1 END) "
+            f"FROM (SELECT {listed}, COUNT(*) AS n FROM spoiled_{table} GROUP BY ALL)"))
     parts += [
-        _rule_select(rule_id, r.table, r.name,
-                     f"SELECT COUNT(*) FROM spoiled_{r.table} WHERE {r.column} IS NOT NULL AND {r.column} NOT IN "
-                     f"(SELECT {r.target_column} FROM spoiled_{r.target} WHERE {r.target_column} IS NOT NULL)")
-        for r in REFERENCE_RULES if r.rule_id == rule_id]
+        _rule_select(rule_id, table, f"{column} in {target}",
+                     f"SELECT COUNT(*) FROM spoiled_{table} WHERE {column} IS NOT NULL AND {column} NOT IN "
+                     f"(SELECT {target_column} FROM spoiled_{target} WHERE {target_column} IS NOT NULL)")
+        for rule, table, column, target, target_column in REFERENCES if rule == rule_id]
     if rule_id == "DQ22":
         parts += [
             _rule_select(rule_id, t, f"{c} inside the calendar",
                          f"SELECT COUNT(*) FROM spoiled_{t} WHERE {c} NOT BETWEEN "
                          f"(SELECT MIN(cal_date) FROM calendar) AND (SELECT MAX(cal_date) FROM calendar)")
-            for t, c in DATE_COLUMNS.items()]
+            for t, c in DAYS.items()]
     return parts
 
 
@@ -691,14 +790,14 @@ ORACLES["dq_all_rules"] = quality_query(RULE_IDS)
 def _flags(table: str, targets: dict[str, str]) -> str:
     """Boolean column per rule id: row rules of the file's columns, then references."""
     broken: dict[str, list[str]] = {}
-    for r in ROW_RULES:
+    for rule_id, of, _, condition in ROW_CONDITIONS:
         # A file has no tax column; the default passes.
-        if r.table == table and "tax_pct" not in r.condition and "postal_code" not in r.condition:
-            broken.setdefault(r.rule_id, []).append(f"coalesce(NOT ({r.condition}), false)")
-    for r in REFERENCE_RULES:
-        if r.table == table and r.target in targets:
-            broken.setdefault(r.rule_id, []).append(
-                f"({r.column} IS NOT NULL AND {r.column} NOT IN (SELECT {r.target_column} FROM {targets[r.target]}))")
+        if of == table and "tax_pct" not in condition and "postal_code" not in condition:
+            broken.setdefault(rule_id, []).append(f"coalesce(NOT ({condition}), false)")
+    for rule_id, of, column, target, target_column in REFERENCES:
+        if of == table and target in targets:
+            broken.setdefault(rule_id, []).append(
+                f"({column} IS NOT NULL AND {column} NOT IN (SELECT {target_column} FROM {targets[target]}))")
     return ", ".join(f"({' OR '.join(tests)}) AS {rule_id}" for rule_id, tests in broken.items())
 
 
@@ -714,8 +813,9 @@ def _loaded(table: str, keys: dict[str, tuple[str, ...]], targets: dict[str, str
         columns = ", ".join(key)
         ctes.append(f"counted_{table}_{step} AS (SELECT *, COUNT(*) OVER (PARTITION BY {columns}) AS n_{step} "
                     f"FROM good_{table}_{step})")
-        ctes.append(f"good_{table}_{step + 1} AS (SELECT * FROM counted_{table}_{step} WHERE n_{step} = 1)")
-        counts.append(f"SELECT '{table}', '{rule_id}', COUNT(*) FROM counted_{table}_{step} WHERE n_{step} > 1")
+        bad = f"n_{step} > 1" + (f" OR {key[0]} IS NULL" if rule_id == "DQ1" else "")
+        ctes.append(f"good_{table}_{step + 1} AS (SELECT * FROM counted_{table}_{step} WHERE NOT ({bad}))")
+        counts.append(f"SELECT '{table}', '{rule_id}', COUNT(*) FROM counted_{table}_{step} WHERE {bad}")
     ctes.append(f"stored_{table} AS (SELECT * FROM good_{table}_{len(keys)})")
     return ", ".join(ctes), counts
 

@@ -15,10 +15,10 @@ from tillscope.functions.measures import net_sales, with_net
 from tillscope.operators import calendar as cal
 from tillscope.operators import keys, quality, validate
 from tillscope.plans import advanced, inventory, kpi, metrics, products, sales, season, summary, tickets
-from tillscope.plans.load import SourceFiles, load_star
+from tillscope.plans.load import SourceFiles, append_sales, load_star
 from tillscope.sources import csv
 from tillscope.sources.shared import fresh_folder
-from tillscope.sources.warehouse import Warehouse, analyze
+from tillscope.sources.warehouse import Warehouse, analyze, statistics
 from tillscope.star import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,16 @@ def on_spoiled(plan: Callable[[Star], DataFrame]) -> Query:
     return lambda spark, folder: comparable(plan(testbind.spoiled_star(spark, folder)))
 
 
+def null_categories(star: Star) -> Star:
+    """The star, one product in 31 without category; spoiled lines have NULL discounts too."""
+    category = F.when(F.col("product_id") % 31 != 3, F.col("category"))
+    products = star.products.filter("product_id IS NOT NULL").dropDuplicates(["product_id"])
+    return Star(
+        products=products.withColumn("category", category), stores=star.stores, calendar=star.calendar,
+        sales=star.sales, inventory=star.inventory,
+    )
+
+
 def m3(star: Star) -> DataFrame:
     return summary.build_regional_performance(star, AS_OF)
 
@@ -195,11 +205,21 @@ def key_status(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def analyzed_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Store sales, refresh their statistics, and count through the catalog table."""
+    """Store sales, refresh their statistics, and read them from the catalog."""
+    warehouse, columns = _warehouse(spark), ["product_id", "store_id", "sale_date"]
+    warehouse.write_sales(testbind.sales(spark, folder))
+    analyze(spark, warehouse.name("sales"), columns)
+    return statistics(spark, warehouse.name("sales"), columns)
+
+
+def described_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Descriptions of the stored sales columns, with the lines that have a value in each."""
     warehouse = _warehouse(spark)
     warehouse.write_sales(testbind.sales(spark, folder))
-    analyze(spark, warehouse.name("sales"), ["product_id", "store_id", "sale_date"])
-    return warehouse.table("sales").groupBy("store_id").agg(F.count("*").alias("lines"))
+    stored = warehouse.table("sales")
+    filled = stored.agg(*[F.count(c).alias(c) for c in stored.columns]).unpivot([], stored.columns, "col_name", "filled")
+    notes = warehouse.descriptions("sales").filter("comment <> ''").select("col_name", "comment").distinct()
+    return notes.join(filled, "col_name")
 
 
 # Calendar ----------------------------------------------------------------------
@@ -241,12 +261,17 @@ def summary_count(star: Star) -> DataFrame:
 
 
 def stored_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    names = ("lineitem", "orders", "customer", "part")
-    return validate.table_sizes(spark, {name: f"{folder}/{name}.parquet" for name in names})
+    """Files and sizes of the tables the star is read from; bytes differ by writer, so they are compared with the rows."""
+    names = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
+    sizes = validate.table_sizes(spark, {name: f"{folder}/{name}.parquet" for name in names})
+    counts = validate.table_counts({name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names})
+    joined = sizes.join(counts, "table_name")
+    return joined.select("table_name", "record_count", (F.col("bytes") >= F.col("record_count")).alias("a_byte_a_row"))
 
 
 def file_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return validate.profile_files(spark.read.parquet(f"{folder}/lineitem.parquet")).select("file", "records")
+    found = validate.profile_files(spark.read.parquet(f"{folder}/lineitem.parquet"))
+    return found.select("file", "records", (F.col("size_mb") * 1048576 >= F.col("records")).alias("a_byte_a_row"))
 
 
 def refreshed(*names: str, twice: bool = False) -> Query:
@@ -262,12 +287,25 @@ def refreshed(*names: str, twice: bool = False) -> Query:
     return run
 
 
+def rebuilt(name: str, *names: str, twice: bool = False) -> Query:
+    """Refresh summaries (a second time, to swap versions) and read one of them back."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        star, store = testbind.star(spark, folder), _store(spark)
+        for _ in range(1 + twice):
+            summary.refresh(store, star, AS_OF, names, TEST_SUMMARIES)
+        return comparable(store.read(name))
+
+    return run
+
+
 def old_reader(spark: SparkSession, folder: str) -> DataFrame:
-    """A reader opened before a refresh still reads its version after it."""
+    """A reader opened before three refreshes still reads its version after them."""
     star, store = testbind.star(spark, folder), _store(spark)
     summary.refresh(store, star, AS_OF, ["daily_sales"])
     before = store.read("daily_sales")
-    summary.refresh(store, star, AS_OF, ["daily_sales"])
+    for _ in range(3):
+        summary.refresh(store, star, AS_OF, ["daily_sales"])
     return comparable(before)
 
 
@@ -277,15 +315,38 @@ def all_stats(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(summary.summary_stats(store, AS_OF).drop("refreshed_at"))
 
 
-def loaded(spark: SparkSession, folder: str) -> DataFrame:
-    """Stage exchange files with faults in them; rejected rows per rule."""
-    star, path = testbind.spoiled_star(spark, folder), fresh_folder(spark)
+def _exchange_files(star: Star, path: str) -> SourceFiles:
     for table in ("products", "stores", "sales", "inventory"):
         df = star.tables()[table]
         df = df.withColumn("opened_on", F.lit(None).cast("date")) if table == "stores" else df
         csv.write_csv(df, table, f"{path}/{table}")
-    files = SourceFiles(f"{path}/products", f"{path}/stores", [f"{path}/sales"], f"{path}/inventory")
-    rejected = load_star(files, star.calendar, _warehouse(spark))
+    return SourceFiles(f"{path}/products", f"{path}/stores", [f"{path}/sales"], f"{path}/inventory")
+
+
+def appended(spark: SparkSession, folder: str) -> DataFrame:
+    """Load all years but the last, append that one; per year the lines, keys, and whether keys follow the load's."""
+    star, path, warehouse = testbind.star(spark, folder), fresh_folder(spark), _warehouse(spark)
+    last = F.year("sale_date") == testbind.LAST_DAY.year
+    before = Star(
+        products=star.products, stores=star.stores, calendar=star.calendar, sales=star.sales.filter(~last),
+        inventory=star.inventory,
+    )
+    load_star(_exchange_files(before, path), star.calendar, warehouse)
+    largest = warehouse.table("sales").agg(F.max("sale_id")).first()[0]
+    csv.write_csv(star.sales.filter(last), "sales", f"{path}/more")
+    append_sales([f"{path}/more"], warehouse)
+    return comparable(
+        warehouse.table("sales").groupBy("sale_year").agg(
+            F.count("*").alias("lines"), F.count_distinct("sale_id").alias("keys"),
+            F.count_if(F.col("sale_id") > largest).alias("new_keys"), F.count("seller_id").alias("sellers"),
+        )
+    )
+
+
+def loaded(spark: SparkSession, folder: str) -> DataFrame:
+    """Stage exchange files with faults in them; rejected rows per rule."""
+    star, path = testbind.spoiled_star(spark, folder), fresh_folder(spark)
+    rejected = load_star(_exchange_files(star, path), star.calendar, _warehouse(spark))
     return (
         rejected.select("table_name", F.explode("broken_rules").alias("rule_id"))
         .groupBy("table_name", "rule_id")
@@ -339,10 +400,12 @@ QUERIES: dict[str, Query] = {
     "m4_latest_inventory": on_star(m4),
     "m5_recent_sales": on_star(m5),
     "m6_inventory_alerts": on_star(m6),
-    "m7_rebuild": refreshed("daily_sales", twice=True),
-    "m8_refresh_sales_summaries": refreshed("daily_sales", "product_months", "product_performance"),
-    "m9_refresh_regional": refreshed("regional_performance"),
-    "m10_refresh_inventory": refreshed(*summary.group_names("inventory")),
+    "m7_rebuild": rebuilt("daily_sales", "daily_sales", twice=True),
+    "m8_refresh_sales_summaries": rebuilt(
+        "product_performance", "daily_sales", "product_months", "product_performance"
+    ),
+    "m9_refresh_regional": rebuilt("regional_performance", "regional_performance"),
+    "m10_refresh_inventory": rebuilt("inventory_alerts", *summary.group_names("inventory")),
     "m11_refresh_beside_readers": old_reader,
     "m12_refresh_status": refreshed("store_performance"),
     "e1_daily_sales_by_chain_quarter": on_star(sales.daily_sales_by_chain_quarter, *QUARTER),
@@ -371,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "s12_assign_dense_keys": on_star(product_keys),
     "s13_key_status": key_status,
     "s14_analyze": analyzed_sales,
+    "s15_descriptions": described_sales,
     "c1_date_series": calendar_with_lines(),
     "c2_date_parts": calendar_with_lines("day", "month", "quarter", "year"),
     "c3_iso_weekday": calendar_with_lines("iso_weekday"),
@@ -390,7 +454,7 @@ QUERIES: dict[str, Query] = {
         lambda s: validate.orphan_count(s.sales, s.products, "product_id", "Orphaned sales records")
     ),
     "v2_orphan_inventory": on_spoiled(
-        lambda s: validate.orphan_count(s.inventory, s.stores, "store_id", "Orphaned inventory records")
+        lambda s: validate.orphan_count(s.inventory, s.products, "product_id", "Orphaned inventory records")
     ),
     "v3_table_counts": on_star(lambda s: validate.table_counts(s.tables())),
     "v4_date_span": on_star(lambda s: validate.date_span(s.sales)),
@@ -409,8 +473,13 @@ QUERIES: dict[str, Query] = {
     "x8_daily_summary_by_category": on_star(summary.build_daily_summary, by_category=True),
     "x9_summary_stats": all_stats,
     "x10_load_pipeline": loaded,
+    "x10_append_year": appended,
     "x11_archive_year": archived,
     "x12_freshness": refreshed("daily_sales", "regional_performance"),
+    "x13_daily_change": on_star(lambda s: summary.with_day_before(summary.build_daily_summary(s))),
+    "a1_category_affinity_with_nulls": on_spoiled(
+        lambda s: advanced.category_affinity(null_categories(s), *YEAR, min_pairs=1, n=1000)
+    ),
     "dq_all_rules": on_spoiled(quality.check),
 }
 for _number in range(1, 23):

@@ -30,7 +30,7 @@ def test_rank_equals_window_rank(values):
 def test_number_equals_row_number(values):
     order = Window.partitionBy("g").orderBy(F.desc_nulls_first("v"), "id")
     expected = values.withColumn("r", F.row_number().over(order))
-    got = number_descending(values, ["g"], "v", ["id"], "r")
+    got = number_descending(values, ["g"], "v", "id", "r")
     assert sorted((x["id"], x["r"]) for x in got.collect()) == sorted((x["id"], x["r"]) for x in expected.collect())
 
 

@@ -7,8 +7,7 @@ import pytest
 from bench import headline_queries
 from checks import registry as r
 from tests.helpers import star
-from tillscope.operators.joins import small
-from tillscope.plans import products, sales, summary
+from tillscope.plans import inventory, products, sales, summary, tickets
 from tillscope.sources.warehouse import Warehouse
 from tillscope.star import Star
 
@@ -61,7 +60,6 @@ def test_nothing_is_broadcast_above_the_threshold(spark, stored):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     try:
-        assert "ResolvedHint" not in small(stored.stores)._jdf.queryExecution().analyzed().toString()
         text = physical(products.sales_by_channel(stored, date(2024, 1, 1), date(2024, 12, 31)))
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
     finally:
@@ -76,4 +74,22 @@ def test_top_n_is_cut_before_the_shuffle(stored):
 def test_large_rankings_do_not_window_a_whole_group(stored):
     text = physical(products.regional_ranking(stored, r.AS_OF))
     windows = [line for line in text.splitlines() if "row_number()" in line and "Window" in line]
-    assert windows and all("_band" in line for line in windows)
+    assert windows and all("_band" in line and "_tie_band" in line for line in windows)
+
+
+def test_plans_carry_no_broadcast_hint(stored):
+    assert "ResolvedHint" not in sales.daily_sales_by_chain(stored, *r.YEAR)._jdf.queryExecution().analyzed().toString()
+
+
+def test_stock_alerts_read_fresh_snapshots_only(stored):
+    text = physical(inventory.stock_alerts(stored, r.AS_OF, lookback_days=r.LONG, min_obs=2, fresh_days=365))
+    assert any("snapshot_date" in line and ">=" in line for line in text.splitlines() if "PushedFilters" in line)
+
+
+def test_tickets_are_cut_to_the_range_before_they_are_grouped(stored):
+    text = physical(tickets.weekly_ticket_by_format(stored, *r.YEAR))
+    assert "LeftSemi" in text
+
+
+def test_rankings_scan_the_lines_once(stored):
+    assert "sales" not in physical(products.regional_ranking(stored, r.AS_OF)).lower().replace("net_sales", "")

@@ -64,7 +64,9 @@ def test_defaults_fill_missing_columns_only(spark):
     got = csv.with_defaults(df, "sales").first()
     assert (got["discount_pct"], got["tax_pct"], got["channel"]) == (None, 16, "in-store")
     assert got["created_at"] is not None
-    assert "seller_id" not in got.asDict()
+    assert got.asDict()["seller_id"] is None
+    keyless = frame(spark, "sales", SALE, [{}]).drop("sale_id")
+    assert "sale_id" not in csv.with_defaults(keyless, "sales").columns
 
 
 def test_sales_are_stored_by_year_and_pruned(spark, tmp_path, database):
@@ -156,10 +158,29 @@ def test_refresh_swaps_versions_and_old_readers_stay(spark, tmp_path, database):
     assert rows(reader, "tickets") == [1]
     assert rows(store.read("daily_sales"), "tickets") == [3]
     summary.refresh(store, day(4), AS_OF, ["daily_sales"])
-    assert store._versions("daily_sales") == [2, 3]
-    assert rows(summary.list_summaries(store), "name", "version") == [("daily_sales", 3)]
+    assert sorted(store._tables("daily_sales")) == [1, 2, 3]
+    for n in (5, 6):
+        summary.refresh(store, day(n), AS_OF, ["daily_sales"])
+    assert sorted(store._tables("daily_sales")) == [2, 3, 4, 5]
+    assert rows(summary.list_summaries(store), "name", "version") == [("daily_sales", 5)]
     store.drop("daily_sales")
-    assert store.names() == [] and store._versions("daily_sales") == []
+    assert store.names() == [] and store._tables("daily_sales") == {}
+
+
+def test_refresh_after_an_attempt_that_broke_off(spark, tmp_path, database):
+    store = summary.SummaryStore(spark, database, str(tmp_path / "db"))
+    one = star(spark, [{}])
+    summary.refresh(store, one, AS_OF, ["daily_sales"])
+    left = [tmp_path / "db" / "daily_sales__v2", tmp_path / "db" / "daily_sales__v2_abc"]
+    for folder in left:
+        folder.mkdir()
+        (folder / "part-0.parquet").write_bytes(b"broken")
+    (tmp_path / "db" / "other__v1_x").mkdir()
+    reader = store.read("daily_sales")
+    for _ in range(3):
+        summary.refresh(store, one, AS_OF, ["daily_sales"])
+    assert not any(folder.exists() for folder in left) and (tmp_path / "db" / "other__v1_x").exists()
+    assert rows(reader, "tickets") == [1]
 
 
 def test_refresh_runs_in_dependency_order(spark, tmp_path, database):

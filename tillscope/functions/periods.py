@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 YEAR_PARTITION = "sale_year"
@@ -74,3 +74,9 @@ def quarter_span(year: int, quarter: int) -> tuple[date, date]:
     start = date(year, 3 * quarter - 2, 1)
     after = date(year + quarter // 4, 3 * (quarter % 4) + 1, 1)
     return start, after - timedelta(days=1)
+
+
+def time_of_day(text: str) -> Column:
+    """A text time as ``HH:mm:ss``; hours, minutes and seconds may have one digit, seconds may be left out. NULL if it is none."""
+    parsed = F.coalesce(F.try_to_timestamp(text, F.lit("H:m:s")), F.try_to_timestamp(text, F.lit("H:m")))
+    return F.date_format(parsed, "HH:mm:ss")

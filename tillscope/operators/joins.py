@@ -1,47 +1,16 @@
-"""Joins of a fact with a dimension, broadcast only below a checked size."""
+"""Joins of a fact with a dimension.
+
+No side is hinted: Spark broadcasts a side by the session's threshold, and adaptive execution decides again from the
+sizes it has measured.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_LIMIT_BYTES = 10 * 1024 * 1024
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's own broadcast threshold in bytes (negative means off)."""
-    value = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_LIMIT_BYTES))
-    text = value.strip().lower().rstrip("b")
-    factor = {"k": 1024, "m": 1024**2, "g": 1024**3}.get(text[-1:], 1)
-    return int(text[:-1]) * factor if factor > 1 else int(text)
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Size the optimizer estimates for ``df`` (no job), None if unavailable."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether the estimate is within the session's broadcast threshold.
-
-    The estimate comes from file sizes and only grows through joins, so it is
-    an upper bound in practice.
-    """
-    size = estimated_bytes(df)
-    return size is not None and size <= broadcast_limit(df)
-
-
-def small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast if ``df`` is small; otherwise Spark joins by shuffle,
-    with adaptive skew handling."""
-    return F.broadcast(df) if is_small(df) else df
 
 
 def with_store(facts: DataFrame, stores: DataFrame, *columns: str) -> DataFrame:
-    return facts.join(small(stores.select("store_id", *columns)), "store_id")
+    return facts.join(stores.select("store_id", *columns), "store_id")
 
 
 def with_product(facts: DataFrame, products: DataFrame, *columns: str) -> DataFrame:
@@ -55,4 +24,4 @@ def with_product(facts: DataFrame, products: DataFrame, *columns: str) -> DataFr
 
 
 def with_day(sales: DataFrame, days: DataFrame, *columns: str) -> DataFrame:
-    return sales.join(small(days.select("sale_date", *columns)), "sale_date")
+    return sales.join(days.select("sale_date", *columns), "sale_date")

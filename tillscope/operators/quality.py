@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.operators.joins import is_small, small
 from tillscope.star import TABLE_NAMES, Star
 
 
@@ -119,6 +118,7 @@ REFERENCE_RULES = (
     ReferenceRule("DQ20", "sales", "sale_date", "calendar", "cal_date"),
     ReferenceRule("DQ20", "inventory", "snapshot_date", "calendar", "cal_date"),
 )
+PASS_TARGETS = ("stores", "calendar")
 DATE_COLUMNS = {"sales": "sale_date", "inventory": "snapshot_date"}
 
 
@@ -179,8 +179,8 @@ def date_range_probe(table: str, calendar: DataFrame) -> Probe:
 def check_table(star: Star, table: str, chosen: Callable[[str], bool]) -> list[DataFrame]:
     """Findings of one table.
 
-    Row rules, the date range and references to small tables share one pass.
-    A reference to a large table is checked on the table's distinct keys.
+    Row rules, the date range and references to stores and days share one pass.
+    A reference to the catalogue is checked on the table's distinct keys.
     """
     df, findings = star.table(table), []
     probes = [Probe(r.rule_id, table, r.name, r.broken()) for r in ROW_RULES if r.table == table and chosen(r.rule_id)]
@@ -189,9 +189,9 @@ def check_table(star: Star, table: str, chosen: Callable[[str], bool]) -> list[D
     for i, rule in enumerate(r for r in REFERENCE_RULES if r.table == table and chosen(r.rule_id)):
         target = star.table(rule.target)
         known = target.select(F.col(rule.target_column).alias(rule.column)).distinct()
-        if is_small(known):
+        if rule.target in PASS_TARGETS:
             found = f"_found_{i}"
-            df = df.join(F.broadcast(known.withColumn(found, F.lit(True))), rule.column, "left")
+            df = df.join(known.withColumn(found, F.lit(True)), rule.column, "left")
             missing = F.col(found).isNull() & F.col(rule.column).isNotNull()
             probes.append(Probe(rule.rule_id, table, rule.name, missing))
         else:
@@ -225,30 +225,42 @@ def broken_row_rules(table: str) -> Column:
     return F.array_distinct(F.array_compact(F.array(*hits)))
 
 
-def split(df: DataFrame, table: str, targets: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) rows by row rules and, with ``targets``, references.
-
-    Rejected rows carry the ids of the rules they break in ``broken_rules``.
-    """
+def mark(df: DataFrame, table: str, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Rows with ``broken_rules``: the ids of the row rules and, with ``targets``, references they break."""
     rows = df.withColumn("broken_rules", broken_row_rules(table))
-    for i, rule in enumerate(r for r in REFERENCE_RULES if r.table == table and targets and r.target in targets):
+    for rule in (r for r in REFERENCE_RULES if r.table == table and targets and r.target in targets):
         known = targets[rule.target].select(F.col(rule.target_column).alias(rule.column), F.lit(True).alias("_known"))
         unknown = F.col("_known").isNull() & F.col(rule.column).isNotNull()
         more = F.when(unknown, F.array(F.lit(rule.rule_id))).otherwise(F.array().cast("array<string>"))
         rows = (
-            rows.join(small(known), rule.column, "left")
+            rows.join(known, rule.column, "left")
             .withColumn("broken_rules", F.array_union("broken_rules", more))
             .drop("_known")
         )
+    return rows
+
+
+def mark_duplicates(rows: DataFrame, key: tuple[str, ...], rule_id: str, primary: bool = False) -> DataFrame:
+    """Marked rows where also every row of a repeated key, and of a missing one if it is primary, breaks ``rule_id``.
+
+    Only rows that broke no rule before are compared. Which copy is the right
+    one cannot be told, so none is kept.
+    """
     whole = F.size("broken_rules") == 0
-    return rows.filter(whole).drop("broken_rules"), rows.filter(~whole)
+    repeated = rows.filter(whole).groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
+    marked = rows.join(repeated.select(*key, F.lit(True).alias("_repeated")), list(key), "left")
+    missing = reduce(Column.__or__, [F.col(c).isNull() for c in key]) if primary else F.lit(False)
+    broken = whole & (F.col("_repeated").isNotNull() | missing)
+    return marked.withColumn(
+        "broken_rules", F.when(broken, F.array(F.lit(rule_id))).otherwise(F.col("broken_rules"))
+    ).drop("_repeated")
 
 
-def split_duplicates(df: DataFrame, key: tuple[str, ...], rule_id: str) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected): every row of a repeated key is rejected.
+def split(df: DataFrame, table: str, targets: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) rows by row rules and, with ``targets``, references.
 
-    Which copy is the right one cannot be told, so none is kept.
+    Rejected rows carry the ids of the rules they break in ``broken_rules``.
     """
-    repeated = df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    rejected = df.join(repeated, list(key), "left_semi").withColumn("broken_rules", F.array(F.lit(rule_id)))
-    return df.join(repeated, list(key), "left_anti"), rejected
+    rows = mark(df, table, targets)
+    whole = F.size("broken_rules") == 0
+    return rows.filter(whole).drop("broken_rules"), rows.filter(~whole)

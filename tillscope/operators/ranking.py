@@ -9,9 +9,14 @@ band depends on the value alone, so tasks that are run again agree with it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillscope.sources.shared import materialized
+
 BANDS_PER_E_FOLD = 64
 MISSING_BAND = 2**31 - 1  # rows without a value come first in falling order
 
@@ -41,7 +46,9 @@ def rank_descending(df: DataFrame, keys: list[str], value: str, name: str) -> Da
 
     Distinct values are counted and ranked, and rows take the rank of their
     value, so even a value that most rows share is no burden on one task.
+    ``df`` is read twice from a stored copy.
     """
+    df = materialized(df)
     counts = _with_band(df.groupBy(*keys, value).agg(F.count("*").alias("_n")), value)
     greater = (
         Window.partitionBy(*keys, "_band")
@@ -59,18 +66,40 @@ def rank_descending(df: DataFrame, keys: list[str], value: str, name: str) -> Da
     return df.join(ranks, same).drop("_value", *[f"_key_{k}" for k in keys])
 
 
-def number_descending(df: DataFrame, keys: list[str], value: str, tiebreak: list[str], name: str) -> DataFrame:
-    """``row_number()`` by falling ``value``, then ``tiebreak``, within ``keys`` (not NULL)."""
-    rows = _with_band(df, value)
-    inside = Window.partitionBy(*keys, "_band").orderBy(F.desc_nulls_first(value), *tiebreak)
+def number_descending(df: DataFrame, keys: list[str], value: str, tiebreak: str, name: str) -> DataFrame:
+    """``row_number()`` by falling ``value``, then rising ``tiebreak`` (a number, not NULL), within ``keys`` (not NULL).
+
+    Rows are numbered inside bands of the value. Equal values share a band, and
+    a value that most rows have would fill one task, so every value is cut once
+    more, into bands of the tiebreak. ``df`` is read twice from a stored copy.
+    """
+    rows = _with_band(materialized(df), value).withColumn("_tie_band", value_band(F.col(tiebreak)))
+    cell = [*keys, "_band", value, "_tie_band"]
+    sizes = rows.groupBy(*cell).agg(F.count("*").alias("_cell_rows"))
+    order = Window.partitionBy(*keys, "_band").orderBy(F.desc_nulls_first(value), "_tie_band")
+    before = F.coalesce(F.sum("_cell_rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    above = sizes.withColumn("_before", before).join(
+        _rows_above(sizes, keys, F.sum("_cell_rows")), [*keys, "_band"]
+    )
+    offsets = above.select(
+        *[F.col(c).alias(f"_cell_{i}") for i, c in enumerate(cell)], (F.col("_rows_above") + F.col("_before")).alias("_offset")
+    )
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_cell_{i}")) for i, c in enumerate(cell)])
+    inside = Window.partitionBy(*cell).orderBy(tiebreak)
     return (
-        rows.join(_rows_above(rows, keys, F.count("*")), [*keys, "_band"])
-        .withColumn(name, F.col("_rows_above") + F.row_number().over(inside))
-        .drop("_band", "_rows_above")
+        rows.join(offsets, same)
+        .withColumn(name, F.col("_offset") + F.row_number().over(inside))
+        .drop("_band", "_tie_band", "_offset", *[f"_cell_{i}" for i in range(len(cell))])
     )
 
 
-def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str) -> DataFrame:
-    """First ``n`` rows per group. Spark cuts to ``n`` per task before it shuffles."""
-    numbered = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def top_per_group(
+    df: DataFrame, keys: list[str], order: list[Column], n: int, name: str, number: Callable[[], Column] = F.row_number
+) -> DataFrame:
+    """First ``n`` rows per group.
+
+    Spark cuts to ``n`` per task before it shuffles while ``n`` is at most
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 by default).
+    """
+    numbered = df.withColumn(name, number().over(Window.partitionBy(*keys).orderBy(*order)))
     return numbered.filter(F.col(name) <= n)

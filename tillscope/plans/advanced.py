@@ -20,21 +20,26 @@ def category_affinity(
 
     An occurrence is a pair of product names of two categories in a ticket;
     its value is the sum of both. Instead of building those pairs, a ticket is
-    reduced to one entry per category (number of names, value). With names na,
-    nb and values va, vb the ticket adds na*nb occurrences worth
-    va*nb + vb*na, so only category pairs are formed, and they are summed in
-    the same task.
+    reduced to one entry per category: names n, those with a value m, and
+    value v. The ticket adds na*nb occurrences; ma*mb of them have a value, in
+    all va*mb + vb*ma. So only category pairs are formed, and they are summed
+    in the same task. Products without a category take no part.
     """
     lines = with_net(sold_between(star.sales, start, end)).filter(F.col("ticket_id").isNotNull())
+    bought = lines.groupBy("ticket_id", "product_id").agg(F.sum(NET_X100).cast("decimal(38,4)").alias("value"))
     baskets = (
-        with_product(lines, star.products, "category", "product_name")
+        with_product(bought, star.products, "category", "product_name")
+        .filter(F.col("category").isNotNull())
+        .groupBy("ticket_id", "category", "product_name")
+        .agg(F.sum("value").cast("decimal(38,4)").alias("value"))
         .groupBy("ticket_id", "category")
         .agg(
-            F.count_distinct("product_name").alias("names"),
-            F.sum(NET_X100).cast("decimal(38,4)").alias("value"),
+            F.count("*").alias("names"),
+            F.count("value").alias("valued"),
+            F.coalesce(F.sum("value"), F.lit(0)).cast("decimal(38,4)").alias("value"),
         )
         .groupBy("ticket_id")
-        .agg(F.sort_array(F.collect_list(F.struct("category", "names", "value"))).alias("entries"))
+        .agg(F.sort_array(F.collect_list(F.struct("category", "names", "valued", "value"))).alias("entries"))
         .filter(F.size("entries") > 1)
     )
     pairs = (
@@ -44,17 +49,18 @@ def category_affinity(
             F.col("a.category").alias("category_a"),
             F.col("b.category").alias("category_b"),
             (F.col("a.names") * F.col("b.names")).alias("pairs"),
+            (F.col("a.valued") * F.col("b.valued")).alias("valued"),
             (
-                F.col("a.value") * F.col("b.names").cast("decimal(10,0)")
-                + F.col("b.value") * F.col("a.names").cast("decimal(10,0)")
+                F.col("a.value") * F.col("b.valued").cast("decimal(10,0)")
+                + F.col("b.value") * F.col("a.valued").cast("decimal(10,0)")
             ).alias("value"),
         )
     )
     strongest = (
         pairs.groupBy("category_a", "category_b")
-        .agg(F.sum("pairs").alias("co_occurrences"), F.sum("value").alias("value"))
+        .agg(F.sum("pairs").alias("co_occurrences"), F.sum("valued").alias("valued"), F.sum("value").alias("value"))
         .filter(F.col("co_occurrences") >= min_pairs)
-        .withColumn("avg_joint_value", ratio(money(F.col("value")), "co_occurrences"))
+        .withColumn("avg_joint_value", ratio(money(F.col("value")), "valued"))
         .orderBy(F.desc("co_occurrences"), "category_a", "category_b")
         .limit(n)
     )

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions.measures import ratio, real, share_pct
-from tillscope.functions.periods import days_before, snapshots_between, sold_between
-from tillscope.operators.joins import small, with_product, with_store
+from tillscope.functions.periods import calendar_days, days_before, snapshots_between, sold_between
+from tillscope.operators.joins import with_product, with_store
 from tillscope.star import Star
 
 # Alert labels of the data model.
@@ -76,9 +76,9 @@ def stock_alerts(
         .filter(F.col("observations") >= min_obs)
         .drop("observations")
     )
-    current = latest_stock(star.inventory).filter(
-        F.col("snapshot_date") >= F.lit(days_before(as_of, fresh_days))
-    )
+    # The newest snapshot of a pair is fresh if any is, so older ones are not read.
+    fresh = star.inventory.filter(F.col("snapshot_date") >= F.lit(days_before(as_of, fresh_days)))
+    current = latest_stock(fresh)
     supply = ratio("final_stock", "avg_daily_sales")
     rows = current.join(recent, PAIR, "left").withColumns(
         {
@@ -91,7 +91,7 @@ def stock_alerts(
     return rows.select(
         *PAIR, "category", "brand", "product_name", "chain", "store_name",
         F.col("final_stock").alias("current_stock"), "avg_daily_sales", "days_of_supply", "snapshot_date", "alert",
-    ).orderBy(label_priority(F.col("alert")), "category", "chain")
+    ).orderBy(label_priority(F.col("alert")), "category", "chain", *PAIR)
 
 
 def inventory_turnover(star: Star, start: date, end: date) -> DataFrame:
@@ -104,10 +104,14 @@ def inventory_turnover(star: Star, start: date, end: date) -> DataFrame:
     snapshots = snapshots_between(star.inventory, start, end).select(
         *PAIR, F.col("snapshot_date").alias("sale_date"), "final_stock", "unit_cost"
     )
-    snapshot_days = snapshots.select("sale_date").distinct()
+    snapshot_days = (
+        calendar_days(star.calendar, start, end)
+        .select("sale_date")
+        .join(snapshots.select("sale_date").distinct(), "sale_date", "left_semi")
+    )
     sold = (
         sold_between(star.sales, start, end)
-        .join(small(snapshot_days), "sale_date", "left_semi")
+        .join(snapshot_days, "sale_date", "left_semi")
         .groupBy(*PAIR, "sale_date")
         .agg(F.count("*").alias("lines"), F.sum("quantity").alias("quantity"))
     )
@@ -177,7 +181,7 @@ def inventory_alerts_full(
     return rows.select(
         *PAIR, "category", "brand", "product_name", "chain", "store_name", "region",
         "final_stock", "avg_daily_sales", "days_of_supply", "alert", "snapshot_date",
-    ).orderBy(label_priority(F.col("alert"), levels=3), "category", "chain")
+    ).orderBy(label_priority(F.col("alert"), levels=3), "category", "chain", *PAIR)
 
 
 def recent_sales(star: Star, as_of: date, lookback_days: int = 30, min_days: int = 3) -> DataFrame:
@@ -214,7 +218,7 @@ def with_supply(rows: DataFrame, low: int, high: int) -> DataFrame:
 
 def critical_alerts(alerts: DataFrame) -> DataFrame:
     """Stockouts and low stock from the alert summary, most urgent first."""
-    return alerts.filter(F.col("alert").isin(OUT_OF_STOCK, LOW_STOCK)).orderBy("priority", "category", "chain")
+    return alerts.filter(F.col("alert").isin(OUT_OF_STOCK, LOW_STOCK)).orderBy("priority", "category", "chain", *PAIR)
 
 
 def alerts_for_chain(alerts: DataFrame, chain: str) -> DataFrame:

@@ -9,12 +9,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.functions.periods import time_of_day
 from tillscope.operators.keys import assign_keys
-from tillscope.operators.quality import split, split_duplicates
+from tillscope.operators.quality import mark, mark_duplicates
 from tillscope.sources.csv import CORRUPT, read_csv, with_defaults, with_inventory_value
 from tillscope.sources.warehouse import Warehouse
 
 
+REJECTED = "rejected_rows"
+
+
 @dataclass(frozen=True)
 class SourceFiles:
     products: str
@@ -23,7 +27,7 @@ class SourceFiles:
     inventory: str
 
 
-def _stage(table: str, paths, warehouse: Warehouse, key: str | None) -> DataFrame:
+def _stage(table: str, paths, warehouse: Warehouse, key: str | None, start_after: int = 0) -> DataFrame:
     """Parse a table's files once, into a staging table; rows that do not parse are kept marked.
 
     A generated key is assigned on the scan of the staging table, where the
@@ -33,55 +37,101 @@ def _stage(table: str, paths, warehouse: Warehouse, key: str | None) -> DataFram
     name = warehouse.name(f"staging_{table}")
     raw.write.mode("overwrite").format("parquet").saveAsTable(name)
     staged = warehouse.spark.table(name)
-    return assign_keys(staged, key) if key else staged
-
-
-def _as_rejects(table: str, df: DataFrame) -> DataFrame:
+    return assign_keys(staged, key, start_after) if key else staged
+
+
+def _parsed(table: str, staged: DataFrame) -> DataFrame:
+    """Staged rows with ``broken_rules`` where a field is no value of its type; times of day in one form."""
+    bad = F.col(CORRUPT).isNotNull()
+    if table == "sales":
+        bad = bad | (F.col("sale_time").isNotNull() & time_of_day("sale_time").isNull())
+        staged = staged.withColumn("_time", time_of_day("sale_time"))
+    rows = staged.withColumn("_unparsed", bad)
+    if table == "sales":
+        rows = rows.withColumn("sale_time", F.coalesce("_time", "sale_time")).drop("_time")
+    return rows
+
+
+def _checked(
+    table: str,
+    staged: DataFrame,
+    warehouse: Warehouse,
+    keys: dict[str, tuple[str, ...]],
+    targets: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """The staged rows with the rules they break, computed once into a table."""
+    rows = mark(with_defaults(_parsed(table, staged), table), table, targets)
+    rows = rows.withColumn("broken_rules", F.when(F.col("_unparsed"), F.array(F.lit("PARSE"))).otherwise(F.col("broken_rules")))
+    for rule_id, key in keys.items():
+        rows = mark_duplicates(rows, key, rule_id, primary=rule_id == "DQ1")
+    name = warehouse.name(f"checked_{table}")
+    rows.drop("_unparsed").write.mode("overwrite").format("parquet").saveAsTable(name)
+    return warehouse.spark.table(name)
+
+
+def _valid(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.size("broken_rules") == 0).drop("broken_rules", CORRUPT)
+
+
+def _rejects(table: str, checked: DataFrame) -> DataFrame:
     """Rejected rows of any table in one shape."""
-    data = [c for c in df.columns if c not in ("broken_rules", "created_at", "updated_at")]
-    return df.select(
+    data = [c for c in checked.columns if c not in ("broken_rules", "created_at", "updated_at")]
+    return checked.filter(F.size("broken_rules") > 0).select(
         F.lit(table).alias("table_name"), "broken_rules", F.to_json(F.struct(*data)).alias("source_row")
     )
 
 
+def _store_rejects(checked: dict[str, DataFrame], warehouse: Warehouse) -> DataFrame:
+    name = warehouse.name(REJECTED)
+    rejects = reduce(DataFrame.unionByName, [_rejects(table, rows) for table, rows in checked.items()])
+    rejects.write.mode("overwrite").format("parquet").saveAsTable(name)
+    return warehouse.spark.table(name)
+
+
+SALE_KEYS: dict[str, tuple[str, ...]] = {}
+STOCK_KEYS = {"DQ4": ("product_id", "store_id", "snapshot_date")}
+
+
 def load_star(files: SourceFiles, calendar: DataFrame, warehouse: Warehouse) -> DataFrame:
-    """Read, check and store all tables; returns the rejected rows.
+    """Read, check and store all tables anew; returns the rejected rows.
 
-    Files are parsed into staging tables, which stay until the next load, so
-    that the rejected rows can be read. Dimensions are stored first, since facts are checked against them and
-    against the calendar. Rejected rows keep the ids of the rules they break.
+    Files are parsed into staging tables and checked into ``checked_`` tables,
+    each once. Dimensions are stored first, since facts are checked against
+    them and against the calendar. Rejected rows keep the ids of the rules they
+    break, in a table that stays until the next load.
     """
-    rejected: list[DataFrame] = []
-
-    def admit(table: str, rows: DataFrame, keys: dict[str, tuple[str, ...]], targets=None) -> DataFrame:
-        good, bad = split(rows, table, targets)
-        rejected.append(_as_rejects(table, bad))
-        for rule_id, key in keys.items():
-            good, repeated = split_duplicates(good, key, rule_id)
-            rejected.append(_as_rejects(table, repeated))
-        return good
-
-    def stage(table: str, paths, key: str | None = None) -> DataFrame:
-        staged = _stage(table, paths, warehouse, key)
-        unparsed = staged.filter(F.col(CORRUPT).isNotNull()).withColumn("broken_rules", F.array(F.lit("PARSE")))
-        rejected.append(_as_rejects(table, unparsed))
-        return with_defaults(staged.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), table)
-
+    checked: dict[str, DataFrame] = {}
     warehouse.write_table("calendar", calendar)
-    products = admit("products", stage("products", files.products), {"DQ1": ("product_id",), "DQ2": ("sku",)})
-    warehouse.write_table("products", products)
-    stores = admit("stores", stage("stores", files.stores), {"DQ1": ("store_id",), "DQ3": ("store_code",)})
-    warehouse.write_table("stores", stores)
-
-    stored = {name: warehouse.table(name) for name in ("products", "stores", "calendar")}
-    sales = admit("sales", stage("sales", list(files.sales), "sale_id"), {}, stored)
-    warehouse.write_sales(sales)
-    inventory = admit(
-        "inventory",
-        stage("inventory", files.inventory, "inventory_id"),
-        {"DQ4": ("product_id", "store_id", "snapshot_date")},
-        stored,
-    )
-    warehouse.write_table("inventory", with_inventory_value(inventory))
+    for table, paths, keys in (
+        ("products", files.products, {"DQ1": ("product_id",), "DQ2": ("sku",)}),
+        ("stores", files.stores, {"DQ1": ("store_id",), "DQ3": ("store_code",)}),
+    ):
+        checked[table] = _checked(table, _stage(table, paths, warehouse, None), warehouse, keys)
+        warehouse.write_table(table, _valid(checked[table]))
+
+    stored = _targets(warehouse)
+    staged = _stage("sales", list(files.sales), warehouse, "sale_id")
+    checked["sales"] = _checked("sales", staged, warehouse, SALE_KEYS, stored)
+    warehouse.write_sales(_valid(checked["sales"]))
+    staged = _stage("inventory", files.inventory, warehouse, "inventory_id")
+    checked["inventory"] = _checked("inventory", staged, warehouse, STOCK_KEYS, stored)
+    warehouse.write_table("inventory", with_inventory_value(_valid(checked["inventory"])))
     warehouse.analyze()
-    return reduce(DataFrame.unionByName, rejected)
+    return _store_rejects(checked, warehouse)
+
+
+def _targets(warehouse: Warehouse) -> dict[str, DataFrame]:
+    return {name: warehouse.table(name) for name in ("products", "stores", "calendar")}
+
+
+def append_sales(paths: Sequence[str], warehouse: Warehouse) -> DataFrame:
+    """Add sale files, such as another year, to a filled warehouse; returns the rejected rows of these files.
+
+    Keys continue after the largest stored one. Rows are checked against the
+    dimensions as stored.
+    """
+    last = warehouse.table("sales").agg(F.max("sale_id")).first()[0] or 0
+    staged = _stage("sales", list(paths), warehouse, "sale_id", last)
+    checked = _checked("sales", staged, warehouse, SALE_KEYS, _targets(warehouse))
+    warehouse.write_sales(_valid(checked), mode="append")
+    return _store_rejects({"sales": checked}, warehouse)

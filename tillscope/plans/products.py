@@ -106,7 +106,7 @@ def regional_ranking(star: Star, as_of: date, min_net: int = 1000) -> DataFrame:
     )
     named = with_product(per_product, star.products, "category", "brand", "product_name")
     return (
-        number_descending(named, ["region"], "net_sales", ["product_id"], "region_rank")
+        number_descending(named, ["region"], "net_sales", "product_id", "region_rank")
         .select(
             "region", "product_id", "category", "brand", "product_name",
             "net_sales", "units", "stores", "region_rank",
@@ -132,14 +132,15 @@ def regional_ranking_fast(regional: DataFrame, as_of: date, min_net: int = 1000,
 def top_in_category_region(
     regional: DataFrame, as_of: date, category: str, region: str, n: int = 5
 ) -> DataFrame:
-    """Best products of a category in a region in the month of ``as_of``."""
+    """Products up to rank ``n`` of a category in a region in the month of ``as_of``; ties at the end all stay."""
     rows = regional.filter(
         (F.col("month") == F.lit(month_start(as_of)))
         & (F.col("category") == category)
         & (F.col("region") == region)
     )
-    return (
-        rows.select("product_id", "product_name", "brand", "units", "net_sales")
-        .orderBy(F.desc_nulls_first("net_sales"), "product_id")
-        .limit(n)
+    ranked = top_per_group(
+        rows, ["category", "region"], [F.desc_nulls_first("net_sales")], n, "_rank", number=F.rank
+    )
+    return ranked.select("product_id", "product_name", "brand", "units", "net_sales").orderBy(
+        F.desc_nulls_first("net_sales"), "product_id"
     )

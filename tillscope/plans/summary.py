@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillscope.functions.measures import NET_X100, money, net_sales, ratio, share_pct, with_net
+from tillscope.functions.measures import NET_X100, change_pct, money, net_sales, ratio, share_pct, with_net
 from tillscope.functions.periods import (
     calendar_days,
     days_before,
@@ -133,11 +134,13 @@ def build_inventory_alerts(
 
 
 def build_store_performance(star: Star) -> DataFrame:
-    """Sales, productivity and channel mix per store."""
+    """Sales, productivity and channel mix per store; lines of no listed channel are the share of others."""
     net = F.col(NET_X100)
     per_channel = [
         money(F.sum(F.when(F.col("channel") == c, net))).alias(f"net_{c.replace('-', '_')}") for c in CHANNELS
     ]
+    listed = F.coalesce(F.col("channel").isin(*CHANNELS), F.lit(False))
+    per_channel.append(money(F.sum(F.when(~listed, net))).alias("net_other"))
     per_store = (
         with_net(star.sales)
         .groupBy("store_id")
@@ -150,7 +153,7 @@ def build_store_performance(star: Star) -> DataFrame:
     )
     shares = [
         F.coalesce(share_pct(f"net_{c}", "net_sales"), F.lit(0.0)).alias(f"share_{c}_pct")
-        for c in (name.replace("-", "_") for name in CHANNELS)
+        for c in (*(name.replace("-", "_") for name in CHANNELS), "other")
     ]
     return with_store(
         per_store, star.stores, "store_name", "chain", "format", "region", "floor_area_m2"
@@ -175,32 +178,52 @@ def daily_kpis(daily: DataFrame, as_of: date, chain: str, days: int = 7) -> Data
     )
 
 
+def with_day_before(daily: DataFrame) -> DataFrame:
+    """The daily summary with net sales and tickets of the day before, and the change of net sales in percent.
+
+    The day before is the calendar day, so after a day without sales it is NULL.
+    """
+    keys = ["chain", "format", "region"]
+    before = daily.select(
+        F.date_add("sale_date", 1).alias("sale_date"), *keys,
+        F.col("net_sales").alias("net_sales_before"), F.col("tickets").alias("tickets_before"),
+    )
+    joined = daily.join(before, ["sale_date", *keys], "left")
+    return joined.withColumn("change_pct", change_pct("net_sales", "net_sales_before"))
+
+
 class SummaryStore:
     """Published summary tables of one database.
 
-    Every refresh writes a new table ``name__vN`` and then points the view
-    ``name`` at it. A reader that has started keeps the version it opened; the
-    version before the current one is kept for it and older ones are dropped.
-    One process refreshes at a time.
+    Every refresh writes a new table ``name__vN_x``, where x is new for each
+    attempt, and then points the view ``name`` at it. A reader that has started
+    keeps the version it opened; the last ``keep`` versions are kept, so it
+    survives ``keep - 1`` refreshes. What an attempt that broke off has left is
+    in nobody's way, and the next refresh of that summary clears it. One process
+    refreshes at a time.
     """
 
-    def __init__(self, spark: SparkSession, database: str, location: str | None = None):
+    def __init__(self, spark: SparkSession, database: str, location: str | None = None, keep: int = 4):
         self.spark = spark
         self.database = database
+        self.keep = keep
         place = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
-    def _versions(self, name: str) -> list[int]:
+    def _tables(self, name: str) -> dict[int, str]:
+        """Table names of a summary by version number."""
         prefix = f"{name}__v"
-        tables = self.spark.catalog.listTables(self.database, f"{prefix}*")
-        return sorted(int(t.name[len(prefix):]) for t in tables)
+        found = [t.name for t in self.spark.catalog.listTables(self.database, f"{prefix}*")]
+        return dict(sorted((int(t[len(prefix):].split("_")[0]), t) for t in found))
 
     def publish(
         self, name: str, df: DataFrame, as_of: date, freshness: str | None = None, partition_by: Iterable[str] = ()
     ) -> None:
         """Write a new version and switch readers to it."""
-        versions = self._versions(name)
-        table = f"{self.database}.{name}__v{(versions[-1] if versions else 0) + 1}"
+        self.clear_leftovers(name)
+        tables = self._tables(name)
+        number = max(tables, default=0) + 1
+        table = f"{self.database}.{name}__v{number}_{uuid.uuid4().hex[:12]}"
         writer = df.write.mode("errorifexists").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -212,16 +235,29 @@ class SummaryStore:
         )
         analyze(self.spark, table)
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS SELECT * FROM {table}")
-        for old in versions[:-1]:
+        for old in sorted(tables)[: max(0, len(tables) + 1 - self.keep)]:
             self.drop_version(name, old)
 
+    def clear_leftovers(self, name: str) -> None:
+        """Delete folders of a summary's versions that the catalog does not know."""
+        place = self.spark.catalog.getDatabase(self.database).locationUri
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.exists(path):
+            return
+        known = set(self._tables(name).values())
+        for entry in system.listStatus(path):
+            folder = entry.getPath()
+            if folder.getName().startswith(f"{name}__v") and folder.getName() not in known:
+                system.delete(folder, True)
+
     def drop_version(self, name: str, version: int) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}__v{version}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{self._tables(name)[version]}")
 
     def drop(self, name: str) -> None:
         """Remove a summary with all its versions, if it exists."""
         self.spark.sql(f"DROP VIEW IF EXISTS {self.database}.{name}")
-        for version in self._versions(name):
+        for version in self._tables(name):
             self.drop_version(name, version)
 
     def read(self, name: str) -> DataFrame:
@@ -232,10 +268,10 @@ class SummaryStore:
         return sorted(t.name for t in tables if t.tableType == "VIEW" and not t.isTemporary)
 
     def version(self, name: str) -> int:
-        return self._versions(name)[-1]
+        return max(self._tables(name))
 
     def current_table(self, name: str) -> str:
-        return f"{self.database}.{name}__v{self.version(name)}"
+        return f"{self.database}.{self._tables(name)[self.version(name)]}"
 
     def properties(self, name: str) -> dict[str, str]:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.current_table(name)}").collect()
@@ -264,6 +300,16 @@ SUMMARIES = {
         "month",
         needs=("product_months",),
     ),
+    "daily_sales_by_category": Summary(
+        lambda s, _, d: build_daily_summary(s, by_category=True), "variants", "sale_date", ("year",)
+    ),
+    "product_velocity_months": Summary(lambda s, _, d: build_product_months(s, velocity=True), "variants", "month"),
+    "product_velocity": Summary(
+        lambda s, store, d: rank_product_months(store.read("product_velocity_months")),
+        "variants",
+        "month",
+        needs=("product_velocity_months",),
+    ),
     "regional_performance": Summary(lambda s, _, d: build_regional_performance(s, d), "regional", "month", ("month",)),
     "store_performance": Summary(lambda s, _, d: build_store_performance(s), "sales"),
     "latest_inventory": Summary(lambda s, _, d: build_latest_inventory(s, d), "inventory", "snapshot_date"),

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions.measures import NET_X100, net_sales, ratio, with_net
-from tillscope.functions.periods import calendar_days, sold_between
+from tillscope.functions.periods import calendar_days, sold_between, time_of_day
 from tillscope.operators.joins import with_day, with_store
 from tillscope.operators.quantile import weighted_quantile
 from tillscope.plans.sales import avg_line_value
+from tillscope.sources.shared import materialized
 from tillscope.star import Star
 
 
@@ -30,12 +31,16 @@ def _per_ticket(lines: DataFrame, *groups: str) -> DataFrame:
 
 
 def _whole_tickets(star: Star, start: date, end: date, across_dates: bool) -> DataFrame:
-    """Line count and value of each ticket over all its lines.
+    """Line count and value of each ticket of the range over all its lines.
 
-    ``across_dates`` counts lines outside the range too. Where a ticket is
-    known to lie on one date, switching it off saves reading the other years.
+    ``across_dates`` counts lines outside the range too; they are cut to the
+    tickets of the range before they are grouped, on the same key. Where a
+    ticket is known to lie on one date, switching it off saves reading the
+    other years.
     """
-    lines = _ticket_lines(star) if across_dates else _ticket_lines(star, start, end)
+    lines = _ticket_lines(star, start, end)
+    if across_dates:
+        lines = _ticket_lines(star).join(lines.select("ticket_id").distinct(), "ticket_id", "left_semi")
     return lines.groupBy("ticket_id").agg(
         F.count("*").alias("ticket_lines"), F.sum(NET_X100).alias("ticket_net_x100")
     )
@@ -80,10 +85,13 @@ def monthly_ticket_by_region(
     lines = with_day(_ticket_lines(star, start, end), days, "year", "month", "month_name")
     lines = with_store(lines, star.stores, "region")
     tickets = _per_ticket(lines, *keys)
-    valued = tickets.join(_whole_tickets(star, start, end, across_dates), "ticket_id").withColumn(
-        "weight", F.lit(1) if per_ticket else F.col("lines")
+    # Totals and medians read tickets more than once; lines are read once for them.
+    valued = materialized(
+        tickets.join(_whole_tickets(star, start, end, across_dates), "ticket_id").withColumn(
+            "weight", F.lit(1).cast("long") if per_ticket else F.col("lines")
+        )
     )
-    totals = tickets.groupBy(*keys).agg(
+    totals = valued.groupBy(*keys).agg(
         F.count("*").alias("tickets"),
         net_sales().alias("net_sales"),
         ratio(net_sales(), F.count("*")).alias("net_per_ticket"),
@@ -98,11 +106,15 @@ def monthly_ticket_by_region(
 
 
 def hourly_tickets(star: Star, start: date, end: date) -> DataFrame:
-    """Tickets and net sales by hour of day and store format."""
+    """Tickets and net sales by hour of day and store format.
+
+    Hours may have one digit or two; lines whose time is missing or no time of
+    day are left out.
+    """
     lines = (
         _ticket_lines(star, start, end)
-        .filter(F.col("sale_time").isNotNull())
-        .withColumn("hour", F.substring("sale_time", 1, 2).cast("int"))
+        .withColumn("hour", F.substring(time_of_day("sale_time"), 1, 2).cast("int"))
+        .filter(F.col("hour").isNotNull())
     )
     tickets = _per_ticket(with_store(lines, star.stores, "format"), "hour", "format")
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillscope.sources.schema import CSV_HEADERS, DEFAULTS, STOCK_VALUE, TABLES
+from tillscope.sources.schema import CSV_HEADERS, DEFAULTS, KEYS, STOCK_VALUE, TABLES
 
 CORRUPT = "corrupt_record"
 # What an unquoted empty field is read as before it becomes NULL. It differs
@@ -75,13 +75,13 @@ def write_csv(df: DataFrame, table: str, path: str) -> None:
 def with_defaults(df: DataFrame, table: str) -> DataFrame:
     """Add columns the source left out: their default, or NULL without one.
 
-    Key columns are not invented here; see ``tillscope.operators.keys``.
+    The table's own key is not invented here; see ``tillscope.operators.keys``.
     """
     defaults = DEFAULTS[table]
     missing = {
         field.name: F.expr(defaults.get(field.name, "NULL")).cast(field.dataType)
         for field in TABLES[table].fields
-        if field.name not in df.columns and (field.name in defaults or not field.name.endswith("_id"))
+        if field.name not in df.columns and field.name != KEYS.get(table)
     }
     return df.withColumns(missing) if missing else df
 

@@ -5,21 +5,41 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach, as named by the session.
+    """The folder all executors reach: that of the session's setting, else the context's checkpoint folder.
 
-    Only where the session names none (a local test run) a temporary folder of
-    this machine is used.
+    Where neither is set, a run inside one process uses a temporary folder of
+    this machine; on a cluster executors would each write to their own disks,
+    so that is an error.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    return folder.rstrip("/") if folder else tempfile.mkdtemp(prefix="tillscope-")
+    if not folder:
+        found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = found.get() if found.isDefined() else None
+    if folder:
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="tillscope-")
 
 
 def fresh_folder(spark: SparkSession) -> str:
     """A new, unused folder name inside the shared folder."""
     return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared folder and read from there.
+
+    For rows that a plan reads several times and that no executor's loss may
+    take away.
+    """
+    path = fresh_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -25,6 +25,17 @@ def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
 
 
+def statistics(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:
+    """What the catalog holds about columns: rows of the table, least and greatest value, and NULLs."""
+    size = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Statistics'").first()["data_type"]
+    total = int(size.split(",")[1].split()[0])
+    rows = []
+    for column in columns:
+        info = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} {column}").collect()}
+        rows.append((column, total, info["min"], info["max"], int(info["num_nulls"])))
+    return spark.createDataFrame(rows, "column_name string, rows long, least string, greatest string, nulls long")
+
+
 class Warehouse:
     """Load, clear and read the five tables.
 

@@ -176,6 +176,7 @@ SPOILED = {
         ("list_price", 13, 6, "-1"),
         ("subcategory", 17, 2, "'a subcategory name that is longer than fifty letters in all'"),
         ("brand", 19, 4, "NULL"),
+        ("product_id", 29, 7, "NULL"),
     ]),
     "stores": ("_key", [
         ("store_name", 9, 2, "''"),
@@ -183,6 +184,7 @@ SPOILED = {
         ("floor_area_m2", 8, 1, "0"),
         ("city", 11, 4, "NULL"),
         ("postal_code", 12, 5, "'12345-678901'"),
+        ("store_id", 14, 6, "NULL"),
     ]),
     "sales": ("_key", [
         ("quantity", 101, 1, "0"),
@@ -206,6 +208,7 @@ SPOILED = {
         ("unit_cost", 127, 6, "NULL"),
         ("snapshot_date", 131, 7, "DATE '2090-01-01'"),
         ("store_id", 137, 8, "-1"),
+        ("product_id", 139, 9, "-1"),
     ]),
 }
 KEYS = {"products": "product_id", "stores": "store_id", "sales": "sale_id", "inventory": "inventory_id"}
