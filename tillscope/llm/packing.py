@@ -45,7 +45,7 @@ def partition_evenly(sizes: list[int], ways: int) -> list[list[int]]:
         joined = a[: len(a) - shared] + b[: len(b) - shared]
         low_a, low_b = a[len(a) - shared :], b[len(b) - shared :]
         joined += [(x[0] + y[0], x[1] + y[1]) for x, y in zip(low_a, reversed(low_b))]
-        joined.sort(key=lambda place: -place[0])
+        joined.sort(reverse=True)
         least = joined[-1][0] if len(joined) == ways else 0
         heapq.heappush(heap, (least - joined[0][0], serial, joined))
         serial += 1
