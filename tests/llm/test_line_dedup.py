@@ -84,7 +84,15 @@ def test_equal_rows_are_one_document_and_empty_table(documents):
     assert line_dedup.decide(docs.limit(0)).documents.count() == 0
 
 
+def test_lines_that_occur_often(documents, monkeypatch):
+    monkeypatch.setattr(line_dedup, "OFTEN", 2)
+    random.seed(6)
+    base = ["".join(random.choice("abcde fé") for _ in range(40)) for _ in range(4)]
+    texts = ["\n".join(edited(random.choice(base), random.choice([0, 0, 0, 1])) for _ in range(6)) for _ in range(12)]
+    found = line_dedup.decide(documents(*texts)).documents.collect()
+    assert {r.doc_id: (list(r.exact), list(r.near)) for r in found} == plain(list(enumerate(texts)), 2, 20)
+
+
 def test_no_python_in_the_plan(documents):
-    near = line_dedup._near_links(line_dedup._lines(documents("a\nb").withColumn("text_hash", F.lit(1))), 2, 20)
-    plan = near._jdf.queryExecution().executedPlan().toString()
+    plan = line_dedup.decide(documents("a\nb")).documents._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -3,10 +3,11 @@
 A line within ``threshold`` edits of another keeps at least one of the other's ``threshold + 1`` segments whole. So the
 shorter line is indexed by its segments and their lengths, and the longer one probes with the few substrings that can be
 such a segment, given the difference of the lengths and the edits that may lie on either side. Pairs that meet are
-compared by counts of four characters inside the join, then verified by a banded bit-parallel automaton: one word for
+compared by counts of eight characters inside the join, then verified by a banded bit-parallel automaton: one word for
 each number of edits, whose bits are the places of the diagonal band.
 
-All of it is DataFrame expressions. Texts are shuffled once, as distinct lines; everything else moves hashes.
+All of it is DataFrame expressions. Hashes move; of the texts only those of candidates do, and of few others. A line
+that occurs very often takes part with its first occurrence alone, so no key gets hot through copies.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from tillscope.llm.stored import stored
 
 THRESHOLD = 2
 NEAR_LENGTH = 20
-COUNTED = " ent"
+COUNTED = " entaois"
+OFTEN = 32
+FILTER_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -72,9 +75,8 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
         return F.struct(*[w.alias(n) for w, n in zip(after(0, None), names)])
 
     def run(chars: Column) -> Column:
-        cells = F.transform(F.split(b, ""), lambda c, j: F.struct(c.alias("c"), j.alias("j")))
-        last = F.aggregate(F.filter(cells, lambda x: x["j"] < F.length(b)), start(), step(chars))
-        return last[names[-1]]
+        cells = F.transform(F.slice(F.split(b, ""), 1, F.length(b)), lambda c, j: F.struct(c.alias("c"), j.alias("j")))
+        return F.aggregate(cells, start(), step(chars))[names[-1]]
 
     reached = textstats.let(F.split(a, ""), run)
     place = F.length(a) - F.length(b) + middle
@@ -82,47 +84,51 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
     return (F.abs(F.length(a) - F.length(b)) <= threshold) & bit
 
 
+#: Bytes of a character in the encoding that segments are cut from: of equal width, so a place is found without a scan.
+WIDE, BYTES = "UTF-32", 4
+
+
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment ``i`` (from 1) of a line cut into near-equal parts, the shorter ones first."""
+    """Start (from 0) and length of segment ``i`` (from 1) of a line cut into near-equal parts, the shorter ones first."""
     base, longer = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    start = F.lit(1) + base * (i - 1) + F.greatest(F.lit(0), longer - (parts - i + 1))
+    start = base * (i - 1) + F.greatest(F.lit(0), longer - (parts - i + 1))
     return start, base + (F.lit(i) > parts - longer).cast("int")
 
 
-def _key(i: int, length: Column, piece: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, piece)
+def _key(i: int, length: Column, wide: Column, start: Column, size: Column) -> Column:
+    return F.xxhash64(F.lit(i), length, F.substr(wide, start * BYTES + 1, size * BYTES))
 
 
-def _index_keys(line: Column, threshold: int) -> Column:
-    length, parts = F.length(line), threshold + 1
-    return F.array(*[_key(i, length, F.substr(line, *_segment(length, i, parts))) for i in range(1, parts + 1)])
+def _index_keys(wide: Column, length: Column, threshold: int) -> Column:
+    parts = threshold + 1
+    return F.array(*[_key(i, length, wide, *_segment(length, i, parts)) for i in range(1, parts + 1)])
 
 
-def _probe_keys(line: Column, threshold: int, least: int) -> Column:
+def _probe_keys(wide: Column, n: Column, threshold: int, least: int) -> Column:
     """Keys of the substrings that can be a segment of a line shorter by 0 to ``threshold`` characters."""
     parts, keys = threshold + 1, []
     for less in range(threshold + 1):
-        length = F.length(line) - less
+        length = n - less
         for i in range(1, parts + 1):
             start, size = _segment(length, i, parts)
             low, high = max(-(i - 1), less - (parts - i)), min(i - 1, less + (parts - i))
             for shift in range(low, high + 1):
-                keys.append(F.when(length >= least, _key(i, length, F.substr(line, start + shift, size))))
+                keys.append(F.when(length >= least, _key(i, length, wide, start + shift, size)))
     return F.array_compact(F.array(*keys))
 
 
 def _counts(line: Column) -> Column:
-    """Counts of a few characters, 16 bits each."""
+    """Counts of a few characters, 8 bits each."""
     each = [F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in COUNTED]
-    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft((n % 65536).cast("long"), 16 * k) for k, n in enumerate(each)])
+    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft((n % 256).cast("long"), 8 * k) for k, n in enumerate(each)])
 
 
 def _may_be_near(a: Column, b: Column, threshold: int) -> Column:
     """An edit changes one count, or two by one each."""
 
     def apart(k: int) -> Column:
-        d = F.abs(F.shiftright(a, 16 * k).bitwiseAND(65535) - F.shiftright(b, 16 * k).bitwiseAND(65535))
-        return F.least(d, 65536 - d)
+        d = F.abs(F.shiftright(a, 8 * k).bitwiseAND(255) - F.shiftright(b, 8 * k).bitwiseAND(255))
+        return F.least(d, 256 - d)
 
     return reduce(add, [apart(k) for k in range(len(COUNTED))]) <= 2 * threshold
 
@@ -132,27 +138,60 @@ def _second(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Lines with a word: ``doc_id, text_hash, place, line, h1``."""
+    """Lines with a word: ``doc_id, text_hash, place, line, h1, h2``."""
     cut = docs.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    return cut.where(F.length(textstats.without(F.col("line"), textstats.SPACES)) > 0).withColumn("h1", F.xxhash64("line"))
+    worded = cut.where(F.length(textstats.without(F.col("line"), textstats.SPACES)) > 0)
+    return worded.select("*", F.xxhash64("line").alias("h1"), _second(F.col("line")).alias("h2"))
+
+
+def _place() -> Column:
+    return F.struct("doc_id", "text_hash", "place")
+
+
+def _without_copies(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Lines less the later occurrences of those that occur often. Other copies may stay; they change no result."""
+    often = firsts.where(F.col("n") > OFTEN).select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("first").alias("_first"))
+    joined = lines.join(often, (lines["h1"] == often["_h1"]) & (lines["h2"] == often["_h2"]), "left")
+    return joined.where(F.col("_h1").isNull() | _place().eqNullSafe(F.col("_first"))).drop("_h1", "_h2", "_first")
 
 
-def _near_links(lines: DataFrame, threshold: int, least: int) -> DataFrame:
+def _wanted(hashes: DataFrame) -> Column:
+    """A test of ``h1`` against a bitmap of fixed size of the given ones: at most 2**14 numbers, written into the plan.
+
+    All that are given pass, and few others while the bitmap is not full.
+    """
+    place = F.shiftrightunsigned("h1", 64 - FILTER_BITS)
+    word, bit = F.shiftrightunsigned(place, 6).cast("int"), place.bitwiseAND(63).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    table = [0] * (1 << (FILTER_BITS - 6))
+    for row in hashes.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits")).collect():
+        table[row["word"]] = row["bits"]
+    bitmap = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    return F.get(bitmap, word).bitwiseAND(one) != 0
+
+
+def _near_links(lines: DataFrame, firsts: DataFrame, threshold: int, least: int) -> DataFrame:
     """Pairs of distinct lines within the threshold: ``h1_a, h2_a, h1_b, h2_b``."""
     long_lines = lines.where(F.length("line") >= least)
-    distinct = long_lines.groupBy("h1").agg(F.first("line").alias("line"))
-    keyed = distinct.select("h1", "line", _counts(F.col("line")).alias("counts"))
-    index = keyed.select(F.explode(_index_keys(F.col("line"), threshold)).alias("key"), "h1", "counts")
+    wide = _without_copies(long_lines, firsts).select(
+        "h1", F.encode("line", WIDE).alias("wide"), _counts(F.col("line")).alias("counts")
+    )
+    keyed = wide.withColumn("n", (F.octet_length("wide") / BYTES).cast("int"))
+    index = keyed.select(F.explode(_index_keys(F.col("wide"), F.col("n"), threshold)).alias("key"), "h1", "counts")
     probe = keyed.select(
-        F.explode(_probe_keys(F.col("line"), threshold, least)).alias("key"), F.col("h1").alias("h1_b"),
+        F.explode(_probe_keys(F.col("wide"), F.col("n"), threshold, least)).alias("key"), F.col("h1").alias("h1_b"),
         F.col("counts").alias("counts_b"),
     )
     meet = (index["key"] == probe["key"]) & (index["h1"] != probe["h1_b"])
     met = index.join(probe, meet & _may_be_near(index["counts"], probe["counts_b"], threshold))
-    pairs = met.select(F.least("h1", "h1_b").alias("h1_a"), F.greatest("h1", "h1_b").alias("h1_b")).distinct()
-    of_a = distinct.select(F.col("h1").alias("h1_a"), F.col("line").alias("line_a"))
-    of_b = distinct.select(F.col("h1").alias("h1_b"), F.col("line").alias("line_b"))
-    both = pairs.join(of_a, "h1_a").join(of_b, "h1_b")
+    pairs = stored(met.select(F.least("h1", "h1_b").alias("h1_a"), F.greatest("h1", "h1_b").alias("h1_b")).distinct())
+    sides = pairs.select("*", F.explode(F.array("h1_a", "h1_b")).alias("h1"))
+    said = long_lines.where(_wanted(sides)).groupBy("h1").agg(F.first("line").alias("line"))
+    texts = sides.join(said, "h1").groupBy("h1_a", "h1_b").agg(
+        F.max(F.when(F.col("h1") == F.col("h1_a"), F.col("line"))).alias("line_a"),
+        F.max(F.when(F.col("h1") == F.col("h1_b"), F.col("line"))).alias("line_b"),
+    )
+    both = texts.where("line_a IS NOT NULL AND line_b IS NOT NULL")
     near = both.where(within_edits(F.col("line_a"), F.col("line_b"), threshold))
     return near.select("h1_a", _second(F.col("line_a")).alias("h2_a"), "h1_b", _second(F.col("line_b")).alias("h2_b"))
 
@@ -176,10 +215,9 @@ def decide(
         F.col(id_column).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash")
     )
     lines = _lines(docs)
-    links = stored(_near_links(lines, threshold, near_length))
-    places = stored(lines.select("doc_id", "text_hash", "place", "h1", _second(F.col("line")).alias("h2")))
-    at = F.struct("doc_id", "text_hash", "place")
-    firsts = stored(places.groupBy("h1", "h2").agg(F.min(at).alias("first")))
+    places, at = stored(lines.drop("line")), _place()
+    firsts = stored(places.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n")))
+    links = stored(_near_links(lines, firsts, threshold, near_length))
     first_a = firsts.select(F.col("h1").alias("h1_a"), F.col("h2").alias("h2_a"), F.col("first").alias("first_a"))
     first_b = firsts.select(F.col("h1").alias("h1_b"), F.col("h2").alias("h2_b"), F.col("first").alias("first_b"))
     both = links.join(first_a, ["h1_a", "h2_a"]).join(first_b, ["h1_b", "h2_b"])
@@ -187,8 +225,8 @@ def decide(
     a_later = F.col("first_a") > F.col("first_b")
     ordered = stored(both.select(F.when(a_later, a).otherwise(b).alias("later"), F.when(a_later, b).otherwise(a).alias("earlier")))
     near = ordered.select("later.*").distinct().withColumn("near", F.lit(True))
-    judged = stored(firsts.join(near, ["h1", "h2"], "left"))
-    seen = places.join(judged, ["h1", "h2"])
+    judged = firsts.join(near, ["h1", "h2"], "left").where((F.col("n") > 1) | F.col("near"))
+    seen = places.join(stored(judged.drop("n")), ["h1", "h2"])
     exact = ~at.eqNullSafe(F.col("first"))
     gone = seen.where(exact | F.col("near")).groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_set(F.when(exact, F.col("place")))).alias("exact"),
