@@ -3,8 +3,9 @@
 1. One pass over the texts gives each document a digest of its words and the keys of its bands.
 2. Exact copies (equal words) stand behind the smallest document id among them.
 3. Documents that share a band key are candidates. Pairs are taken in rounds: the first documents of a bucket, those that
-   meet most others, are compared with all members that are not yet in their class. Then what is left apart is compared
-   pair by pair. So a bucket of n documents of one class costs about n comparisons, and no pair of different texts is left out.
+   meet most others, are compared with all members that are not yet in their class. So a bucket of n documents of one
+   class costs about n comparisons. Buckets that hold several classes after that are cut into blocks, and each pair of
+   blocks goes to a task of its own, where members not yet in one class are compared. No pair of different texts is left out.
 4. A pair is a near-duplicate if the best alignment of its shingles shares at least the given part of them.
 5. Classes are the connected components.
 """
@@ -28,6 +29,7 @@ from tillscope.llm.stored import stored
 from tillscope.llm.words import mix, small_batches, split_words
 
 ROUNDS = 3
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -122,20 +124,96 @@ def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _candidates(members: DataFrame, heads: DataFrame, place: int, least: float) -> DataFrame:
-    """Pairs of a bucket that are in different classes: with its member at ``place``, or of all that have had no place."""
-    if place <= ROUNDS:
-        ours = heads.where(F.col("place") == place).select("band", "node")
-        one, other = members.join(ours, ["band", "node"], "left_semi"), members
-    else:
-        one = other = members.join(heads.select("band", "node"), ["band", "node"], "left_anti")
-    x = one.select("band", *(F.col(c).alias(f"{c}_x") for c in ("node", "size", "root")))
-    y = other.select("band", *(F.col(c).alias(f"{c}_y") for c in ("node", "size", "root")))
-    apart = F.col("root_x") != F.col("root_y") if place <= ROUNDS else F.col("root_x") < F.col("root_y")
+    """Pairs of the bucket's member at ``place`` with the members that are not in its class."""
+    x = members.join(heads.where(F.col("place") == place).select("band", "node"), ["band", "node"], "left_semi")
+    x = x.select("band", *(F.col(c).alias(f"{c}_x") for c in ("node", "size", "root")))
+    y = members.select("band", *(F.col(c).alias(f"{c}_y") for c in ("node", "size", "root")))
     close = F.least("size_x", "size_y") >= least * F.greatest("size_x", "size_y")
-    pairs = x.join(y, (x["band"] == y["band"]) & apart & close)
+    pairs = x.join(y, (x["band"] == y["band"]) & (F.col("root_x") != F.col("root_y")) & close)
     return pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
+def _blocks(members: DataFrame, heads: DataFrame, block: int) -> DataFrame:
+    """Members of buckets of several classes for each pair of blocks they are in: ``band, i, j, own, node, root``.
+
+    Members that had a place have been compared with all others. A bucket of n members has n / block blocks.
+    """
+    rest = members.join(heads.select("band", "node"), ["band", "node"], "left_anti")
+    mixed = rest.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    parts = mixed.where("low <> high").select("band", F.ceil(F.col("n") / block).cast("int").alias("parts"))
+    placed = rest.join(parts, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    other = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    return other.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root")
+
+
+def _compared_blocks(blocks: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Verified pairs ``a, b, similarity`` within the blocks. A pair of several buckets is compared in the first of them."""
+
+    def find(roots: dict[int, int], x: int) -> int:
+        while roots.get(x, x) != x:
+            x = roots[x]
+        return x
+
+    def compare(key: tuple, rows: list[dict]) -> list[tuple]:
+        band, i, j = key
+        left = [r for r in rows if r["own"] == i]
+        right = left if i == j else [r for r in rows if r["own"] == j]
+        if not left or not right:
+            return []
+        x, y = (np.array([r["bands"] for r in side], np.int64) for side in (left, right))
+        which = int(np.flatnonzero(x[0] == band)[0])
+        meet = np.ones((len(left), len(right)), bool)
+        for k in range(which):
+            meet &= x[:, k][:, None] != y[:, k][None, :]
+        sizes = [np.array([r["size"] for r in side], float) for side in (left, right)]
+        small, large = (f(sizes[0][:, None], sizes[1][None, :]) for f in (np.minimum, np.maximum))
+        meet &= small >= least * large
+        if i == j:
+            meet = np.triu(meet, 1)
+        hashes: dict[int, np.ndarray] = {}
+
+        def sequence(row: dict) -> np.ndarray:
+            if row["node"] not in hashes:
+                hashes[row["node"]] = order_sketch.sequence(split_words(pc.utf8_lower(pa.array([row["text"]], pa.string()))))[0]
+            return hashes[row["node"]]
+
+        roots: dict[int, int] = {}
+        found = []
+        for p, q in np.argwhere(meet).tolist():
+            one, other = left[p], right[q]
+            a, b = find(roots, one["root"]), find(roots, other["root"])
+            if a == b:
+                continue
+            share = order_sketch.similarity(sequence(one), sequence(other), least)
+            if share > 0:
+                roots[max(a, b)] = min(a, b)
+                found.append((min(one["node"], other["node"]), max(one["node"], other["node"]), share))
+        return found
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in small_batches(batches, "text"):
+            found = []
+            for row in batch.to_pylist():
+                if (own := (row["band"], row["i"], row["j"])) != key:
+                    found += compare(key, rows) if rows else []
+                    key, rows = own, []
+                rows.append(row)
+            yield pairs(found)
+        yield pairs(compare(key, rows) if rows else [])
+
+    def pairs(found: list[tuple]) -> pa.RecordBatch:
+        a, b, share = zip(*found) if found else ((), (), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(share, pa.float64())], names=["a", "b", "similarity"]
+        )
+
+    said = texts.select(F.col("doc_id").alias("node"), "text")
+    filled = blocks.join(nodes.select("node", "size", "bands"), "node").join(said, "node")
+    ordered = filled.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "own", "node")
+    return ordered.mapInArrow(walk, "a long, b long, similarity double")
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = order_sketch.SIMILARITY
 ) -> Classes:
@@ -157,7 +235,7 @@ def near_duplicates(
     members, heads = _members(nodes)
     texts = stored(_texts(docs.where("doc_id IS NOT NULL"), members.select("node")))
     tested = links = roots = None
-    for place in range(1, ROUNDS + 2):
+    for place in range(1, ROUNDS + 1):
         pairs = _candidates(_rooted(members, roots), heads, place, least)
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
@@ -166,6 +244,11 @@ def near_duplicates(
         tested = pairs if tested is None else tested.union(pairs)
         links = found if links is None else links.union(found)
         roots = components(links)
+    blocks = stored(_blocks(_rooted(members, roots), heads, BLOCK))
+    if not blocks.isEmpty():
+        found = stored(_compared_blocks(blocks, nodes, texts, least))
+        links = found if links is None else links.union(found)
+        roots = components(links)
     if links is None:
         links = docs.sparkSession.createDataFrame([], "a long, b long, similarity double")
     own = sketches.select("doc_id", "digest1", "digest2").join(
