@@ -204,8 +204,8 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
         shorter = F.col("code").bitwiseAND((1 << (BITS * order)) - 1)
         levels[order] = stored(levels[order + 1].groupBy("lang", shorter.alias("code")).agg(F.count("*").alias("n")))
     model, place = Model(languages), {name: k for k, name in enumerate(languages)}
-    sizes = {r["lang"]: r["size"] for r in levels[1].groupBy("lang").agg(F.count("*").alias("size")).collect()}
-    model.floor = np.array([1.0 / (sizes[name] + 1) for name in languages])
+    characters = levels[1].select("code").distinct().count()  # of all languages, so that their entropies compare
+    model.floor = np.full(len(languages), 1.0 / (characters + 1))
     for order in range(1, ORDER + 1):
         level, discounts = levels[order], _discounts(levels[order], languages)
         context = F.shiftrightunsigned("code", BITS).alias("context")
