@@ -552,7 +552,7 @@ ORACLES["s15_descriptions"] = query(
     "col_name:s comment:s filled:i",
     " UNION ALL ".join(f"SELECT '{c}' AS col_name, '{note}' AS comment, COUNT({c}) AS filled FROM sales"
                        for c, note in SALES_NOTES.items())
-    + " UNION ALL SELECT 'created_at', 'Row creation time', COUNT(*) FROM sales")
+    + " UNION ALL SELECT 'seller_id', 'Seller', COUNT(*) FROM sales")
 ORACLES["x10_append_year"] = query(
     "sale_year:i lines:i keys:i new_keys:i sellers:i",
     """SELECT year(sale_date) AS sale_year, COUNT(*) AS lines, COUNT(*) AS keys,
