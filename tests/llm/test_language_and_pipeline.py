@@ -69,6 +69,47 @@ def test_a_pruned_model_still_tells_languages_apart(spark):
     assert small.languages == ["de", "en"] and entropies.argmin(axis=1).tolist() == [0, 1]
 
 
+def plain_entropy(texts, text):
+    """Kneser-Ney of all grams over one language's texts, written out."""
+    levels = {4: {}}
+    for code in language_id.codes(pa.array(texts))[0].tolist():
+        levels[4][code] = levels[4].get(code, 0) + 1
+    for k in (3, 2, 1):
+        levels[k] = {}
+        for code in levels[k + 1]:
+            low = code & ((1 << 16 * k) - 1)
+            levels[k][low] = levels[k].get(low, 0) + 1
+    characters = len(levels[1])
+
+    def p(code, k):
+        if k == 0:
+            return 1 / (characters + 1)
+        code &= (1 << 16 * k) - 1
+        n1, n2 = (sum(v == x for v in levels[k].values()) for x in (1, 2))
+        d = min(max(n1 / (n1 + 2 * n2) if n1 else 0.5, 0.1), 0.9)
+        same = [v for c, v in levels[k].items() if c >> 16 == code >> 16]
+        if not same:
+            return p(code, k - 1)
+        return max(levels[k].get(code, 0) - d, 0) / sum(same) + d * len(same) / sum(same) * p(code, k - 1)
+
+    cost = [-np.log(p(code, 4)) for code in language_id.codes(pa.array([text]))[0].tolist()]
+    return sum(cost) / len(cost)
+
+
+@pytest.mark.parametrize("cells", [4_000_000, 30, 1])
+def test_every_gram_counts_whatever_tasks_hold(spark, monkeypatch, cells):
+    random.seed(4)
+    monkeypatch.setattr(language_id, "HELD_CELLS", cells)
+    seen = [sentence("en") for _ in range(20)] + ["qxv zzkw jjyx vvq"]
+    texts = [sentence("en"), "qxv zzkw jjyx vvq", "zzkw never seen жук", "the qxv"]
+    model = language_id.train(spark.createDataFrame([("en", t) for t in seen], "lang string, text string"), max_grams=cells)
+    model.weight, model.means, model.spreads = 1.0, np.array([3.0]), np.array([3.0])
+    table = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, *texts])], "doc_id long, text string")
+    found = {r.doc_id: r.cross_entropy for r in language_id.classify(table, model).collect()}
+    assert [found[k] for k in range(8)] == pytest.approx([plain_entropy(seen, t) for t in texts] * 2, rel=1e-9)
+    assert model.entropies(pa.array(texts))[1][:, 0] == pytest.approx([found[k] for k in range(4)], rel=1e-9)
+
+
 def test_every_stage_acts_on_what_the_one_before_kept(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -3,7 +3,8 @@
 Texts are lower-cased; every run of characters that are no letters is one separator. The model of a language gives the
 probability of a character after the three before it. Counts of all orders come from the whole training corpus: the top
 order counts characters in context, lower ones count the different characters seen before a gram. What a discount takes
-from seen grams goes to the next lower order. Models lie in sorted arrays of hashes, one column for each language.
+from seen grams goes to the next lower order. No gram is left out: probabilities are computed in Spark and lie in tables.
+Tasks hold the costs of the most frequent grams only, and the others meet theirs in a join.
 
 A text gets the language with the lowest cross-entropy per character. Its score is the language's share under a softmax
 over entropies, with a weight fitted on a part of the training rows that the counts leave out; the same part gives the
@@ -22,11 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.stored import stored
-from tillscope.llm.words import mix, small_batches
+from tillscope.llm.words import small_batches
 
 ORDER = 4
 BITS = 16
 MAX_GRAMS = 500_000
+HELD_CELLS = 4_000_000
 PIECE = 1 << 20
 WEIGHTS = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0)
 DEVIATIONS = 8.0
@@ -84,54 +86,94 @@ def codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code[inner], np.repeat(np.asarray(rows), lengths)[inner]
 
 
-def _low(code: np.ndarray, order: int) -> np.ndarray:
-    return code & np.uint64((1 << (BITS * order)) - 1)
+@dataclass
+class Held:
+    """Codes of the top order in ascending order, and the probability of each in every language."""
+
+    codes: np.ndarray
+    probabilities: np.ndarray
+
+    @staticmethod
+    def of(table: DataFrame, width: int) -> Held:
+        """From the rows ``code, p``."""
+        found = table.select("code", F.explode("p").alias("p")).toArrow() if width else table.select("code", "code").limit(0).toArrow()
+        code = found.column(0).to_numpy().view(np.uint64).reshape(-1, max(width, 1))[:, 0]
+        order = np.argsort(code)
+        return Held(code[order], found.column(1).to_numpy().astype(float).reshape(-1, max(width, 1))[order])
+
+    def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which codes are held, and the cost of each in every language; 0 for the others."""
+        if not len(self.codes):
+            return np.zeros(len(code), bool), np.zeros((len(code), self.probabilities.shape[1]))
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        known = self.codes[at] == code
+        return known, np.where(known[:, None], -np.log(self.probabilities[at]), 0.0)
 
 
 @dataclass
 class Model:
-    """Arrays of each order, sorted by hash: probabilities of grams, and shares that contexts pass to lower orders."""
+    """Every gram's probability and every context's share for lower orders, as tables in the shared folder.
+
+    ``seen[order]`` has ``code, p`` and ``shares[order]`` has ``context, share``: arrays over the languages, null where a
+    language has not seen it. ``base`` is the probability of a character that a language has not seen. ``held`` has the final
+    probabilities of the most frequent codes, which spares a join for them; it does not change any result.
+    """
 
     languages: list[str]
-    grams: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-    shares: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-    floor: np.ndarray | None = None
+    seen: dict[int, DataFrame] = field(default_factory=dict)
+    shares: dict[int, DataFrame] = field(default_factory=dict)
+    base: list[float] = field(default_factory=list)
+    held: Held | None = None
     weight: float = 1.0
     means: np.ndarray | None = None
     spreads: np.ndarray | None = None
 
-    @staticmethod
-    def _find(table: tuple[np.ndarray, np.ndarray], code: np.ndarray) -> np.ndarray:
-        """A row for each code; negative where it is absent."""
-        keys, values = table
-        hashed = mix(code)
-        at = np.minimum(np.searchsorted(keys, hashed), max(len(keys) - 1, 0))
-        rows = values[at] if len(keys) else np.zeros((len(code), values.shape[1]))
-        return np.where((keys[at] == hashed)[:, None] if len(keys) else False, rows, -1.0)
-
-    def probabilities(self, code: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """Probability of each gram's last character in each language."""
-        if order == 0:
-            return np.broadcast_to(self.floor, (len(code), len(self.languages)))
-        low = _low(code, order)
-        lower = self.probabilities(code, order - 1)
-        share = self._find(self.shares[order], low >> np.uint64(BITS))
-        backed = np.where(share >= 0, share, 1.0) * lower
-        seen = self._find(self.grams[order], low)
-        return np.where(seen >= 0, seen, backed)
+    @property
+    def grams(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """What tasks hold: codes and probabilities of the top order."""
+        return {ORDER: (self.held.codes, self.held.probabilities)}
+
+    def resolved(self, codes: DataFrame, order: int = ORDER) -> DataFrame:
+        """``code, p`` for the distinct codes in ``code``: probability of the last character in each language.
+
+        A key meets at most as many rows as there are characters, since every order resolves its distinct codes.
+        """
+        seen = codes.join(self.seen[order], "code", "left")
+        if order == 1:
+            base = F.array(*[F.lit(x) for x in self.base])
+            return seen.select("code", F.coalesce(F.zip_with("p", base, lambda x, y: F.coalesce(x, y)), base).alias("p"))
+        low = F.col("code").bitwiseAND((1 << (BITS * (order - 1))) - 1)
+        lower = self.resolved(codes.select(low.alias("code")).distinct(), order - 1)
+        joined = (
+            seen.withColumn("low", low).withColumn("context", F.shiftrightunsigned("code", BITS))
+            .join(self.shares[order], "context", "left")
+            .join(lower.select(F.col("code").alias("low"), F.col("p").alias("lower")), "low")
+        )
+        backed = F.coalesce(F.zip_with("share", "lower", lambda s, x: F.coalesce(s, F.lit(1.0)) * x), F.col("lower"))
+        return joined.select("code", F.coalesce(F.zip_with("p", backed, lambda x, y: F.coalesce(x, y)), backed).alias("p"))
+
+    def probabilities(self, code: np.ndarray) -> np.ndarray:
+        """Probability of each gram's last character in each language; for a few codes at the driver."""
+        distinct, inverse = np.unique(code, return_inverse=True)
+        known, cost = self.held.find(distinct)
+        if not known.all():
+            rows = [(int(x),) for x in distinct[~known].view(np.int64)]
+            asked = self.seen[ORDER].sparkSession.createDataFrame(rows, "code long")
+            cost[~known] = Held.of(self.resolved(asked), len(self.languages)).find(distinct[~known])[1]
+        return np.exp(-cost)[inverse]
 
     def entropies(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Characters counted, and mean negative log probability in each language, of every row."""
+        """Characters counted, and mean negative log probability in each language, of every row; for a few texts at the driver."""
         code, rows = codes(column)
         n = np.bincount(rows, minlength=len(column))
-        distinct, inverse = np.unique(code, return_inverse=True)
-        cost = -np.log(self.probabilities(distinct)) if len(distinct) else np.zeros((0, len(self.languages)))
-        total = np.stack(
-            [np.bincount(rows, weights=cost[inverse, k], minlength=len(column)) for k in range(len(self.languages))], axis=1
-        ) if self.languages else np.zeros((len(column), 0))
+        total = _by_row(-np.log(self.probabilities(code)), rows, len(column)) if len(code) else np.zeros((len(column), len(self.languages)))
         return n, total / np.maximum(n, 1)[:, None]
 
 
+def _by_row(cost: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(rows, weights=cost[:, k], minlength=n).astype(float) for k in range(cost.shape[1])], axis=1)
+
+
 def _count(docs: DataFrame) -> DataFrame:
     """``lang, code, n`` of the top order over all rows of ``docs``."""
 
@@ -165,16 +207,18 @@ def _count(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-def _kept(level: DataFrame, most: int) -> DataFrame:
-    """The grams of a level whose count is high enough that at most ``most`` of each language remain."""
-    histogram = level.groupBy("lang", F.least("n", F.lit(10_000)).alias("n")).count().toPandas()
-    least = {}
-    for name, group in histogram.groupby("lang"):
-        ordered = group.sort_values("n", ascending=False)
-        fits = ordered[ordered["count"].cumsum() <= most]
-        least[name] = 1 if len(fits) == len(ordered) else int(fits["n"].min()) if len(fits) else 10_001
-    cut = F.coalesce(*[F.when(F.col("lang") == name, F.lit(n)) for name, n in least.items()], F.lit(1)) if least else F.lit(1)
-    return level.where(F.col("n") >= cut)
+def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The rows ``code, n`` with the largest ``n``, at most ``most`` and whole classes of about equal ``n``."""
+    if counted.count() <= most:
+        return counted
+    step = F.floor(F.log2("n") * 4)
+    room, least = most, None
+    for row in counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["step"]
+    return counted.where(step >= least) if least is not None else counted.limit(0)
 
 
 def _discounts(level: DataFrame, languages: list[str]) -> np.ndarray:
@@ -183,63 +227,116 @@ def _discounts(level: DataFrame, languages: list[str]) -> np.ndarray:
     return np.array([min(max(by.get(name, 0.5), 0.1), 0.9) for name in languages])
 
 
-def _table(code: np.ndarray, column: np.ndarray, value: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    hashed = mix(code)
-    keys, at = np.unique(hashed, return_inverse=True)
-    values = np.full((len(keys), width), -1.0)
-    values[at, column] = value
-    return keys, values
+def _wide(rows: DataFrame, key: str, value: str, languages: list[str]) -> DataFrame:
+    """``key`` and an array of the ``value`` of each language."""
+    return rows.groupBy(key).agg(F.array(*[F.max(F.when(F.col("lang") == name, F.col(value))) for name in languages]).alias(value))
 
 
 def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
-    """Models of the languages in ``lang`` from the rows ``lang, text`` (without nulls).
+    """Models of the languages in ``lang`` from the rows ``lang, text`` (without nulls), with every gram of every order.
 
-    ``max_grams`` bounds a language's grams in each order, and so what is sent to every task; rarer grams are left to the
-    lower orders. Counts and discounts are taken over everything before that.
+    ``max_grams`` for each language, and ``HELD_CELLS`` for all, bound what is sent to every task: the most frequent grams,
+    whose costs then need no join.
     """
     top = stored(_count(docs))
     languages = sorted(r["lang"] for r in top.select("lang").distinct().collect())
+    if not languages:
+        return Model(languages)
     levels = {ORDER: top}
     for order in range(ORDER - 1, 0, -1):
         shorter = F.col("code").bitwiseAND((1 << (BITS * order)) - 1)
         levels[order] = stored(levels[order + 1].groupBy("lang", shorter.alias("code")).agg(F.count("*").alias("n")))
-    model, place = Model(languages), {name: k for k, name in enumerate(languages)}
+    model, lower = Model(languages), None
     characters = levels[1].select("code").distinct().count()  # of all languages, so that their entropies compare
-    model.floor = np.full(len(languages), 1.0 / (characters + 1))
+    floor = 1.0 / (characters + 1)
     for order in range(1, ORDER + 1):
         level, discounts = levels[order], _discounts(levels[order], languages)
+        discount = F.coalesce(*[F.when(F.col("lang") == name, F.lit(float(d))) for name, d in zip(languages, discounts)])
         context = F.shiftrightunsigned("code", BITS).alias("context")
-        totals = level.groupBy("lang", context).agg(F.sum("n").alias("total"))
-        found = _kept(level, max_grams).withColumn("context", context).join(totals, ["lang", "context"]).toArrow()
-        code = found.column("code").to_numpy().view(np.uint64)
-        column = np.array([place[x] for x in found.column("lang").to_pylist()], dtype=np.int64)
-        n, total = found.column("n").to_numpy().astype(float), found.column("total").to_numpy().astype(float)
-        taken = (n - discounts[column]) / total
-        key = np.stack((code >> np.uint64(BITS), column.astype(np.uint64)), axis=1)
-        pairs, at = np.unique(key, axis=0, return_inverse=True)
-        share = np.maximum(1.0 - np.bincount(at.ravel(), weights=taken, minlength=len(pairs)), 1e-9)
-        model.shares[order] = _table(pairs[:, 0].copy(), pairs[:, 1].astype(np.int64), share, len(languages))
-        lower = model.probabilities(code, order - 1)[np.arange(len(code)), column]
-        model.grams[order] = _table(code, column, taken + share[at.ravel()] * lower, len(languages))
+        totals = level.groupBy("lang", context).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+        totals = stored(totals.withColumn("share", discount * F.col("kinds") / F.col("total")))
+        if order == 1:
+            share = {r["lang"]: r["share"] for r in totals.select("lang", "share").collect()}
+            model.base = [share[name] * floor for name in languages]
+            joined = level.withColumn("context", context).join(totals, ["lang", "context"]).withColumn("lower", F.lit(floor))
+        else:
+            model.shares[order] = stored(_wide(totals, "context", "share", languages))
+            low = F.col("code").bitwiseAND((1 << (BITS * (order - 1))) - 1).alias("low")
+            joined = level.withColumn("context", context).withColumn("low", low).join(totals, ["lang", "context"])
+            joined = joined.join(lower.select("lang", F.col("code").alias("low"), F.col("p").alias("lower")), ["lang", "low"])
+        p = (F.col("n") - discount) / F.col("total") + F.col("share") * F.col("lower")
+        lower = stored(joined.select("lang", "code", p.alias("p")))
+        model.seen[order] = stored(_wide(lower, "code", "p", languages))
+    most = min(max_grams * len(languages), HELD_CELLS // len(languages))
+    chosen = stored(_most_frequent(stored(top.groupBy("code").agg(F.sum("n").alias("n"))), most).select("code"))
+    model.held = Held.of(model.resolved(chosen), len(languages))
     return model
 
 
+def _listed(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), pa.array(values))
+
+
 def _scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without ``text``, with ``n`` and ``entropies``."""
-    kept = [f for f in docs.schema.fields if f.name != "text"]
+    """``docs`` without ``text``, with ``n`` and ``entropies``.
+
+    One pass adds up the costs of the codes that tasks hold, and lists the others of each row. Of these, the most frequent
+    are held in a pass over the lists, and the rest meets its costs in a join.
+    """
+    kept = [f.name for f in docs.schema.fields if f.name != "text"]
+    held, width = model.held, len(model.languages)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", most=PIECE):
-            n, entropies = model.entropies(batch.column("text"))
-            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * entropies.shape[1]
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(entropies.ravel()))
-            names = [f.name for f in kept]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(n), lists], names=[*names, "n", "entropies"]
-            )
+            code, rows = codes(batch.column("text"))
+            distinct, inverse = np.unique(code, return_inverse=True)
+            known, cost = held.find(distinct)
+            total = _by_row(cost[inverse], rows, batch.num_rows)
+            other = ~known[inverse]
+            pairs, count = np.unique(rows[other] * max(len(distinct), 1) + inverse[other], return_counts=True)
+            row, which = np.divmod(pairs, max(len(distinct), 1))
+            yield made(batch, np.bincount(rows, minlength=batch.num_rows), total, distinct[which].view(np.int64), count, row)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("codes")
+            rows = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+            code, count = lists.flatten().to_numpy(), batch.column("counts").flatten().to_numpy()
+            known, cost = more.find(code.view(np.uint64))
+            total = batch.column("total").flatten().to_numpy().reshape(-1, width) + _by_row(cost * count[:, None], rows, batch.num_rows)
+            yield made(batch, batch.column("n").to_numpy(), total, code[~known], count[~known], rows[~known])
+
+    def made(batch: pa.RecordBatch, n: np.ndarray, total: np.ndarray, code: np.ndarray, count: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+        lengths = np.bincount(rows, minlength=batch.num_rows)
+        carried = [c for c in (*kept, "row") if c in batch.schema.names]
+        columns = [pa.array(n), _listed(total.ravel(), np.full(batch.num_rows, width)), _listed(code, lengths), _listed(count, lengths)]
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in carried), *columns], names=[*carried, "n", "total", "codes", "counts"]
+        )
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
-    return docs.mapInArrow(score, f"{schema}, n long, entropies array<double>")
+    def listed(rows: DataFrame) -> DataFrame:
+        each = rows.select("row", F.explode(F.arrays_zip("codes", "counts")).alias("x"))
+        return each.select("row", F.col("x.codes").alias("code"), F.col("x.counts").alias("times"))
+
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name != "text")
+    made_of = "n long, total array<double>, codes array<long>, counts array<long>"
+    rows = stored(docs.mapInArrow(score, schema + made_of).withColumn("row", F.monotonically_increasing_id()))
+    whole, part = rows.where(F.size("codes") == 0), rows.where(F.size("codes") > 0)
+    out = [*kept, "n", "total"]
+    result = whole.select(out)
+    if not part.isEmpty():
+        counted = stored(listed(part).groupBy("code").agg(F.count("*").alias("n")))
+        found = stored(model.resolved(counted.select("code")))
+        more = Held.of(_most_frequent(counted, HELD_CELLS // width).select("code").join(found, "code"), width)
+        part = stored(part.select(*kept, "row", "n", "total", "codes", "counts").mapInArrow(settle, f"{schema}row long, {made_of}"))
+        result = result.union(part.where(F.size("codes") == 0).select(out))
+        left = part.where(F.size("codes") > 0)
+        if not left.isEmpty():
+            cost = [F.sum(-F.log(F.element_at("p", k + 1)) * F.col("times")) for k in range(width)]
+            added = listed(left).join(found, "code").groupBy("row").agg(F.array(*cost).alias("added"))
+            whole = left.join(added, "row").withColumn("total", F.zip_with("total", "added", lambda a, b: a + b))
+            result = result.union(whole.select(out))
+    return result.select(*kept, "n", F.transform("total", lambda x: x / F.greatest("n", F.lit(1))).alias("entropies"))
 
 
 def _shares(weight: float) -> Column:
@@ -275,10 +372,10 @@ def classify(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str
     more than a million characters are read in pieces.
     """
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
-    scored = _scored(chosen, model)
     if not model.languages:
-        return scored.select("doc_id", "text_hash", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
+        return chosen.select("doc_id", "text_hash", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
                              F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
+    scored = _scored(chosen, model)
     known = F.col("n") > 0
     best = F.array_position("entropies", F.array_min("entropies")).cast("int")
     pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), best)
