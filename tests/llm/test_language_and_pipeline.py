@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -110,6 +111,19 @@ def test_every_gram_counts_whatever_tasks_hold(spark, monkeypatch, cells):
     assert model.entropies(pa.array(texts))[1][:, 0] == pytest.approx([found[k] for k in range(4)], rel=1e-9)
 
 
+def test_calibration_rows_are_learned_too(spark):
+    random.seed(5)
+    folds = {k: zlib.crc32(str(k).encode()) % 4 for k in range(200)}
+    rows = [(k, sentence("en"), "en") for k in folds] + [(k, sentence("de"), "de") for k, f in folds.items() if f == 3]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    used = [t for k, t, name in rows if name == "en" and folds[k] != 2]
+    counted = {r.code for r in model.seen[4].where("p[1] IS NOT NULL").collect()}
+    assert model.languages == ["de", "en"]
+    assert counted == set(language_id.codes(pa.array(used))[0].view(np.int64).tolist())
+    found = language_id.classify(spark.createDataFrame([(1, sentence("de"))], "doc_id long, text string"), model).first()
+    assert (found.lang_pred, found.rejected) == ("de", False)
+
+
 def test_every_stage_acts_on_what_the_one_before_kept(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

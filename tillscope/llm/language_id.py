@@ -7,8 +7,8 @@ from seen grams goes to the next lower order. No gram is left out: probabilities
 Tasks hold the costs of the most frequent grams only, and the others meet theirs in a join.
 
 A text gets the language with the lowest cross-entropy per character. Its score is the language's share under a softmax
-over entropies, with a weight fitted on a part of the training rows that the counts leave out; the same part gives the
-entropy above which a text is no text of its language and is rejected.
+over entropies, with a weight fitted on a part of the training rows by models that leave this part out; the same part gives
+the entropy above which a text is no text of its language and is rejected. Then the part's counts are added to the models.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ PIECE = 1 << 20
 WEIGHTS = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0)
 DEVIATIONS = 8.0
 SLACK = 0.5
+UNFITTED = (3.0, 3.0)
 UNKNOWN = "und"
 
 _classes: list[np.ndarray] = []
@@ -238,7 +239,11 @@ def train(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
     ``max_grams`` for each language, and ``HELD_CELLS`` for all, bound what is sent to every task: the most frequent grams,
     whose costs then need no join.
     """
-    top = stored(_count(docs))
+    return _trained(stored(_count(docs)), max_grams)
+
+
+def _trained(top: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
+    """Models from stored counts ``lang, code, n`` of the top order."""
     languages = sorted(r["lang"] for r in top.select("lang").distinct().collect())
     if not languages:
         return Model(languages)
@@ -356,11 +361,11 @@ def calibrate(model: Model, docs: DataFrame) -> Model:
     model.weight = min(WEIGHTS, key=lambda w: loss[WEIGHTS.index(w)] if loss[WEIGHTS.index(w)] is not None else 0.0)
     own = F.element_at("entropies", F.col("own"))
     middle = {r["own"]: r["middle"] for r in scored.groupBy("own").agg(F.percentile_approx(own, 0.5).alias("middle")).collect()}
-    model.means = np.array([middle.get(k + 1, 3.0) for k in range(len(model.languages))])
+    model.means = np.array([middle.get(k + 1, UNFITTED[0]) for k in range(len(model.languages))])
     mean = F.element_at(F.array(*[F.lit(float(x)) for x in model.means]), F.col("own"))
     apart = F.abs(own - mean) * F.sqrt("n")
     spread = {r["own"]: r["spread"] for r in scored.groupBy("own").agg(F.percentile_approx(apart, 0.9).alias("spread")).collect()}
-    model.spreads = np.array([spread.get(k + 1, 3.0) for k in range(len(model.languages))])
+    model.spreads = np.array([spread.get(k + 1, UNFITTED[1]) for k in range(len(model.languages))])
     return model
 
 
@@ -395,13 +400,27 @@ def fold(id_column: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, held_out: int = 2, calibration: int = 3) -> Model:
-    """A calibrated model from rows ``doc_id, text, lang``: counts from all folds but two, calibrated on one of these.
+    """A calibrated model from rows ``doc_id, text, lang``: counts from all folds but the held-out one.
 
-    Rows with a null language or text, or in the held-out fold, are not used.
+    Weight and limits are fitted on the calibration fold with a model of the other folds; then the counts of that fold are
+    added. A language without calibration rows gets the limits of ``calibrate`` for such. Rows with a null language or text, or in the held-out fold, are not used.
     """
     usable = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("fold", F.coalesce(fold(), F.lit(0)))
-    learned = train(usable.where(~F.col("fold").isin(held_out, calibration)).select("lang", "text"))
-    return calibrate(learned, usable.where(F.col("fold") == calibration).select("lang", "text")) if learned.languages else learned
+    others, own = (
+        stored(_count(usable.where(rows).select("lang", "text")))
+        for rows in (~F.col("fold").isin(held_out, calibration), F.col("fold") == calibration)
+    )
+    first = _trained(others)
+    model = _trained(stored(others.union(own).groupBy("lang", "code").agg(F.sum("n").alias("n"))))
+    if not model.languages:
+        return model
+    rows = usable.where(F.col("fold") == calibration).select("lang", "text")
+    if first.languages:
+        calibrate(first, rows)
+        model.weight = first.weight
+    limits = dict(zip(first.languages, zip(first.means, first.spreads))) if first.languages else {}
+    model.means, model.spreads = (np.array([limits.get(x, UNFITTED)[k] for x in model.languages]) for k in (0, 1))
+    return model
 
 
 def without_rejected(docs: DataFrame, model: Model) -> DataFrame:
