@@ -124,6 +124,19 @@ def test_calibration_rows_are_learned_too(spark):
     assert (found.lang_pred, found.rejected) == ("de", False)
 
 
+def test_a_wide_spread_of_few_rows_does_not_void_rejection(spark):
+    random.seed(6)
+    train = [("en" if k % 2 else "de", sentence("en" if k % 2 else "de")) for k in range(40)]
+    odd = [("de", sentence("en", 40)) for _ in range(2)]
+    own = [("de", sentence("de")) for _ in range(8)] + odd + [("en", sentence("en")) for _ in range(200)]
+    model = language_id.train(spark.createDataFrame(train, "lang string, text string"))
+    language_id.calibrate(model, spark.createDataFrame(own, "lang string, text string"))
+    assert model.spreads[0] < 5.0
+    model.spreads = np.array([50.0, 50.0])
+    found = language_id.classify(spark.createDataFrame([(1, "жук идёт домой " * 10)], "doc_id long, text string"), model).first()
+    assert found.rejected
+
+
 def test_every_stage_acts_on_what_the_one_before_kept(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -34,6 +34,7 @@ WEIGHTS = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0)
 DEVIATIONS = 8.0
 SLACK = 0.5
 UNFITTED = (3.0, 3.0)
+POOLED_ROWS = 200
 UNKNOWN = "und"
 
 _classes: list[np.ndarray] = []
@@ -125,6 +126,7 @@ class Model:
     shares: dict[int, DataFrame] = field(default_factory=dict)
     base: list[float] = field(default_factory=list)
     held: Held | None = None
+    ceiling: float = float("inf")
     weight: float = 1.0
     means: np.ndarray | None = None
     spreads: np.ndarray | None = None
@@ -254,6 +256,7 @@ def _trained(top: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
     model, lower = Model(languages), None
     characters = levels[1].select("code").distinct().count()  # of all languages, so that their entropies compare
     floor = 1.0 / (characters + 1)
+    model.ceiling = float(np.log(characters + 1))
     for order in range(1, ORDER + 1):
         level, discounts = levels[order], _discounts(levels[order], languages)
         discount = F.coalesce(*[F.when(F.col("lang") == name, F.lit(float(d))) for name, d in zip(languages, discounts)])
@@ -352,7 +355,10 @@ def _shares(weight: float) -> Column:
 
 
 def calibrate(model: Model, docs: DataFrame) -> Model:
-    """Fit the weight of the scores, and mean and spread of the entropy of each language, on rows ``lang, text``."""
+    """Fit the weight of the scores, and mean and spread of the entropy of each language, on rows ``lang, text``.
+
+    A language's spread is drawn to that over all languages, which counts as ``POOLED_ROWS`` rows.
+    """
     languages = F.array(*[F.lit(name) for name in model.languages])
     scored = stored(_scored(docs, model).where("n > 0").withColumn("own", F.array_position(languages, F.col("lang")).cast("int")))
     scored = scored.where("own > 0")
@@ -364,8 +370,14 @@ def calibrate(model: Model, docs: DataFrame) -> Model:
     model.means = np.array([middle.get(k + 1, UNFITTED[0]) for k in range(len(model.languages))])
     mean = F.element_at(F.array(*[F.lit(float(x)) for x in model.means]), F.col("own"))
     apart = F.abs(own - mean) * F.sqrt("n")
-    spread = {r["own"]: r["spread"] for r in scored.groupBy("own").agg(F.percentile_approx(apart, 0.9).alias("spread")).collect()}
-    model.spreads = np.array([spread.get(k + 1, UNFITTED[1]) for k in range(len(model.languages))])
+    ninth = F.percentile_approx(apart, 0.9).alias("spread")
+    pooled = scored.agg(ninth).first()["spread"]
+    pooled = UNFITTED[1] if pooled is None else pooled
+    spread = {
+        r["own"]: (r["rows"] * r["spread"] + POOLED_ROWS * pooled) / (r["rows"] + POOLED_ROWS)
+        for r in scored.groupBy("own").agg(ninth, F.count("*").alias("rows")).collect()
+    }
+    model.spreads = np.array([spread.get(k + 1, pooled) for k in range(len(model.languages))])
     return model
 
 
@@ -385,6 +397,7 @@ def classify(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str
     best = F.array_position("entropies", F.array_min("entropies")).cast("int")
     pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), best)
     limit = pick(model.means.tolist()) + SLACK + DEVIATIONS * pick(model.spreads.tolist()) / F.sqrt(F.greatest("n", F.lit(1)))
+    limit = F.least(limit, F.lit(model.ceiling))  # what characters drawn evenly from the alphabet cost
     return scored.select(
         "doc_id", "text_hash",
         F.when(known, pick(model.languages)).otherwise(UNKNOWN).alias("lang_pred"),
