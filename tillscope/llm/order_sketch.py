@@ -15,6 +15,8 @@ WIDTH = 5
 TAKEN = 3
 PER_BAND = 2
 BANDS = 24
+SHORT_BANDS = 42
+SHORT = 125
 SIMILARITY = 0.8
 
 _LABEL = np.uint64(0xD6E8FEB86659FD93)
@@ -58,6 +60,14 @@ def _smallest(values: np.ndarray, taken: int) -> np.ndarray:
     return np.sort(np.argsort(values, axis=1, kind="stable")[:, :taken], axis=1)
 
 
+def bands_of(size: int) -> int:
+    """Bands of a text with ``size`` shingles. Shingles are drawn without replacement, so short texts agree less often.
+
+    Pairs with one text under 100 shingles have both under 125 and share all ``SHORT_BANDS``; the first ``BANDS`` are the same.
+    """
+    return SHORT_BANDS if size < SHORT else BANDS
+
+
 def band_keys(hashes: np.ndarray, bands: int = BANDS, per_band: int = PER_BAND, taken: int = TAKEN) -> np.ndarray:
     """One key for each band of a text with the given shingles; texts with a key in common are candidates."""
     labels = labelled(hashes)
