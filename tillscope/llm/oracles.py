@@ -122,9 +122,55 @@ SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines,
 FROM documents LEFT JOIN gone USING (doc_id)
 """
 
+OP11 = r"""
+WITH judged AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+marks AS (
+    SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+failed AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b,
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c,
+           regexp_matches(text, '[#$%&*|]') AS d,
+           coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+    FROM judged LEFT JOIN marks USING (doc_id)),
+kinds AS (
+    SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+                        CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+           count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM failed GROUP BY ALL),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+    SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+    FROM letters p, letters q, letters r, letters s, letters t
+    WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (
+    SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+    FROM (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM orders)),
+met AS (
+    SELECT part, filter_order, step, f, fails, n, good, toxic, contains(fails, f) AS own,
+           translate(fails, before, '') <> fails AS gone
+    FROM kinds, steps),
+counted AS (
+    SELECT part, filter_order, step, f,
+           coalesce(sum(n) FILTER (NOT own AND NOT gone), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (own AND NOT gone), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (own AND gone), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (own AND NOT gone), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (own AND NOT gone), 0)::BIGINT AS toxic_lost
+    FROM met GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted
+"""
+
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": OP3,
     "op5_quality_rules": OP5,
     "op8_chat_formatting": OP8,
     "op10_line_dedup": OP10,
+    "op11_filter_interaction_audit": OP11,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillscope.llm import (
     chat,
     decontaminate,
+    filter_audit,
     language_id,
     line_dedup,
     near_dedup,
@@ -103,6 +104,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
@@ -114,4 +119,5 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_filter_interaction_audit": op11_filter_interaction_audit,
 }
