@@ -167,10 +167,90 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM counted
 """
 
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_WORDS = "|".join(_any_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_ASSIGN = rf"""({_WORDS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SECRETS = [
+    (1, "assign", _ASSIGN, rf"len(regexp_extract(m, '{_ASSIGN}', 2)) >= 6"),
+    (2, "access", "AKIA[A-Z0-9]+", "len(m) >= 20"),
+    (3, "hex", "[0-9a-f]+", "len(m) >= 24"),
+    (4, "github", "gh[oprsu]_[A-Za-z0-9]{36,}", "true"),
+    (5, "pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", "true"),
+]
+_PIECES = " UNION ALL ".join(
+    f"""
+    SELECT doc_id, copy, {rank} AS rank, '{kind}' AS kind, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, unnest(gs[:len(ms)]) AS g
+    FROM (SELECT doc_id, copy, regexp_extract_all(text, '{pattern}') AS ms, string_split_regex(text, '{pattern}') AS gs FROM texts)"""
+    for rank, kind, pattern, _ in _SECRETS
+)
+_HOLDS = " OR ".join(f"(kind = '{kind}' AND {holds})" for _, kind, _, holds in _SECRETS)
+OP12 = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS copy FROM documents),
+pieces AS ({_PIECES}),
+placed AS (
+    SELECT *, sum(length(g) + length(m)) OVER (PARTITION BY copy, kind ORDER BY i)::BIGINT AS e FROM pieces),
+held AS (SELECT copy, rank, kind, e - length(m) AS s, e FROM placed WHERE {_HOLDS}),
+found AS (
+    SELECT copy, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k, count(*) FILTER (kind = 'hex') AS h,
+           string_agg(concat_ws(':', kind, s, e), ',' ORDER BY s, rank) FILTER (rank <= 3) AS base,
+           string_agg(concat_ws(':', kind, s, e), ',' ORDER BY s, rank) AS spans
+    FROM held GROUP BY copy)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(text) AS blob
+FROM texts LEFT JOIN found USING (copy)
+"""
+
+
+
+def _round(k: int) -> str:
+    """Assignments to the codebooks ``b{k}`` and the codebooks after it."""
+    return f"""
+a{k} AS MATERIALIZED (
+    SELECT vec_id, label, p, u, arg_min(e, 16 * d + e) AS e, min(d) AS d
+    FROM (SELECT vec_id, label, p, u, e,
+                 list_sum(list_transform(range(1, len(u) + 1), lambda i: (u[i] - c[i]) * (u[i] - c[i])))::BIGINT AS d
+          FROM parts JOIN b{k} USING (p))
+    GROUP BY vec_id, label, p, u),
+sums{k} AS (
+    SELECT p, e, i, sum(u[i])::BIGINT AS s, count(*) AS n
+    FROM (SELECT p, e, u, unnest(range(1, len(u) + 1)) AS i FROM a{k}) GROUP BY p, e, i),
+means{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS mean FROM sums{k} GROUP BY p, e),
+b{k + 1} AS MATERIALIZED (
+    SELECT p, e, coalesce(mean, c) AS c FROM b{k} LEFT JOIN means{k} USING (p, e))"""
+
+
+OP13 = f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+    SELECT vec_id, label, p, v[p * w + 1:p * w + w] AS u
+    FROM (SELECT vec_id, label, v, len(v) // 8 AS w, unnest(range(8)) AS p FROM kept)),
+b0 AS MATERIALIZED (
+    SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, u AS c FROM parts QUALIFY e < 16),
+{",".join(_round(k) for k in range(7))},
+books AS (
+    SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+    FROM (SELECT p, e, unnest(c) AS x, unnest(range(len(c))) AS i FROM b6)),
+codes AS (
+    SELECT vec_id, label, string_agg(lower(printf('%02x', e::INTEGER)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+    FROM a6 GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes, books
+"""
+
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": OP3,
     "op5_quality_rules": OP5,
     "op8_chat_formatting": OP8,
     "op10_line_dedup": OP10,
     "op11_filter_interaction_audit": OP11,
+    "op12_secret_scans": OP12,
+    "op13_vector_code_compression": OP13,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.llm import (
@@ -18,12 +18,15 @@ from tillscope.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    secret_ledger,
     token_files,
+    vector_codes,
     warc,
 )
 from tillscope.llm.stored import stored
 from tillscope.llm.tables import table
 from tillscope.llm.workers import ship_package
+from tillscope.sources.shared import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +111,31 @@ def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secret_ledger.SecretLedger(spark, fresh_folder(spark))
+    ledger.record(docs)
+    found = ledger.by_path(path_type=docs.schema["doc_id"].dataType.simpleString())
+    kinds = [rule.kind for rule in secret_ledger.BASE_RULES]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select(
+        F.col("path").alias("doc_id"), *[count(kind) for kind in kinds],
+        F.sha2(secret_ledger.joined_spans(base), 256).alias("base_sha256"),
+        secret_ledger.joined_spans(F.col("spans")).alias("spans"), F.col("blob"),
+    )
+
+
+def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    codes = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_error(stored(codes.rows))
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
@@ -120,4 +148,6 @@ QUERIES: dict[str, Query] = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op11_filter_interaction_audit": op11_filter_interaction_audit,
+    "op12_secret_scans": op12_secret_scans,
+    "op13_vector_code_compression": op13_vector_code_compression,
 }
