@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillscope.testbind import KEYS, REPEATED, SPOILED
 
+# Month, ISO weekday (0: any), first and last day of the month, and name of each holiday.
 HOLIDAY_VALUES = """
     (1, 0, 1, 1, 'Año Nuevo'), (2, 1, 1, 7, 'Día de la Constitución'),
     (3, 1, 15, 21, 'Natalicio de Benito Juárez'), (5, 0, 1, 1, 'Día del Trabajo'),

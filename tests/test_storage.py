@@ -74,7 +74,7 @@ def test_sales_are_stored_by_year_and_pruned(spark, tmp_path, database):
     s = star(spark, lines, first="2022-01-01")
     warehouse = Warehouse(spark, database, str(tmp_path / "db"))
     warehouse.write_sales(s.sales)
-    folders = sorted(p.name for p in (tmp_path / "db" / "sales").glob("sale_year=*"))
+    folders = sorted(p.name for p in (tmp_path / "db" / "files").glob("*/sale_year=*"))
     assert folders == ["sale_year=2022", "sale_year=2023", "sale_year=2024", "sale_year=2031"]
     ranged = sold_between(warehouse.table("sales"), D("2022-12-31"), D("2023-12-31"))
     plan = ranged._jdf.queryExecution().executedPlan().toString()
@@ -171,15 +171,17 @@ def test_refresh_after_an_attempt_that_broke_off(spark, tmp_path, database):
     store = summary.SummaryStore(spark, database, str(tmp_path / "db"))
     one = star(spark, [{}])
     summary.refresh(store, one, AS_OF, ["daily_sales"])
-    left = [tmp_path / "db" / "daily_sales__v2", tmp_path / "db" / "daily_sales__v2_abc"]
-    for folder in left:
-        folder.mkdir()
-        (folder / "part-0.parquet").write_bytes(b"broken")
-    (tmp_path / "db" / "other__v1_x").mkdir()
+    left = tmp_path / "db" / "files" / "abc"
+    left.mkdir()
+    (left / "part-0.parquet").write_bytes(b"broken")
+    written = store.write("daily_sales", summary.build_daily_summary(one), ("year", "month"))
+    (tmp_path / "db" / "other").mkdir()
     reader = store.read("daily_sales")
     for _ in range(3):
         summary.refresh(store, one, AS_OF, ["daily_sales"])
-    assert not any(folder.exists() for folder in left) and (tmp_path / "db" / "other__v1_x").exists()
+    assert not left.exists() and (tmp_path / "db" / "other").exists()
+    assert not spark.catalog.tableExists(written.table)
+    assert not (tmp_path / "db" / "files" / written.token).exists()
     assert rows(reader, "tickets") == [1]
 
 
@@ -221,6 +223,13 @@ def test_sizes_and_profile(spark, tmp_path):
 
 
 def test_shared_folder_is_the_one_the_session_names():
-    named = SimpleNamespace(conf={"spark.checkpoint.dir": "/shared/place/"})
-    assert shared_folder(named) == "/shared/place"
-    assert shared_folder(SimpleNamespace(conf={})).startswith(tempfile.gettempdir())
+    def session(master, conf=None, found=None):
+        place = SimpleNamespace(isDefined=lambda: found is not None, get=lambda: found)
+        jsc = SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: place))
+        return SimpleNamespace(conf=conf or {}, sparkContext=SimpleNamespace(_jsc=jsc, master=master))
+
+    assert shared_folder(session("yarn", {"spark.checkpoint.dir": "/shared/place/"})) == "/shared/place"
+    assert shared_folder(session("yarn", found="/of/context")) == "/of/context"
+    assert shared_folder(session("local[4]")).startswith(tempfile.gettempdir())
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))

@@ -6,40 +6,52 @@ date that the caller passes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-YEAR_PARTITION = "sale_year"
+#: Folders of stored facts; months are numbers like 202406.
+YEAR_PARTITION, MONTH_PARTITION, STOCK_MONTH = "sale_year", "sale_month", "snapshot_month"
 
 
-def sold_between(sales: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
-    """Sales of an inclusive date range.
+def month_number(day: date) -> int:
+    return day.year * 100 + day.month
+
+
+def month_of_number(number: int) -> date:
+    """First day of a month given as a number like 202406."""
+    return date(number // 100, number % 100, 1)
+
+
+def year_month(day: str) -> Column:
+    return F.year(day) * 100 + F.month(day)
+
 
-    A stored sales table is laid out by year. Spark cannot derive a filter on
-    the partition column from one on the date, so both are stated.
-    """
-    rows = sales
-    laid_out_by_year = YEAR_PARTITION in sales.columns
+def _in_range(rows: DataFrame, day: str, folders: dict[str, Callable[[date], int]], start: date | None, end: date | None) -> DataFrame:
+    """Rows of a range of dates. Spark cannot derive a filter on a folder column from one on the date, so both are stated."""
+    laid_out = {column: number for column, number in folders.items() if column in rows.columns}
     if start is not None:
-        rows = rows.filter(F.col("sale_date") >= F.lit(start))
-        if laid_out_by_year:
-            rows = rows.filter(F.col(YEAR_PARTITION) >= start.year)
+        rows = rows.filter(F.col(day) >= F.lit(start))
+        for column, number in laid_out.items():
+            rows = rows.filter(F.col(column) >= number(start))
     if end is not None:
-        rows = rows.filter(F.col("sale_date") <= F.lit(end))
-        if laid_out_by_year:
-            rows = rows.filter(F.col(YEAR_PARTITION) <= end.year)
+        rows = rows.filter(F.col(day) <= F.lit(end))
+        for column, number in laid_out.items():
+            rows = rows.filter(F.col(column) <= number(end))
     return rows
 
 
+def sold_between(sales: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Sales of an inclusive date range; of a stored table only the folders of its months are read."""
+    folders = {YEAR_PARTITION: lambda d: d.year, MONTH_PARTITION: month_number}
+    return _in_range(sales, "sale_date", folders, start, end)
+
+
 def snapshots_between(inventory: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
-    rows = inventory
-    if start is not None:
-        rows = rows.filter(F.col("snapshot_date") >= F.lit(start))
-    if end is not None:
-        rows = rows.filter(F.col("snapshot_date") <= F.lit(end))
-    return rows
+    """Snapshots of an inclusive date range; of a stored table only the folders of its months are read."""
+    return _in_range(inventory, "snapshot_date", {STOCK_MONTH: month_number}, start, end)
 
 
 def calendar_days(calendar: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:

@@ -225,21 +225,58 @@ def broken_row_rules(table: str) -> Column:
     return F.array_distinct(F.array_compact(F.array(*hits)))
 
 
+def unknown_keys(df: DataFrame, target: DataFrame, rule: ReferenceRule) -> DataFrame:
+    """The distinct keys of ``df`` that the target lacks.
+
+    Keys are made distinct before they move, so a key that a third of the rows
+    have is one row per task.
+    """
+    known = target.select(F.col(rule.target_column).alias(rule.column))
+    return df.select(rule.column).where(F.col(rule.column).isNotNull()).distinct().join(known, rule.column, "left_anti")
+
+
+#: So many unknown keys are broadcast at most; a key takes 8 bytes.
+FEW_KEYS = 10_000
+
+
 def mark(df: DataFrame, table: str, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Rows with ``broken_rules``: the ids of the row rules and, with ``targets``, references they break."""
+    """Rows with ``broken_rules``: the ids of the row rules and, with ``targets``, references they break.
+
+    References are checked on distinct keys, which runs a job for each while the
+    plan is built. Rows meet the unknown keys only: none at all need no join, few
+    are broadcast, and many are joined by key.
+    """
     rows = df.withColumn("broken_rules", broken_row_rules(table))
     for rule in (r for r in REFERENCE_RULES if r.table == table and targets and r.target in targets):
-        known = targets[rule.target].select(F.col(rule.target_column).alias(rule.column), F.lit(True).alias("_known"))
-        unknown = F.col("_known").isNull() & F.col(rule.column).isNotNull()
-        more = F.when(unknown, F.array(F.lit(rule.rule_id))).otherwise(F.array().cast("array<string>"))
+        unknown = unknown_keys(df, targets[rule.target], rule)
+        some = unknown.limit(FEW_KEYS + 1).collect()
+        if not some:
+            continue
+        if len(some) <= FEW_KEYS:
+            unknown = F.broadcast(df.sparkSession.createDataFrame(some, unknown.schema))
+        unknown = unknown.withColumn("_unknown", F.lit(True))
+        more = F.when(F.col("_unknown"), F.array(F.lit(rule.rule_id))).otherwise(F.array().cast("array<string>"))
         rows = (
-            rows.join(known, rule.column, "left")
+            rows.join(unknown, rule.column, "left")
             .withColumn("broken_rules", F.array_union("broken_rules", more))
-            .drop("_known")
+            .drop("_unknown")
         )
     return rows
 
 
+def mark_known(rows: DataFrame, key: tuple[str, ...], rule_id: str, stored: DataFrame) -> DataFrame:
+    """Marked rows where also those whose key is that of a stored row break ``rule_id``; a NULL in a key matches nothing.
+
+    Only rows that broke no rule before are compared.
+    """
+    known = stored.select(*key).distinct().withColumn("_stored", F.lit(True))
+    marked = rows.join(known, list(key), "left")
+    broken = (F.size("broken_rules") == 0) & F.col("_stored").isNotNull()
+    return marked.withColumn(
+        "broken_rules", F.when(broken, F.array(F.lit(rule_id))).otherwise(F.col("broken_rules"))
+    ).drop("_stored")
+
+
 def mark_duplicates(rows: DataFrame, key: tuple[str, ...], rule_id: str, primary: bool = False) -> DataFrame:
     """Marked rows where also every row of a repeated key, and of a missing one if it is primary, breaks ``rule_id``.
 

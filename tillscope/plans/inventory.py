@@ -77,7 +77,7 @@ def stock_alerts(
         .drop("observations")
     )
     # The newest snapshot of a pair is fresh if any is, so older ones are not read.
-    fresh = star.inventory.filter(F.col("snapshot_date") >= F.lit(days_before(as_of, fresh_days)))
+    fresh = snapshots_between(star.inventory, days_before(as_of, fresh_days))
     current = latest_stock(fresh)
     supply = ratio("final_stock", "avg_daily_sales")
     rows = current.join(recent, PAIR, "left").withColumns(
@@ -165,17 +165,25 @@ def stockout_frequency(
 
 
 def inventory_alerts_full(
-    star: Star, as_of: date, lookback_days: int = 30, min_days: int = 5, low: int = 7, high: int = 60
+    star: Star,
+    as_of: date,
+    lookback_days: int = 30,
+    min_days: int = 5,
+    low: int = 7,
+    high: int = 60,
+    positions: DataFrame | None = None,
 ) -> DataFrame:
     """Alerts for the latest snapshot of every pair, however old.
 
     Without recent sales the label compares the stock itself, while the days
-    of supply stay unknown.
+    of supply stay unknown. With maintained ``positions`` (``plans/state``) no
+    snapshot is read.
     """
     recent = (
         recent_sales(star, as_of, lookback_days, min_days).select(*PAIR, "avg_daily_sales")
     )
-    rows = with_supply(latest_stock(star.inventory).join(recent, PAIR, "left"), low, high)
+    latest = latest_stock(star.inventory) if positions is None else positions
+    rows = with_supply(latest.join(recent, PAIR, "left"), low, high)
     rows = with_store(rows, star.stores, "chain", "store_name", "region")
     rows = with_product(rows, star.products, "category", "brand", "product_name")
     return rows.select(

@@ -9,14 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.functions.periods import time_of_day
+from tillscope.functions.periods import month_number, time_of_day
 from tillscope.operators.keys import assign_keys
-from tillscope.operators.quality import mark, mark_duplicates
-from tillscope.sources.csv import CORRUPT, read_csv, with_defaults, with_inventory_value
-from tillscope.sources.warehouse import Warehouse
-
-
-REJECTED = "rejected_rows"
+from tillscope.operators.quality import mark, mark_duplicates, mark_known
+from tillscope.sources.csv import CORRUPT, content_digests, read_csv, with_defaults, with_inventory_value
+from tillscope.sources.schema import DESCRIPTIONS, KEYS
+from tillscope.sources.versions import Written
+from tillscope.sources.warehouse import LAYOUTS, Warehouse
 
 
 @dataclass(frozen=True)
@@ -24,10 +23,10 @@ class SourceFiles:
     products: str
     stores: str
     sales: Sequence[str]
-    inventory: str
+    inventory: str | Sequence[str]
 
 
-def _stage(table: str, paths, warehouse: Warehouse, key: str | None, start_after: int = 0) -> DataFrame:
+def _stage(table: str, paths: str | Sequence[str], warehouse: Warehouse, key: str | None, start_after: int = 0) -> DataFrame:
     """Parse a table's files once, into a staging table; rows that do not parse are kept marked.
 
     A generated key is assigned on the scan of the staging table, where the
@@ -58,12 +57,18 @@ def _checked(
     warehouse: Warehouse,
     keys: dict[str, tuple[str, ...]],
     targets: dict[str, DataFrame] | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    """The staged rows with the rules they break, computed once into a table."""
+    """The staged rows with the rules they break, computed once into a table.
+
+    Keys must be unique among the rows and, with ``stored``, must not be those of stored rows.
+    """
     rows = mark(with_defaults(_parsed(table, staged), table), table, targets)
     rows = rows.withColumn("broken_rules", F.when(F.col("_unparsed"), F.array(F.lit("PARSE"))).otherwise(F.col("broken_rules")))
     for rule_id, key in keys.items():
         rows = mark_duplicates(rows, key, rule_id, primary=rule_id == "DQ1")
+        if stored is not None:
+            rows = mark_known(rows, key, rule_id, stored)
     name = warehouse.name(f"checked_{table}")
     rows.drop("_unparsed").write.mode("overwrite").format("parquet").saveAsTable(name)
     return warehouse.spark.table(name)
@@ -81,57 +86,131 @@ def _rejects(table: str, checked: DataFrame) -> DataFrame:
     )
 
 
-def _store_rejects(checked: dict[str, DataFrame], warehouse: Warehouse) -> DataFrame:
-    name = warehouse.name(REJECTED)
-    rejects = reduce(DataFrame.unionByName, [_rejects(table, rows) for table, rows in checked.items()])
-    rejects.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return warehouse.spark.table(name)
+def _keep_rejects(checked: dict[str, DataFrame], warehouse: Warehouse, load: int) -> None:
+    warehouse.keep_rejected(reduce(DataFrame.unionByName, [_rejects(table, rows) for table, rows in checked.items()]), load)
+
+
+def _drop_work_tables(warehouse: Warehouse) -> None:
+    for table in DESCRIPTIONS:
+        for kind in ("staging", "checked"):
+            warehouse.spark.sql(f"DROP TABLE IF EXISTS {warehouse.name(f'{kind}_{table}')}")
+
+
+def _returned(warehouse: Warehouse, load: int) -> DataFrame:
+    return warehouse.rejected(load).drop("load")
+
+
+def _paths(paths: str | Sequence[str]) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
 
 
 SALE_KEYS: dict[str, tuple[str, ...]] = {}
 STOCK_KEYS = {"DQ4": ("product_id", "store_id", "snapshot_date")}
+FACT_KEYS = {"sales": SALE_KEYS, "inventory": STOCK_KEYS}
+
+
+def _last_key(checked: DataFrame, table: str) -> int:
+    return checked.agg(F.max(KEYS[table])).first()[0] or 0
 
 
 def load_star(files: SourceFiles, calendar: DataFrame, warehouse: Warehouse) -> DataFrame:
     """Read, check and store all tables anew; returns the rejected rows.
 
     Files are parsed into staging tables and checked into ``checked_`` tables,
-    each once. Dimensions are stored first, since facts are checked against
-    them and against the calendar. Rejected rows keep the ids of the rules they
-    break, in a table that stays until the next load.
+    each once; facts are checked against the new dimensions. All five tables are
+    written beside the old ones and change places at the end, so readers never
+    see an empty or a missing table. Statistics are computed with histograms.
+    Rejected rows are kept with the ids of the rules they break.
     """
+    load = warehouse.next_load()
     checked: dict[str, DataFrame] = {}
-    warehouse.write_table("calendar", calendar)
+    written: dict[str, Written] = {"calendar": warehouse.write_dimension("calendar", calendar)}
     for table, paths, keys in (
         ("products", files.products, {"DQ1": ("product_id",), "DQ2": ("sku",)}),
         ("stores", files.stores, {"DQ1": ("store_id",), "DQ3": ("store_code",)}),
     ):
         checked[table] = _checked(table, _stage(table, paths, warehouse, None), warehouse, keys)
-        warehouse.write_table(table, _valid(checked[table]))
-
-    stored = _targets(warehouse)
-    staged = _stage("sales", list(files.sales), warehouse, "sale_id")
-    checked["sales"] = _checked("sales", staged, warehouse, SALE_KEYS, stored)
-    warehouse.write_sales(_valid(checked["sales"]))
-    staged = _stage("inventory", files.inventory, warehouse, "inventory_id")
-    checked["inventory"] = _checked("inventory", staged, warehouse, STOCK_KEYS, stored)
-    warehouse.write_table("inventory", with_inventory_value(_valid(checked["inventory"])))
-    warehouse.analyze()
-    return _store_rejects(checked, warehouse)
-
-
-def _targets(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {name: warehouse.table(name) for name in ("products", "stores", "calendar")}
-
-
-def append_sales(paths: Sequence[str], warehouse: Warehouse) -> DataFrame:
-    """Add sale files, such as another year, to a filled warehouse; returns the rejected rows of these files.
-
-    Keys continue after the largest stored one. Rows are checked against the
-    dimensions as stored.
+        written[table] = warehouse.write_dimension(table, _valid(checked[table]))
+
+    targets = {name: warehouse.stored(written[name]) for name in ("products", "stores", "calendar")}
+    for table in LAYOUTS:
+        paths = _paths(getattr(files, table))
+        _enter(table, content_digests(warehouse.spark, table, paths), warehouse, load)
+        staged = _stage(table, paths, warehouse, KEYS[table])
+        checked[table] = _checked(table, staged, warehouse, FACT_KEYS[table], targets)
+        written[table] = warehouse.write_fact(table, _complete(table, _valid(checked[table])), load)
+    _keep_rejects(checked, warehouse, load)
+    last_keys = {table: _last_key(checked[table], table) for table in LAYOUTS}
+    for table in ("calendar", "products", "stores"):
+        warehouse.switch(table, written[table], comment=DESCRIPTIONS[table])
+    for table in LAYOUTS:
+        warehouse.switch_fact(table, written[table], load, False, last_keys[table])
+    _drop_work_tables(warehouse)
+    warehouse.vacuum()
+    warehouse.analyze(columns=True)
+    return _returned(warehouse, load)
+
+
+def _complete(table: str, rows: DataFrame) -> DataFrame:
+    return with_inventory_value(rows) if table == "inventory" else rows
+
+
+def _enter(table: str, digests: DataFrame, warehouse: Warehouse, load: int) -> None:
+    warehouse.list_files(digests.select(F.lit(load).alias("load"), F.lit(table).alias("table_name"), "digest", "lines", "path"))
+
+
+def _new_files(table: str, paths: Sequence[str], warehouse: Warehouse) -> DataFrame:
+    """``path, digest, lines`` of the files whose content is not loaded yet; of equal ones the first path."""
+    given = content_digests(warehouse.spark, table, paths)
+    known = warehouse.loaded_files().where(F.col("table_name") == table).select("digest")
+    fresh = given.join(known, "digest", "left_anti")
+    return fresh.groupBy("digest").agg(F.min_by("path", "place").alias("path"), F.first("lines").alias("lines"))
+
+
+def append(table: str, paths: str | Sequence[str], warehouse: Warehouse) -> DataFrame:
+    """Add files to a stored fact, each content once; returns the rejected rows of this call.
+
+    A file is known by the content of its lines, whatever its name and however
+    it is cut into parts. Files that the fact already holds, and all but one of
+    equal ones, are passed over. Keys continue after the largest one so far. Rows
+    are checked against the dimensions as stored; a snapshot whose product,
+    store and day are stored already breaks DQ4, and only the months of the new
+    rows are read for that.
+
+    The new rows, the rejected ones and the ledger's entries are written beside
+    what is there. The switch to the fact's new version is the commit: before it
+    nothing counts, and the call can be repeated.
     """
-    last = warehouse.table("sales").agg(F.max("sale_id")).first()[0] or 0
-    staged = _stage("sales", list(paths), warehouse, "sale_id", last)
-    checked = _checked("sales", staged, warehouse, SALE_KEYS, _targets(warehouse))
-    warehouse.write_sales(_valid(checked), mode="append")
-    return _store_rejects({"sales": checked}, warehouse)
+    fresh = {r["path"]: r for r in _new_files(table, _paths(paths), warehouse).collect()}
+    load = warehouse.next_load()
+    if not fresh:
+        return _returned(warehouse, load)
+    rows = [(r["digest"], r["lines"], r["path"]) for r in fresh.values()]
+    _enter(table, warehouse.spark.createDataFrame(rows, "digest string, lines long, path string"), warehouse, load)
+    staged = _stage(table, sorted(fresh), warehouse, KEYS[table], warehouse.last_key(table))
+    targets = {name: warehouse.table(name) for name in ("products", "stores", "calendar")}
+    stored = _stored_months(table, staged, warehouse) if FACT_KEYS[table] else None
+    checked = _checked(table, staged, warehouse, FACT_KEYS[table], targets, stored)
+    written = warehouse.write_fact(table, _complete(table, _valid(checked)), load)
+    _keep_rejects({table: checked}, warehouse, load)
+    warehouse.switch_fact(table, written, load, True, _last_key(checked, table))
+    _drop_work_tables(warehouse)
+    warehouse.vacuum()
+    return _returned(warehouse, load)
+
+
+def _stored_months(table: str, staged: DataFrame, warehouse: Warehouse) -> DataFrame:
+    """The stored rows of the months that staged rows are of."""
+    layout = LAYOUTS[table]
+    days = staged.select(F.trunc(layout.date, "MM").alias("month")).where("month IS NOT NULL").distinct().collect()
+    return warehouse.table(table).where(F.col(layout.month).isin([month_number(r["month"]) for r in days]))
+
+
+def append_sales(paths: str | Sequence[str], warehouse: Warehouse) -> DataFrame:
+    """Add sale files, such as another year; see ``append``."""
+    return append("sales", paths, warehouse)
+
+
+def append_inventory(paths: str | Sequence[str], warehouse: Warehouse) -> DataFrame:
+    """Add snapshot files; see ``append``."""
+    return append("inventory", paths, warehouse)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.functions.measures import NET_X100, gross_value, money, net_sales, ratio, with_net
-from tillscope.functions.periods import sold_between
+from tillscope.functions.periods import snapshots_between, sold_between
 from tillscope.operators.joins import with_product, with_store
 from tillscope.plans.inventory import PAIR
 from tillscope.plans.kpi import inventory_health
@@ -29,45 +29,72 @@ def store_vs_chain(star: Star, start: date, end: date) -> DataFrame:
     ).orderBy("chain", F.desc_nulls_first("net_sales"))
 
 
+def _sold_by_day(star: Star, start: date, end: date) -> DataFrame:
+    """One row per product, store and day."""
+    return (
+        with_net(sold_between(star.sales, start, end))
+        .groupBy(*PAIR, F.col("sale_date").alias("day"))
+        .agg(F.sum("quantity").alias("quantity"), F.sum(NET_X100).alias(NET_X100))
+    )
+
+
 def with_cost_as_of(star: Star, start: date, end: date) -> DataFrame:
     """Daily sales per pair with the unit cost of its last snapshot so far.
 
     Sales are reduced to one row per product, store and day before the as-of
-    step, so a pair's series holds at most two rows per calendar day. The
-    series is the union of sale days and snapshots; a snapshot of the sale's
-    own day counts.
+    step, and the snapshots before the range to the newest per pair, so a pair's
+    series holds at most two rows per day of the range. The series is the union
+    of sale days and snapshots; a snapshot of the sale's own day counts.
     """
-    sold = (
-        with_net(sold_between(star.sales, start, end))
-        .groupBy(*PAIR, F.col("sale_date").alias("day"))
-        .agg(F.sum("quantity").alias("quantity"), F.sum(NET_X100).alias(NET_X100))
-        .withColumn("is_sale", F.lit(1))
-    )
-    costs = (
-        star.inventory.filter((F.col("snapshot_date") <= F.lit(end)) & F.col("unit_cost").isNotNull())
+    costed = star.inventory.filter(F.col("unit_cost").isNotNull())
+    inside = (
+        snapshots_between(costed, start, end)
         .groupBy(*PAIR, F.col("snapshot_date").alias("day"))
         .agg(F.max("unit_cost").alias("unit_cost"))
-        .withColumn("is_sale", F.lit(0))
     )
+    newest = F.max(F.struct("snapshot_date", "unit_cost"))
+    before = (
+        snapshots_between(costed, None, start - timedelta(days=1))
+        .groupBy(*PAIR)
+        .agg(newest["snapshot_date"].alias("day"), newest["unit_cost"].alias("unit_cost"))
+    )
+    costs = inside.unionByName(before).withColumn("is_sale", F.lit(0))
     series = Window.partitionBy(*PAIR).orderBy("day", "is_sale")
     return (
-        sold.unionByName(costs, allowMissingColumns=True)
+        _sold_by_day(star, start, end)
+        .withColumn("is_sale", F.lit(1))
+        .unionByName(costs, allowMissingColumns=True)
         .withColumn("unit_cost", F.last("unit_cost", ignorenulls=True).over(series))
         .filter("is_sale = 1")
         .drop("is_sale")
     )
 
 
-def margin(star: Star, start: date, end: date) -> DataFrame:
+def with_cost_of_interval(star: Star, start: date, end: date, costs: DataFrame) -> DataFrame:
+    """Daily sales per pair with the unit cost of the interval (``plans/state``) that holds the day.
+
+    Only the intervals of the range's years are read. At most one holds a day,
+    so the join adds no rows; a pair has few in a year.
+    """
+    sold = _sold_by_day(star, start, end).withColumn("cost_year", F.year("day"))
+    valid = costs.filter(F.col("cost_year").between(start.year, end.year))
+    held = [sold[c] == valid[c] for c in (*PAIR, "cost_year")]
+    inside = sold["day"].between(valid["valid_from"], valid["valid_to"])
+    joined = sold.join(valid, [*held, inside], "left")
+    return joined.select(*[sold[c] for c in (*PAIR, "day", "quantity", NET_X100)], valid["unit_cost"])
+
+
+def margin(star: Star, start: date, end: date, costs: DataFrame | None = None) -> DataFrame:
     """Net sales, cost and margin per category and month.
 
     Margin covers the sales whose cost is known; ``uncosted_units`` tells how
-    many units it leaves out.
+    many units it leaves out. With maintained cost intervals (``plans/state``)
+    no snapshot is read.
     """
     cost = F.col("quantity") * F.col("unit_cost")
     known = F.col("unit_cost").isNotNull()
     per_product = (
-        with_cost_as_of(star, start, end)
+        (with_cost_as_of(star, start, end) if costs is None else with_cost_of_interval(star, start, end, costs))
         .withColumn("month", F.trunc("day", "MM"))
         .groupBy("product_id", "month")
         .agg(

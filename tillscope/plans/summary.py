@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +14,8 @@ from tillscope.functions.measures import NET_X100, change_pct, money, net_sales,
 from tillscope.functions.periods import (
     calendar_days,
     days_before,
+    month_number,
+    month_of_number,
     months_before,
     snapshots_between,
     sold_between,
@@ -23,7 +24,9 @@ from tillscope.operators.joins import with_day, with_product, with_store
 from tillscope.operators.quality import CHANNELS
 from tillscope.operators.ranking import rank_descending
 from tillscope.plans.inventory import PAIR, label_priority, latest_stock, recent_sales, with_supply
+from tillscope.plans.state import current_positions
 from tillscope.sources.schema import STOCK_VALUE
+from tillscope.sources.versions import MADE_FROM, Part, VersionedTables, Written
 from tillscope.sources.warehouse import analyze
 from tillscope.star import Star
 
@@ -107,10 +110,20 @@ def build_regional_performance(star: Star, as_of: date, months: int = 6) -> Data
     )
 
 
-def build_latest_inventory(star: Star, as_of: date, days: int = 30) -> DataFrame:
-    """Newest snapshot per pair among those of the last days."""
-    fresh = snapshots_between(star.inventory, days_before(as_of, days))
-    return latest_stock(fresh).withColumn(
+def build_latest_inventory(
+    star: Star, as_of: date, days: int = 30, positions: DataFrame | None = None
+) -> DataFrame:
+    """Newest snapshot per pair among those of the last days.
+
+    The newest of all is the newest of the last days or there is none in them,
+    so maintained ``positions`` (``plans/state``) only need a filter.
+    """
+    first = days_before(as_of, days)
+    if positions is None:
+        latest = latest_stock(snapshots_between(star.inventory, first))
+    else:
+        latest = positions.filter(F.col("snapshot_date") >= F.lit(first))
+    return latest.withColumn(
         "stock_value", (F.col("final_stock") * F.col("unit_cost")).cast(STOCK_VALUE)
     )
 
@@ -168,8 +181,11 @@ def build_store_performance(star: Star) -> DataFrame:
 def daily_kpis(daily: DataFrame, as_of: date, chain: str, days: int = 7) -> DataFrame:
     """Daily net sales, tickets and net per ticket of a chain, from the daily summary."""
     rows = daily.filter((F.col("sale_date") >= F.lit(days_before(as_of, days))) & (F.col("chain") == chain))
-    if "year" in daily.columns:
-        rows = rows.filter(F.col("year") >= days_before(as_of, days).year)
+    first = days_before(as_of, days)
+    if {"year", "month"} <= set(daily.columns):
+        # The folders of stored summaries, which Spark cannot derive from the date.
+        later = (F.col("year") == first.year) & (F.col("month") >= first.month)
+        rows = rows.filter((F.col("year") > first.year) | later)
     return (
         rows.groupBy("sale_date", "chain")
         .agg(F.sum("net_sales").cast("decimal(38,6)").alias("net_sales"), F.sum("tickets").alias("tickets"))
@@ -192,90 +208,71 @@ def with_day_before(daily: DataFrame) -> DataFrame:
     return joined.withColumn("change_pct", change_pct("net_sales", "net_sales_before"))
 
 
-class SummaryStore:
+class SummaryStore(VersionedTables):
     """Published summary tables of one database.
 
-    Every refresh writes a new table ``name__vN_x``, where x is new for each
-    attempt, and then points the view ``name`` at it. A reader that has started
-    keeps the version it opened; the last ``keep`` versions are kept, so it
-    survives ``keep - 1`` refreshes. What an attempt that broke off has left is
-    in nobody's way, and the next refresh of that summary clears it. One process
-    refreshes at a time.
+    Every refresh makes a new version and then points the view of the summary's
+    name at it; a summary kept by month shares the folders of months that have
+    not changed with the version before. A reader that has started keeps the
+    version it opened; the last ``keep`` versions are kept, so it survives
+    ``keep - 1`` refreshes. What an attempt that broke off has left is in
+    nobody's way, and the next refresh clears it.
     """
 
-    def __init__(self, spark: SparkSession, database: str, location: str | None = None, keep: int = 4):
-        self.spark = spark
-        self.database = database
-        self.keep = keep
-        place = f" LOCATION '{location}'" if location else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
-
-    def _tables(self, name: str) -> dict[int, str]:
-        """Table names of a summary by version number."""
-        prefix = f"{name}__v"
-        found = [t.name for t in self.spark.catalog.listTables(self.database, f"{prefix}*")]
-        return dict(sorted((int(t[len(prefix):].split("_")[0]), t) for t in found))
-
     def publish(
-        self, name: str, df: DataFrame, as_of: date, freshness: str | None = None, partition_by: Iterable[str] = ()
+        self, name: str, df: DataFrame, as_of: date, freshness: str | None = None, partition_by: Sequence[str] = ()
     ) -> None:
         """Write a new version and switch readers to it."""
-        self.clear_leftovers(name)
-        tables = self._tables(name)
-        number = max(tables, default=0) + 1
-        table = f"{self.database}.{name}__v{number}_{uuid.uuid4().hex[:12]}"
-        writer = df.write.mode("errorifexists").format("parquet")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(table)
+        self._release(name, self.write(name, df, partition_by), (), as_of, freshness)
+
+    def publish_months(
+        self,
+        name: str,
+        df: DataFrame | None,
+        kept: Sequence[Part],
+        digests: dict[int, str],
+        month: Column,
+        as_of: date,
+        freshness: str | None,
+        partition_by: Sequence[str],
+    ) -> None:
+        """Write some months (``df``), share the kept ones, and switch readers to the version of both.
+
+        ``digests`` of the written months go into their folders' names; ``month`` gives a row's month as a number.
+        """
+        written = None
+        if df is not None:
+            pairs = [F.lit(x) for pair in {0: "", **digests}.items() for x in pair]
+            written = self.write(name, df, partition_by, F.coalesce(F.create_map(*pairs)[month], F.lit("")))
+        self._release(name, written, kept, as_of, freshness)
+
+    def _release(
+        self, name: str, written: Written | None, kept: Sequence[Part], as_of: date, freshness: str | None
+    ) -> None:
         moment = datetime.now(timezone.utc).isoformat(timespec="seconds")
-        self.spark.sql(
-            f"ALTER TABLE {table} SET TBLPROPERTIES ('refreshed_at' = '{moment}', 'as_of' = '{as_of}', "
-            f"'freshness_column' = '{freshness or ''}')"
-        )
-        analyze(self.spark, table)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS SELECT * FROM {table}")
-        for old in sorted(tables)[: max(0, len(tables) + 1 - self.keep)]:
-            self.drop_version(name, old)
-
-    def clear_leftovers(self, name: str) -> None:
-        """Delete folders of a summary's versions that the catalog does not know."""
-        place = self.spark.catalog.getDatabase(self.database).locationUri
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
-        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(path):
-            return
-        known = set(self._tables(name).values())
-        for entry in system.listStatus(path):
-            folder = entry.getPath()
-            if folder.getName().startswith(f"{name}__v") and folder.getName() not in known:
-                system.delete(folder, True)
-
-    def drop_version(self, name: str, version: int) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{self._tables(name)[version]}")
-
-    def drop(self, name: str) -> None:
-        """Remove a summary with all its versions, if it exists."""
-        self.spark.sql(f"DROP VIEW IF EXISTS {self.database}.{name}")
-        for version in self._tables(name):
-            self.drop_version(name, version)
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.table(f"{self.database}.{name}")
-
-    def names(self) -> list[str]:
-        tables = self.spark.catalog.listTables(self.database)
-        return sorted(t.name for t in tables if t.tableType == "VIEW" and not t.isTemporary)
-
-    def version(self, name: str) -> int:
-        return max(self._tables(name))
-
-    def current_table(self, name: str) -> str:
-        return f"{self.database}.{self._tables(name)[self.version(name)]}"
-
-    def properties(self, name: str) -> dict[str, str]:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.current_table(name)}").collect()
-        return {row["key"]: row["value"] for row in rows}
+        notes = {"refreshed_at": moment, "as_of": str(as_of), "freshness_column": freshness or ""}
+        self.switch(name, written, kept, notes)
+        analyze(self.spark, self.current_table(name))
+
+
+@dataclass(frozen=True)
+class Months:
+    """A summary whose months can be built alone.
+
+    ``build`` gets the months as numbers like 202406; ``number`` is an
+    expression of a row's month; ``of_part`` the month of a stored partition. ``since`` is the first
+    month that the summary holds, by the day it is made for.
+    """
+
+    build: Callable[[Star, SummaryStore, date, list[int]], DataFrame]
+    number: str
+    of_part: Callable[[Part], int]
+    since: Callable[[date], date] | None = None
+    fact: str = "sales"
+
+    def wanted(self, star: Star, as_of: date) -> dict[int, str]:
+        first = month_number(self.since(as_of)) if self.since else 0
+        return {m: digest for m, digest in star.tracker.changes(self.fact).items() if m >= first}
 
 
 @dataclass(frozen=True)
@@ -287,32 +284,92 @@ class Summary:
     freshness: str | None = None
     partition_by: tuple[str, ...] = ()
     needs: tuple[str, ...] = ()
+    months: Months | None = None
+
+
+def _of_dated(part: Part) -> int:
+    """Month of a partition named by its first day."""
+    return month_number(date.fromisoformat(part["month"]))
+
+
+def _by_date(build: Callable[[Star], DataFrame]) -> Months:
+    """Months of a daily summary, whose partitions are named by year and month."""
+    return Months(
+        lambda s, _, d, months: build(s.of_months("sales", months)),
+        "year * 100 + month",
+        lambda part: int(part["year"]) * 100 + int(part["month"]),
+    )
+
+
+def _by_month(
+    build: Callable[[Star, SummaryStore, date, list[int]], DataFrame], since: Callable[[date], date] | None = None
+) -> Months:
+    return Months(build, "year(month) * 100 + month(month)", _of_dated, since)
+
+
+def _months_of(rows: DataFrame, months: list[int]) -> DataFrame:
+    return rows.where(F.col("month").isin([month_of_number(m) for m in months]))
 
 
 # In dependency order: the ranked products read the product months, the alerts the
 # two inventory summaries before them.
 SUMMARIES = {
-    "daily_sales": Summary(lambda s, _, d: build_daily_summary(s), "sales", "sale_date", ("year",)),
-    "product_months": Summary(lambda s, _, d: build_product_months(s), "sales", "month"),
+    "daily_sales": Summary(
+        lambda s, _, d: build_daily_summary(s), "sales", "sale_date", ("year", "month"), months=_by_date(build_daily_summary)
+    ),
+    "product_months": Summary(
+        lambda s, _, d: build_product_months(s),
+        "sales",
+        "month",
+        ("month",),
+        months=_by_month(lambda s, _, d, months: build_product_months(s.of_months("sales", months))),
+    ),
     "product_performance": Summary(
         lambda s, store, d: rank_product_months(store.read("product_months")),
         "sales",
         "month",
+        ("month",),
         needs=("product_months",),
+        months=_by_month(lambda s, store, d, months: rank_product_months(_months_of(store.read("product_months"), months))),
     ),
     "daily_sales_by_category": Summary(
-        lambda s, _, d: build_daily_summary(s, by_category=True), "variants", "sale_date", ("year",)
+        lambda s, _, d: build_daily_summary(s, by_category=True),
+        "variants",
+        "sale_date",
+        ("year", "month"),
+        months=_by_date(lambda s: build_daily_summary(s, by_category=True)),
+    ),
+    "product_velocity_months": Summary(
+        lambda s, _, d: build_product_months(s, velocity=True),
+        "variants",
+        "month",
+        ("month",),
+        months=_by_month(lambda s, _, d, months: build_product_months(s.of_months("sales", months), velocity=True)),
     ),
-    "product_velocity_months": Summary(lambda s, _, d: build_product_months(s, velocity=True), "variants", "month"),
     "product_velocity": Summary(
         lambda s, store, d: rank_product_months(store.read("product_velocity_months")),
         "variants",
         "month",
+        ("month",),
         needs=("product_velocity_months",),
+        months=_by_month(
+            lambda s, store, d, months: rank_product_months(_months_of(store.read("product_velocity_months"), months))
+        ),
+    ),
+    "regional_performance": Summary(
+        lambda s, _, d: build_regional_performance(s, d),
+        "regional",
+        "month",
+        ("month",),
+        months=_by_month(
+            lambda s, _, d, months: build_regional_performance(s.of_months("sales", months), d),
+            since=lambda d: months_before(d, 6),
+        ),
     ),
-    "regional_performance": Summary(lambda s, _, d: build_regional_performance(s, d), "regional", "month", ("month",)),
     "store_performance": Summary(lambda s, _, d: build_store_performance(s), "sales"),
-    "latest_inventory": Summary(lambda s, _, d: build_latest_inventory(s, d), "inventory", "snapshot_date"),
+    "latest_inventory": Summary(
+        lambda s, store, d: build_latest_inventory(s, d, positions=current_positions(store, s)), "inventory", "snapshot_date"
+    ),
     "recent_sales": Summary(lambda s, _, d: build_recent_sales(s, d), "inventory", "last_sale_date"),
     "inventory_alerts": Summary(
         lambda s, store, d: build_inventory_alerts(s, store.read("latest_inventory"), store.read("recent_sales")),
@@ -334,7 +391,12 @@ def refresh(
     names: Iterable[str],
     summaries: dict[str, Summary] = SUMMARIES,
 ) -> DataFrame:
-    """Rebuild the named summaries in dependency order; returns their status."""
+    """Bring the named summaries up to date in dependency order; returns their status.
+
+    Where the star tells which months of a fact have changed, a summary kept by
+    month reads and writes those alone; others, and all of them over a star that
+    does not tell, are built anew.
+    """
     wanted = set(names)
     unknown = wanted - set(summaries)
     if unknown:
@@ -346,14 +408,31 @@ def refresh(
     done = [name for name in summaries if name in wanted]
     for name in done:
         summary = summaries[name]
+        if summary.months and star.tracker:
+            _refresh_months(store, star, as_of, name, summary)
+            continue
         df = summary.build(star, store, as_of)
         if summary.partition_by:
             # Gathered by partition, so that not every task writes to each of them.
             df = df.hint("rebalance", *summary.partition_by)
         store.publish(name, df, as_of, summary.freshness, summary.partition_by)
+    store.vacuum()
     return summary_stats(store, as_of, done)
 
 
+def _refresh_months(store: SummaryStore, star: Star, as_of: date, name: str, summary: Summary) -> None:
+    wanted = summary.months.wanted(star, as_of)
+    kept = [p for p in store.parts(name) if wanted.get(summary.months.of_part(p)) == p[MADE_FROM]]
+    held = {summary.months.of_part(p) for p in kept}
+    stale = {m: digest for m, digest in sorted(wanted.items()) if m not in held}
+    df = None
+    if stale or not store.exists(name):
+        df = summary.months.build(star, store, as_of, list(stale)).hint("rebalance", *summary.partition_by)
+    store.publish_months(
+        name, df, kept, stale, F.expr(summary.months.number), as_of, summary.freshness, summary.partition_by
+    )
+
+
 def refresh_all(store: SummaryStore, star: Star, as_of: date) -> DataFrame:
     return refresh(store, star, as_of, SUMMARIES)
 
