@@ -542,6 +542,12 @@ ORACLES["s14_analyze"] = query(
     " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT(*) AS rows, MIN({c})::VARCHAR AS least, MAX({c})::VARCHAR AS greatest, "
         f"COUNT(*) - COUNT({c}) AS nulls FROM sales" for c in ("product_id", "store_id", "sale_date")))
+ORACLES["s14_estimates"] = query(
+    "filter_name:s rows:i estimate_holds:b",
+    """SELECT 'sales before 1997' AS filter_name, COUNT(*) AS rows, true AS estimate_holds FROM sales WHERE sale_date < DATE '1997-01-01'
+       UNION ALL SELECT 'sales of a quarter', COUNT(*), true FROM sales WHERE sale_date BETWEEN DATE '2000-10-01' AND DATE '2000-12-31'
+       UNION ALL SELECT 'low product ids', COUNT(*), true FROM sales WHERE product_id <= 100
+       UNION ALL SELECT 'low stock', COUNT(*), true FROM inventory WHERE final_stock < 20""")
 # What the columns of the stored sales table say of themselves.
 SALES_NOTES = {
     "sale_id": "Line key, unique together with the date", "product_id": "Product sold", "store_id": "Selling store",
@@ -562,6 +568,48 @@ ORACLES["x11_archive_year"] = query(
     "place:s sale_year:i lines:i",
     """SELECT CASE year(sale_date) WHEN 1995 THEN 'archive' ELSE 'current' END AS place, year(sale_date) AS sale_year,
               COUNT(*) AS lines FROM sales GROUP BY ALL""")
+# The ids of a file's snapshots are new ones; everything else is as given.
+ORACLES["x10_append_inventory"] = query(
+    INVENTORY_FILE + " stock_value:d is_new:b",
+    """SELECT * EXCLUDE (stock_value), CAST(final_stock * unit_cost AS DECIMAL(15,2)) AS stock_value,
+              year(snapshot_date) = 2001 AS is_new FROM inventory""")
+ORACLES["x10_append_twice"] = query(
+    "table_name:s year:i rows:i file_lines:i",
+    """SELECT 'sales' AS table_name, year(sale_date) AS year, COUNT(*) AS rows, (SELECT COUNT(*) FROM sales) AS file_lines
+       FROM sales GROUP BY 2
+       UNION ALL
+       SELECT 'inventory', year(snapshot_date), COUNT(*), (SELECT COUNT(*) FROM inventory) FROM inventory GROUP BY 2""")
+ORACLES["x10_rejects_of_loads"] = query(
+    "load:i rule_id:s rejected_rows:i stored_rows:i",
+    """SELECT 2 AS load, 'DQ4' AS rule_id, COUNT(*) FILTER (year(snapshot_date) = 2000) AS rejected_rows,
+              COUNT(*) AS stored_rows FROM inventory""")
+ORACLES["m1_refresh_after_append"] = ORACLES["m1_daily_summary"]
+ORACLES["m1_rewritten_months"] = query(
+    "year:i month:i rewritten:b rows:i",
+    f"""SELECT year, month, sale_date >= DATE '2001-05-01' AS rewritten, COUNT(*) AS rows FROM ({M1}) GROUP BY ALL""")
+ORACLES["m2_refresh_after_append"] = ORACLES["m2_product_performance"]
+ORACLES["m3_refresh_after_append"] = ORACLES["m3_regional_performance"]
+ORACLES["m4_maintained_positions"] = ORACLES["m4_latest_inventory"]
+ORACLES["e3a_inventory_alerts_of_positions"] = ORACLES["e3a_inventory_alerts_full"]
+ORACLES["q3_1_weekly_ticket_of_buckets"] = ORACLES["q3_1_weekly_ticket_by_format"]
+ORACLES["q3_2_monthly_ticket_of_buckets"] = ORACLES["q3_2_monthly_ticket_by_region"]
+ORACLES["s9_read_one_month"] = query(
+    "table_name:s day:t rows:i folders:i",
+    """SELECT 'sales' AS table_name, sale_date AS day, COUNT(*) AS rows, 1 AS folders FROM sales
+       WHERE sale_date BETWEEN DATE '2000-11-01' AND DATE '2000-11-30' GROUP BY 2
+       UNION ALL
+       SELECT 'inventory', snapshot_date, COUNT(*), 1 FROM inventory
+       WHERE snapshot_date BETWEEN DATE '2000-11-01' AND DATE '2000-11-30' GROUP BY 2""")
+# The last interval of a pair runs to the end of the last year with a sale or a snapshot.
+ORACLES["x3_cost_intervals"] = query(
+    "product_id:i store_id:i unit_cost:d valid_from:t valid_to:t cost_year:i",
+    """SELECT product_id, store_id, unit_cost, greatest(a, make_date(y, 1, 1)) AS valid_from,
+              least(b, make_date(y, 12, 31)) AS valid_to, y AS cost_year
+       FROM (SELECT *, unnest(range(year(a), year(b) + 1)) AS y
+             FROM (SELECT product_id, store_id, unit_cost, snapshot_date AS a,
+                          coalesce(lead(snapshot_date) OVER (PARTITION BY product_id, store_id ORDER BY snapshot_date) - 1,
+                                   (SELECT make_date(max(year(sale_date)), 12, 31) FROM sales)) AS b
+                   FROM inventory WHERE unit_cost IS NOT NULL))""")
 
 # Calendar over the years of the data, with the lines sold per day.
 CALENDAR_SALES = """SELECT c.*, coalesce(n, 0) AS lines FROM data_calendar c
@@ -603,6 +651,7 @@ COUNTS = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS record_count FROM {t}"
     for t in ("products", "stores", "calendar", "sales", "inventory"))
 ORACLES["v3_table_counts"] = query("table_name:s record_count:i", COUNTS)
+ORACLES["s11_readers_beside_changes"] = ORACLES["v3_table_counts"]
 ORACLES["v4_date_span"] = query(
     "first_date:t last_date:t distinct_dates:i",
     """SELECT MIN(sale_date) AS first_date, MAX(sale_date) AS last_date, COUNT(DISTINCT sale_date) AS distinct_dates
@@ -642,6 +691,7 @@ ORACLES["x3_margin"] = query(
               FROM (SELECT s.*, i.unit_cost FROM sales s ASOF LEFT JOIN inventory i ON s.product_id = i.product_id
                     AND s.store_id = i.store_id AND s.sale_date >= i.snapshot_date)
               JOIN products USING (product_id) WHERE sale_date {Y2000} GROUP BY category, month)""")
+ORACLES["x3_margin_of_intervals"] = ORACLES["x3_margin"]
 ORACLES["x4_sales_by_weekday"] = query(
     "quarter:i iso_weekday:i day_name:s days:i units:i net_sales:d avg_daily_sale:d",
     f"""SELECT quarter, iso_weekday, day_name, COUNT(DISTINCT sale_date) AS days, SUM(quantity) AS units,
@@ -663,6 +713,10 @@ ORACLES["x8_daily_summary_by_category"] = query(
          FROM sales JOIN stores USING (store_id) JOIN products USING (product_id)
          JOIN calendar ON cal_date = sale_date GROUP BY ALL""")
 
+ORACLES["x8_by_category_large_catalogue"] = ORACLES["x8_daily_summary_by_category"].replace(
+    "FROM sales JOIN stores", "FROM (SELECT * REPLACE (CASE WHEN sale_id % 3 = 0 THEN 1 ELSE product_id END AS product_id) FROM sales) "
+    "JOIN stores")
+
 
 # Quality rules over the star with known faults.
 def _spoiled(table: str) -> str:

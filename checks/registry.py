@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from tillscope import testbind
 from tillscope.functions.measures import net_sales, with_net
+from tillscope.functions.periods import snapshots_between, sold_between
 from tillscope.operators import calendar as cal
 from tillscope.operators import keys, quality, validate
-from tillscope.plans import advanced, inventory, kpi, metrics, products, sales, season, summary, tickets
-from tillscope.plans.load import SourceFiles, append_sales, load_star
+from tillscope.plans import advanced, inventory, kpi, metrics, products, sales, season, state, summary, tickets
+from tillscope.plans.load import SourceFiles, append_inventory, append_sales, load_star
 from tillscope.sources import csv
-from tillscope.sources.shared import fresh_folder
+from tillscope.sources.shared import fresh_folder, materialized
 from tillscope.sources.warehouse import Warehouse, analyze, statistics
 from tillscope.star import Star
 
@@ -28,6 +29,7 @@ YEAR = (date(2000, 1, 1), date(2000, 12, 31))
 QUARTER = (date(2000, 10, 1), date(2000, 12, 31))
 NOVEMBER = (date(2000, 11, 1), date(2000, 11, 30))
 FIRST_QUARTER_2001 = (date(2001, 1, 1), date(2001, 3, 31))
+LAST_MONTHS = date(2001, 5, 1)  # from here on facts are appended where a check needs an append
 LONG = 2500  # look-back that holds repeated sales of a pair in the test tables
 
 
@@ -208,8 +210,31 @@ def analyzed_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Store sales, refresh their statistics, and read them from the catalog."""
     warehouse, columns = _warehouse(spark), ["product_id", "store_id", "sale_date"]
     warehouse.write_sales(testbind.sales(spark, folder))
-    analyze(spark, warehouse.name("sales"), columns)
-    return statistics(spark, warehouse.name("sales"), columns)
+    analyze(spark, warehouse.current_table("sales"), columns)
+    return statistics(spark, warehouse.current_table("sales"), columns)
+
+
+def estimated_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows behind filters on the loaded star, and whether the optimizer's estimate from its histograms is within a factor of 1.5."""
+    star, path, warehouse = testbind.star(spark, folder), fresh_folder(spark), _warehouse(spark)
+    load_star(_exchange_files(star, path), star.calendar, warehouse)
+    wanted = {
+        "sales before 1997": warehouse.table("sales").filter("sale_date < DATE '1997-01-01'"),
+        "sales of a quarter": warehouse.table("sales").filter("sale_date BETWEEN DATE '2000-10-01' AND DATE '2000-12-31'"),
+        "low product ids": warehouse.table("sales").filter("product_id <= 100"),
+        "low stock": warehouse.table("inventory").filter("final_stock < 20"),
+    }
+    before = spark.conf.get("spark.sql.cbo.enabled")
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    try:
+        found = []
+        for name, df in wanted.items():
+            guess = df._jdf.queryExecution().optimizedPlan().stats().rowCount()
+            rows = df.count()
+            found.append((name, rows, guess.isDefined() and rows / 1.5 <= int(str(guess.get())) <= rows * 1.5))
+    finally:
+        spark.conf.set("spark.sql.cbo.enabled", before)
+    return spark.createDataFrame(found, "filter_name string, rows long, estimate_holds boolean")
 
 
 def described_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -323,18 +348,25 @@ def _exchange_files(star: Star, path: str) -> SourceFiles:
     return SourceFiles(f"{path}/products", f"{path}/stores", [f"{path}/sales"], f"{path}/inventory")
 
 
-def appended(spark: SparkSession, folder: str) -> DataFrame:
-    """Load all years but the last, append that one; per year the lines, keys, and whether keys follow the load's."""
+def _loaded_but_last_year(spark: SparkSession, folder: str) -> tuple[Star, Warehouse, str]:
+    """A star, a warehouse loaded with all of it but the last year's facts, and a folder for further files."""
     star, path, warehouse = testbind.star(spark, folder), fresh_folder(spark), _warehouse(spark)
-    last = F.year("sale_date") == testbind.LAST_DAY.year
+    year = testbind.LAST_DAY.year
     before = Star(
-        products=star.products, stores=star.stores, calendar=star.calendar, sales=star.sales.filter(~last),
-        inventory=star.inventory,
+        products=star.products, stores=star.stores, calendar=star.calendar,
+        sales=star.sales.filter(F.year("sale_date") < year), inventory=star.inventory.filter(F.year("snapshot_date") < year),
     )
     load_star(_exchange_files(before, path), star.calendar, warehouse)
+    for table, day in (("sales", "sale_date"), ("inventory", "snapshot_date")):
+        csv.write_csv(star.tables()[table].filter(F.year(day) == year), table, f"{path}/more_{table}")
+    return star, warehouse, path
+
+
+def appended(spark: SparkSession, folder: str) -> DataFrame:
+    """Load all years but the last, append that one; per year the lines, keys, and whether keys follow the load's."""
+    _, warehouse, path = _loaded_but_last_year(spark, folder)
     largest = warehouse.table("sales").agg(F.max("sale_id")).first()[0]
-    csv.write_csv(star.sales.filter(last), "sales", f"{path}/more")
-    append_sales([f"{path}/more"], warehouse)
+    append_sales([f"{path}/more_sales"], warehouse)
     return comparable(
         warehouse.table("sales").groupBy("sale_year").agg(
             F.count("*").alias("lines"), F.count_distinct("sale_id").alias("keys"),
@@ -343,6 +375,197 @@ def appended(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def appended_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """Load the snapshots of all years but the last, append that one: every stored snapshot, and whether its key is new."""
+    _, warehouse, path = _loaded_but_last_year(spark, folder)
+    largest = warehouse.table("inventory").agg(F.max("inventory_id")).first()[0]
+    append_inventory(f"{path}/more_inventory", warehouse)
+    columns = [*csv.CSV_HEADERS["inventory"].values(), "stock_value"]
+    stored = warehouse.table("inventory")
+    return comparable(stored.select(*columns, (F.col("inventory_id") > largest).alias("is_new")))
+
+
+class _BreaksOff(Warehouse):
+    """A warehouse whose next switch of a fact fails, as if the driver were lost before the commit."""
+
+    def switch_fact(self, *args, **kwargs) -> None:
+        raise RuntimeError("broken off")
+
+
+def appended_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """An append that breaks off before its commit, then the same files again and again, and under another name.
+
+    Per fact and year the stored rows, and the rows of the files that the ledger holds.
+    """
+    star, warehouse, path = _loaded_but_last_year(spark, folder)
+    broken = _BreaksOff(spark, warehouse.database)
+    for table, day, append in (("sales", "sale_date", append_sales), ("inventory", "snapshot_date", append_inventory)):
+        try:
+            append([f"{path}/more_{table}"], broken)
+        except RuntimeError:
+            pass
+        append([f"{path}/more_{table}"], warehouse)
+        append([f"{path}/more_{table}"], warehouse)
+        moved = star.tables()[table].filter(F.year(day) == testbind.LAST_DAY.year).repartition(3)
+        csv.write_csv(moved, table, f"{path}/other_{table}")
+        append([f"{path}/other_{table}"], warehouse)
+    listed = warehouse.loaded_files().groupBy("table_name").agg(F.sum("lines").alias("file_lines"))
+    counts = [
+        warehouse.table(table).groupBy(F.lit(table).alias("table_name"), F.year(day).alias("year")).agg(F.count("*").alias("rows"))
+        for table, day in (("sales", "sale_date"), ("inventory", "snapshot_date"))
+    ]
+    return comparable(reduce(DataFrame.unionByName, counts).join(listed, "table_name"))
+
+
+def rejected_again(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshots that are stored already, given again beside new ones: rejected rows by load and rule."""
+    star, warehouse, path = _loaded_but_last_year(spark, folder)
+    years = testbind.LAST_DAY.year
+    overlapping = star.inventory.filter(F.year("snapshot_date") >= years - 1)
+    csv.write_csv(overlapping, "inventory", f"{path}/overlapping")
+    append_inventory(f"{path}/overlapping", warehouse)
+    rules = warehouse.rejected().select("load", F.explode("broken_rules").alias("rule_id"))
+    stored = warehouse.table("inventory").agg(F.count("*").alias("stored_rows"))
+    counted = rules.groupBy("load", "rule_id").agg(F.count("*").alias("rejected_rows"))
+    return comparable(counted.withColumn("stored_rows", F.lit(stored.first()[0])))
+
+
+def _stored_star(spark: SparkSession, folder: str) -> tuple[Warehouse, Callable[[], None]]:
+    """A warehouse with all facts but those of the last three months, and a function that appends these."""
+    star, warehouse = testbind.star(spark, folder), _warehouse(spark)
+    days = {"sales": "sale_date", "inventory": "snapshot_date"}
+    for table in ("products", "stores", "calendar"):
+        warehouse.write_table(table, star.tables()[table])
+    for table, day in days.items():
+        warehouse.write_table(table, star.tables()[table].filter(F.col(day) < F.lit(LAST_MONTHS)))
+
+    def append() -> None:
+        for table, day in days.items():
+            warehouse.write_table(table, star.tables()[table].filter(F.col(day) >= F.lit(LAST_MONTHS)), "append")
+
+    return warehouse, append
+
+
+def refreshed_after_append(name: str) -> Query:
+    """Build a summary, append three months, refresh it: the summary as readers see it."""
+    names = [*summary.SUMMARIES[name].needs, name]
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        warehouse, append = _stored_star(spark, folder)
+        store = _store(spark)
+        summary.refresh(store, warehouse.star(), AS_OF, names)
+        append()
+        summary.refresh(store, warehouse.star(), AS_OF, names)
+        return comparable(store.read(name))
+
+    return run
+
+
+def rewritten_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Months of the daily summary that a refresh after an append wrote, and those it kept, with their rows."""
+    warehouse, append = _stored_star(spark, folder)
+    store = _store(spark)
+    summary.refresh(store, warehouse.star(), AS_OF, ["daily_sales"])
+    before = {p["written_as"] for p in store.parts("daily_sales")}
+    append()
+    summary.refresh(store, warehouse.star(), AS_OF, ["daily_sales"])
+    rows = spark.table(store.current_table("daily_sales"))
+    written = (~F.col("written_as").isin(sorted(before))).alias("rewritten")
+    return comparable(rows.groupBy("year", "month", written).agg(F.count("*").alias("rows")))
+
+
+def positions_after_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Maintained positions after an append: alerts over the latest snapshot of every pair."""
+    warehouse, append = _stored_star(spark, folder)
+    store = _store(spark)
+    state.refresh_positions(store, warehouse.star())
+    append()
+    star = warehouse.star()
+    positions = state.refresh_positions(store, star)
+    return comparable(inventory.inventory_alerts_full(star, AS_OF, lookback_days=LONG, min_days=2, positions=positions))
+
+
+def latest_from_positions(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse, append = _stored_star(spark, folder)
+    store = _store(spark)
+    append()
+    star = warehouse.star()
+    positions = state.refresh_positions(store, star)
+    return comparable(summary.build_latest_inventory(star, AS_OF, days=365, positions=positions))
+
+
+def margin_from_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Margin of a year over cost intervals that were brought up to date after an append."""
+    warehouse, append = _stored_star(spark, folder)
+    store = _store(spark)
+    state.refresh_costs(store, warehouse.star())
+    append()
+    star = warehouse.star()
+    return comparable(metrics.margin(star, *YEAR, state.refresh_costs(store, star)))
+
+
+def cost_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse, append = _stored_star(spark, folder)
+    append()
+    intervals = state.refresh_costs(_store(spark), warehouse.star())
+    return comparable(intervals.select("product_id", "store_id", "unit_cost", "valid_from", "valid_to", "cost_year"))
+
+
+def read_beside_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that readers count after a reload, an archive run and a clearing, having opened the tables before."""
+    star, warehouse = testbind.star(spark, folder), _warehouse(spark)
+    warehouse.write_star(star)
+    opened = warehouse.star().tables()
+    warehouse.write_table("products", star.products.limit(1))
+    warehouse.write_sales(star.sales.filter(F.col("sale_date") >= F.lit(LAST_MONTHS)))
+    warehouse.archive_before(testbind.LAST_DAY, "old_sales")
+    warehouse.clear()
+    return comparable(validate.table_counts(opened))
+
+
+def read_one_month(spark: SparkSession, folder: str) -> DataFrame:
+    """A month of both stored facts by day, with the number of month folders that its files lie in."""
+    star, warehouse = testbind.star(spark, folder), _warehouse(spark)
+    for table in ("sales", "inventory"):
+        warehouse.write_table(table, star.tables()[table])
+    parts = []
+    for table, day, cut in (("sales", "sale_date", sold_between), ("inventory", "snapshot_date", snapshots_between)):
+        rows = cut(warehouse.table(table), *NOVEMBER)
+        month = F.regexp_extract(F.input_file_name(), r"_month=(\d+)", 1)
+        per_day = rows.withColumn("folder", month).groupBy(F.col(day).alias("day"))
+        counted = per_day.agg(F.count("*").alias("rows"), F.count_distinct("folder").alias("folders"))
+        parts.append(counted.withColumn("table_name", F.lit(table)))
+    return comparable(reduce(DataFrame.unionByName, parts))
+
+
+def by_category_with_large_catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily summary by category where the catalogue is too large to be broadcast and one product has a third of the lines."""
+    star = testbind.star(spark, folder)
+    hot = F.when(F.col("sale_id") % 3 == 0, F.lit(1)).otherwise(F.col("product_id")).cast("bigint").alias("product_id")
+    lines = star.sales.select(*[hot if c == "product_id" else c for c in star.sales.columns])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        skewed = Star(**{**star.tables(), "sales": lines})
+        return comparable(materialized(summary.build_daily_summary(skewed, by_category=True)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def tickets_of_buckets(plan: Callable[..., DataFrame]) -> Query:
+    """A ticket plan over sales that are stored in buckets of tickets."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        star = testbind.star(spark, folder)
+        warehouse = Warehouse(spark, _database(), fresh_folder(spark), ticket_buckets=8)
+        for table in ("products", "stores", "calendar", "sales"):
+            warehouse.write_table(table, star.tables()[table])
+        stored = {t: warehouse.table(t) for t in ("products", "stores", "calendar", "sales")}
+        return comparable(plan(Star(**stored, inventory=star.inventory), *YEAR))
+
+    return run
+
+
 def loaded(spark: SparkSession, folder: str) -> DataFrame:
     """Stage exchange files with faults in them; rejected rows per rule."""
     star, path = testbind.spoiled_star(spark, folder), fresh_folder(spark)
@@ -377,6 +600,8 @@ QUERIES: dict[str, Query] = {
     "q3_1_weekly_ticket_by_format": on_star(tickets.weekly_ticket_by_format, *YEAR),
     "q3_1_weekly_ticket_by_format_per_ticket": on_star(tickets.weekly_ticket_by_format, *YEAR, per_ticket=True),
     "q3_2_monthly_ticket_by_region": on_star(tickets.monthly_ticket_by_region, *YEAR),
+    "q3_1_weekly_ticket_of_buckets": tickets_of_buckets(tickets.weekly_ticket_by_format),
+    "q3_2_monthly_ticket_of_buckets": tickets_of_buckets(tickets.monthly_ticket_by_region),
     "q3_3_hourly_tickets": on_star(tickets.hourly_tickets, *NOVEMBER),
     "q4_1_stock_alerts": on_star(inventory.stock_alerts, AS_OF, lookback_days=LONG, min_obs=2, fresh_days=365),
     "q4_2_inventory_turnover": on_star(inventory.inventory_turnover, *YEAR),
@@ -395,6 +620,11 @@ QUERIES: dict[str, Query] = {
     "a4_store_segments": on_star(advanced.store_segments, *YEAR, min_days=15),
     "a5_store_cohort": on_star(advanced.store_cohort, *YEAR),
     "m1_daily_summary": on_star(summary.build_daily_summary),
+    "m1_refresh_after_append": refreshed_after_append("daily_sales"),
+    "m1_rewritten_months": rewritten_months,
+    "m2_refresh_after_append": refreshed_after_append("product_performance"),
+    "m3_refresh_after_append": refreshed_after_append("regional_performance"),
+    "m4_maintained_positions": latest_from_positions,
     "m2_product_performance": on_star(summary.build_product_performance),
     "m3_regional_performance": on_star(m3),
     "m4_latest_inventory": on_star(m4),
@@ -412,6 +642,7 @@ QUERIES: dict[str, Query] = {
     "e2a_regional_ranking": on_star(products.regional_ranking, AS_OF),
     "e2b_regional_ranking_fast": on_star(lambda s: products.regional_ranking_fast(m3(s), AS_OF)),
     "e3a_inventory_alerts_full": on_star(inventory.inventory_alerts_full, AS_OF, lookback_days=LONG, min_days=2),
+    "e3a_inventory_alerts_of_positions": positions_after_append,
     "e3b_critical_alerts": on_star(lambda s: inventory.critical_alerts(m6(s))),
     "r1_daily_kpis": on_star(lambda s: summary.daily_kpis(summary.build_daily_summary(s), AS_OF, "BUILDING")),
     "r2_top_in_category_region": on_star(
@@ -429,11 +660,14 @@ QUERIES: dict[str, Query] = {
     "s8_catch_all_years": stored_later_sales,
     "s9_write_table": stored_inventory,
     "s10_write_csv": csv_round_trip("sales"),
+    "s9_read_one_month": read_one_month,
     "s11_clear_and_reload": clear_and_reload,
+    "s11_readers_beside_changes": read_beside_changes,
     "s12_assign_keys": on_star(sale_keys),
     "s12_assign_dense_keys": on_star(product_keys),
     "s13_key_status": key_status,
     "s14_analyze": analyzed_sales,
+    "s14_estimates": estimated_rows,
     "s15_descriptions": described_sales,
     "c1_date_series": calendar_with_lines(),
     "c2_date_parts": calendar_with_lines("day", "month", "quarter", "year"),
@@ -466,14 +700,20 @@ QUERIES: dict[str, Query] = {
     "x1_store_performance": on_star(summary.build_store_performance),
     "x2_store_vs_chain": on_star(metrics.store_vs_chain, *QUARTER),
     "x3_margin": on_star(metrics.margin, *YEAR),
+    "x3_margin_of_intervals": margin_from_intervals,
+    "x3_cost_intervals": cost_intervals,
     "x4_sales_by_weekday": on_star(season.sales_by_weekday, 1998, 2000),
     "x5_gross_sales": on_star(metrics.gross_sales, *YEAR),
     "x6_low_stock_share": on_star(metrics.low_stock_share, AS_OF, days=31),
     "x7_product_velocity": on_star(summary.build_product_performance, velocity=True),
     "x8_daily_summary_by_category": on_star(summary.build_daily_summary, by_category=True),
+    "x8_by_category_large_catalogue": by_category_with_large_catalogue,
     "x9_summary_stats": all_stats,
     "x10_load_pipeline": loaded,
     "x10_append_year": appended,
+    "x10_append_inventory": appended_inventory,
+    "x10_append_twice": appended_twice,
+    "x10_rejects_of_loads": rejected_again,
     "x11_archive_year": archived,
     "x12_freshness": refreshed("daily_sales", "regional_performance"),
     "x13_daily_change": on_star(lambda s: summary.with_day_before(summary.build_daily_summary(s))),

@@ -49,6 +49,15 @@ def sold_between(sales: DataFrame, start: date | None = None, end: date | None =
     return _in_range(sales, "sale_date", folders, start, end)
 
 
+def sold_outside(sales: DataFrame, start: date, end: date) -> DataFrame:
+    """Sales before, after, or without a date; of a stored table the folders of months that lie inside the range are not read."""
+    rows = sales.filter((F.col("sale_date") < F.lit(start)) | (F.col("sale_date") > F.lit(end)) | F.col("sale_date").isNull())
+    month = F.col(MONTH_PARTITION)
+    if MONTH_PARTITION in sales.columns:
+        rows = rows.filter((month <= month_number(start)) | (month >= month_number(end)) | month.isNull())
+    return rows
+
+
 def snapshots_between(inventory: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
     """Snapshots of an inclusive date range; of a stored table only the folders of its months are read."""
     return _in_range(inventory, "snapshot_date", {STOCK_MONTH: month_number}, start, end)

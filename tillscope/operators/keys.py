@@ -16,22 +16,29 @@ def assign_keys(df: DataFrame, key: str, start_after: int = 0) -> DataFrame:
     return df.withColumn(key, F.monotonically_increasing_id() + F.lit(start_after + 1))
 
 
+#: Rows that one window of dense keys is meant to hold.
+KEYS_A_PART = 1_000_000
+
+
 def assign_dense_keys(
-    df: DataFrame, key: str, order_by: list[str], start_after: int = 0, buckets: int = 1024
+    df: DataFrame, key: str, order_by: list[str], start_after: int = 0, rows_a_part: int = KEYS_A_PART
 ) -> DataFrame:
-    """Consecutive keys after ``start_after``.
+    """Consecutive keys after ``start_after``; counts the rows while the plan is built.
 
-    Rows are numbered inside hash buckets of their natural key ``order_by``
-    (which must be unique) and shifted by the sizes of the buckets before, so
-    no task sees more than a bucket and re-runs give the same keys.
+    Rows are numbered inside hash parts of their natural key ``order_by`` (which
+    must be unique) and shifted by the sizes of the parts before. The number of
+    parts follows the rows, so a part holds some ``rows_a_part`` of them at any
+    size, and a re-run gives the same keys. The one task that sums the sizes
+    sees a row for each part.
     """
-    rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*order_by), F.lit(buckets)).cast("int"))
-    sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_bucket").orderBy(*order_by)
+    parts = max(1, -(-df.count() // rows_a_part))
+    rows = df.withColumn("_part", F.pmod(F.xxhash64(*order_by), F.lit(parts)))
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(*order_by)
     number = F.lit(start_after) + F.col("_before") + F.row_number().over(inside)
-    return rows.join(offsets, "_bucket").withColumn(key, number).drop("_bucket", "_before")
+    return rows.join(offsets, "_part").withColumn(key, number).drop("_part", "_before")
 
 
 def next_key(df: DataFrame, key: str) -> DataFrame:

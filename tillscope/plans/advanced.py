@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillscope.functions.measures import NET_X100, change_pct, money, net_sales, ratio, share_pct, with_net
 from tillscope.functions.periods import calendar_days, sold_between, year_span
-from tillscope.operators.joins import with_day, with_product, with_store
+from tillscope.operators.joins import with_day, with_product, with_product_of_lines, with_store
 from tillscope.star import Star
 
 
@@ -28,7 +28,7 @@ def category_affinity(
     lines = with_net(sold_between(star.sales, start, end)).filter(F.col("ticket_id").isNotNull())
     bought = lines.groupBy("ticket_id", "product_id").agg(F.sum(NET_X100).cast("decimal(38,4)").alias("value"))
     baskets = (
-        with_product(bought, star.products, "category", "product_name")
+        with_product_of_lines(bought, star.products, "category", "product_name", counted=lines)
         .filter(F.col("category").isNotNull())
         .groupBy("ticket_id", "category", "product_name")
         .agg(F.sum("value").cast("decimal(38,4)").alias("value"))

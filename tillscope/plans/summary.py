@@ -20,7 +20,7 @@ from tillscope.functions.periods import (
     snapshots_between,
     sold_between,
 )
-from tillscope.operators.joins import with_day, with_product, with_store
+from tillscope.operators.joins import with_day, with_product, with_product_of_lines, with_store
 from tillscope.operators.quality import CHANNELS
 from tillscope.operators.ranking import rank_descending
 from tillscope.plans.inventory import PAIR, label_priority, latest_stock, recent_sales, with_supply
@@ -35,12 +35,13 @@ def build_daily_summary(star: Star, by_category: bool = False) -> DataFrame:
     """Tickets, units and net sales per day, chain, format and region.
 
     The calendar joins the aggregate, not the lines. ``by_category`` adds the
-    product category; tickets are then counted once in each of theirs.
+    product category; tickets are then counted once in each of theirs. A large
+    catalogue meets the lines then, without its products of many lines moving.
     """
     keys = ["chain", "format", "region"]
     lines = with_store(with_net(star.sales), star.stores, *keys)
     if by_category:
-        lines = with_product(lines, star.products, "category")
+        lines = with_product_of_lines(lines, star.products, "category", counted=star.sales)
         keys = [*keys, "category"]
     per_day = lines.groupBy("sale_date", *keys).agg(
         F.count_distinct("ticket_id").alias("tickets"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions.measures import NET_X100, net_sales, ratio, with_net
-from tillscope.functions.periods import calendar_days, sold_between, time_of_day
+from tillscope.functions.periods import calendar_days, sold_between, sold_outside, time_of_day
 from tillscope.operators.joins import with_day, with_store
 from tillscope.operators.quantile import weighted_quantile
 from tillscope.plans.sales import avg_line_value
@@ -30,19 +30,21 @@ def _per_ticket(lines: DataFrame, *groups: str) -> DataFrame:
     )
 
 
-def _whole_tickets(star: Star, start: date, end: date, across_dates: bool) -> DataFrame:
-    """Line count and value of each ticket of the range over all its lines.
+def _whole_tickets(star: Star, tickets: DataFrame, start: date, end: date, across_dates: bool) -> DataFrame:
+    """Line count and value of each ticket of the range over all its lines, from the range's ``tickets`` by group.
 
-    ``across_dates`` counts lines outside the range too; they are cut to the
-    tickets of the range before they are grouped, on the same key. Where a
-    ticket is known to lie on one date, switching it off saves reading the
-    other years.
+    ``across_dates`` counts lines outside the range too: they are read, cut to
+    the tickets of the range, and added to the totals of the range's own lines.
+    Where a ticket is known to lie on one date, switching it off saves reading
+    the other years.
     """
-    lines = _ticket_lines(star, start, end)
+    lines = tickets.select("ticket_id", "lines", NET_X100)
     if across_dates:
-        lines = _ticket_lines(star).join(lines.select("ticket_id").distinct(), "ticket_id", "left_semi")
+        outside = with_net(sold_outside(star.sales, start, end)).filter(F.col("ticket_id").isNotNull())
+        others = outside.join(tickets.select("ticket_id").distinct(), "ticket_id", "left_semi")
+        lines = lines.unionByName(others.select("ticket_id", F.lit(1).cast("long").alias("lines"), NET_X100))
     return lines.groupBy("ticket_id").agg(
-        F.count("*").alias("ticket_lines"), F.sum(NET_X100).alias("ticket_net_x100")
+        F.sum("lines").alias("ticket_lines"), F.sum(NET_X100).alias("ticket_net_x100")
     )
 
 
@@ -52,14 +54,15 @@ def weekly_ticket_by_format(
     """Tickets, net sales and items per ticket by ISO week and store format.
 
     The mean number of items is taken over lines, so a ticket of n lines
-    weighs n times; ``per_ticket`` gives every ticket the same weight.
+    weighs n times; ``per_ticket`` gives every ticket the same weight. The
+    range's lines are read once: its tickets are stored in the shared folder
+    while the plan is built.
     """
     days = calendar_days(star.calendar, start, end)
     lines = with_day(_ticket_lines(star, start, end), days, "year", "iso_week")
     lines = with_store(lines, star.stores, "format")
-    tickets = _per_ticket(lines, "year", "iso_week", "format").join(
-        _whole_tickets(star, start, end, across_dates), "ticket_id"
-    )
+    groups = materialized(_per_ticket(lines, "year", "iso_week", "format"))
+    tickets = groups.join(_whole_tickets(star, groups, start, end, across_dates), "ticket_id")
     weight = F.lit(1) if per_ticket else F.col("lines")
     return (
         tickets.groupBy("year", "iso_week", "format")
@@ -78,16 +81,18 @@ def monthly_ticket_by_region(
 ) -> DataFrame:
     """Tickets, net sales and median ticket by month and region.
 
-    The median is taken over lines unless ``per_ticket`` is set.
+    The median is taken over lines unless ``per_ticket`` is set. The range's
+    lines are read once: its tickets are stored in the shared folder while the
+    plan is built.
     """
     keys = ["year", "month", "month_name", "region"]
     days = calendar_days(star.calendar, start, end)
     lines = with_day(_ticket_lines(star, start, end), days, "year", "month", "month_name")
     lines = with_store(lines, star.stores, "region")
-    tickets = _per_ticket(lines, *keys)
+    groups = materialized(_per_ticket(lines, *keys))
     # Totals and medians read tickets more than once; lines are read once for them.
     valued = materialized(
-        tickets.join(_whole_tickets(star, start, end, across_dates), "ticket_id").withColumn(
+        groups.join(_whole_tickets(star, groups, start, end, across_dates), "ticket_id").withColumn(
             "weight", F.lit(1).cast("long") if per_ticket else F.col("lines")
         )
     )

@@ -74,13 +74,14 @@ class VersionedTables:
     def _tables(self, name: str) -> dict[int, str]:
         """Version tables of a name by number."""
         prefix = f"{name}__v"
-        found = [t.name for t in self.spark.catalog.listTables(self.database, f"{prefix}*")]
-        numbered = {t[len(prefix) :].split("_")[0]: t for t in found}
+        numbered = {t[len(prefix) :].split("_")[0]: t for t in self._named(f"{prefix}*")}
         return dict(sorted((int(number), t) for number, t in numbered.items() if number.isdigit()))
 
+    def _named(self, pattern: str) -> list[str]:
+        return [r["tableName"] for r in self.spark.sql(f"SHOW TABLES IN {self.database} LIKE '{pattern}'").collect()]
+
     def names(self) -> list[str]:
-        tables = self.spark.catalog.listTables(self.database)
-        return sorted(t.name for t in tables if t.tableType == "VIEW" and not t.isTemporary)
+        return sorted(r["viewName"] for r in self.spark.sql(f"SHOW VIEWS IN {self.database}").collect() if not r["isTemporary"])
 
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.name(name))
@@ -102,7 +103,7 @@ class VersionedTables:
         return {row["key"]: row["value"] for row in rows}
 
     def _parts_of(self, table: str) -> tuple[Part, ...] | None:
-        if not any(c.isPartition for c in self.spark.catalog.listColumns(table)):
+        if WRITTEN_AS not in self.spark.table(table).columns:
             return None
         return tuple(Part(r["partition"]) for r in self.spark.sql(f"SHOW PARTITIONS {table}").collect())
 
@@ -208,15 +209,15 @@ class VersionedTables:
         They are what dropped versions leave, and what a change that broke off has left. Not to be called while
         another process changes the database.
         """
-        for t in self.spark.catalog.listTables(self.database, "*__data_*"):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(t.name)}")
+        for table in self._named("*__data_*"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
         named: set[str] = set()
-        for t in self.spark.catalog.listTables(self.database, "*__v*"):
-            parts = self._parts_of(self.name(t.name))
+        for table in self._named("*__v*"):
+            parts = self._parts_of(self.name(table))
             if parts is not None:
                 named |= {f"{p[WRITTEN_AS]}/{p.path}" for p in parts}
             else:
-                named.add(self.spark.sql(f"SHOW TBLPROPERTIES {self.name(t.name)} ('stored_in')").first()["value"])
+                named.add(self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('stored_in')").first()["value"])
         above = {path[:k] for path in named for k, c in enumerate(path) if c == "/"}
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.place}/files")
         system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
