@@ -54,7 +54,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Language models, alignment and tokenizers are beyond SQL; tests hold the rows against a plain version.
+#: Language models, alignment and tokenizers are beyond SQL; tests check what every stage keeps and that its decisions hold.
 ORACLE_SQL = None
 
 

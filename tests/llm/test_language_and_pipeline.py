@@ -55,6 +55,17 @@ def test_grams_of_a_text():
     assert [text(c) for c in code] == ["___a", "__ab", "_ab_", "ab_c", "___é"] and rows.tolist() == [0, 0, 0, 0, 2]
 
 
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 50])
+def test_pieces_of_long_texts_change_no_gram(monkeypatch, piece):
+    random.seed(piece)
+    texts = ["".join(random.choice("ab é.\n1ßЖ𝒳") for _ in range(random.randint(0, 120))) for _ in range(60)] + [None, "", "   a", "...."]
+    whole, rows = language_id.codes(pa.array(texts))
+    monkeypatch.setattr(language_id, "PIECE", piece)
+    cut, own = language_id.codes(pa.array(texts))
+    for k in range(len(texts)):
+        assert whole[rows == k].tolist() == cut[own == k].tolist()
+
+
 def test_no_learned_language(spark):
     none = language_id.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     row = language_id.classify(spark.createDataFrame([(1, "abc")], "doc_id long, text string"), none).first()

@@ -13,7 +13,7 @@ the entropy above which a text is no text of its language and is rejected. Then
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,7 +28,7 @@ from tillscope.llm.words import small_batches
 ORDER = 4
 BITS = 16
 MAX_GRAMS = 500_000
-HELD_CELLS = 4_000_000
+HELD_CELLS = 2_000_000
 PIECE = 1 << 20
 WEIGHTS = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0)
 DEVIATIONS = 8.0
@@ -50,25 +50,58 @@ def _class_table() -> np.ndarray:
     return _classes[0]
 
 
-def _pieces(column: pa.Array) -> tuple[list[str], list[int]]:
-    """Texts in pieces of at most ``PIECE`` characters, and the row of each."""
-    texts, rows = [], []
-    for row, text in enumerate(pc.utf8_lower(column).to_pylist()):
-        for at in range(0, len(text or ""), PIECE):
-            texts.append(text[at : at + PIECE])
-            rows.append(row)
-    return texts, rows
+def _gram_codes(classes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The gram that ends at each class; ``place`` is how far it stands from the beginning of its text."""
+    code = classes.copy()
+    for back in range(1, ORDER):
+        shifted = np.zeros_like(classes)
+        shifted[back:] = classes[:-back]
+        shifted[place < back] = 0
+        code |= shifted << np.uint64(BITS * back)
+    return code
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _codes_of_long(text: str) -> np.ndarray:
+    """Grams of one text, worked through in pieces; the last classes of a piece go on into the next."""
+    out, tail, before, last = [], np.zeros(0, np.uint64), 0, 1
+    for at in range(0, len(text), PIECE):
+        raw = _class_table()[_points(text[at : at + PIECE] if at else f"\n{text[:PIECE]}")]
+        kept = raw != 0
+        kept[1:] |= raw[:-1] != 0
+        kept[0] |= last != 0
+        last = raw[-1]
+        classes = np.concatenate((tail, raw[kept].astype(np.uint64)))
+        place = np.arange(len(classes)) + (before - len(tail))
+        out.append(_gram_codes(classes, place)[len(tail) + (at == 0) :])
+        before += len(classes) - len(tail)
+        tail = classes[-(ORDER - 1) :]
+    return np.concatenate(out)
 
 
 def codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Grams of a text column as 64-bit codes (the last character lowest), and the row of each.
 
     Every character but the separator that a text begins with is the end of a gram; before the text there are separators.
+    A text of more than ``PIECE`` characters is worked through in pieces, which changes no gram.
     """
-    texts, rows = _pieces(column)
-    points = np.frombuffer("".join(f"\n{t}" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    if not len(points):
+    lowered = pc.utf8_lower(column).to_pylist()
+    long_rows = [(row, _codes_of_long(t)) for row, t in enumerate(lowered) if t and len(t) > PIECE]
+    short_rows = [row for row, t in enumerate(lowered) if t and len(t) <= PIECE]
+    code, owner = _codes_of_short([lowered[row] for row in short_rows], np.asarray(short_rows, np.int64))
+    return (
+        np.concatenate((code, *(c for _, c in long_rows))),
+        np.concatenate((owner, *(np.full(len(c), row, np.int64) for row, c in long_rows))),
+    )
+
+
+def _codes_of_short(texts: Sequence[str], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(texts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    points = _points("".join(f"\n{t}" for t in texts))
     starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
     classes = _class_table()[points]
     kept = classes != 0
@@ -78,14 +111,9 @@ def codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first, classes = before[starts], classes[kept].astype(np.uint64)
     lengths = np.diff(np.append(first, len(classes)))
     place = np.arange(len(classes)) - np.repeat(first, lengths)
-    code = classes.copy()
-    for back in range(1, ORDER):
-        shifted = np.zeros_like(classes)
-        shifted[back:] = classes[:-back]
-        shifted[place < back] = 0
-        code |= shifted << np.uint64(BITS * back)
+    code = _gram_codes(classes, place)
     inner = place > 0
-    return code[inner], np.repeat(np.asarray(rows), lengths)[inner]
+    return code[inner], np.repeat(rows, lengths)[inner]
 
 
 @dataclass
@@ -97,11 +125,15 @@ class Held:
 
     @staticmethod
     def of(table: DataFrame, width: int) -> Held:
-        """From the rows ``code, p``."""
-        found = table.select("code", F.explode("p").alias("p")).toArrow() if width else table.select("code", "code").limit(0).toArrow()
-        code = found.column(0).to_numpy().view(np.uint64).reshape(-1, max(width, 1))[:, 0]
+        """From the rows ``code, p``; a column for each language comes to the driver, which holds one at a time beside the result."""
+        columns = [F.element_at("p", k + 1).alias(f"p{k}") for k in range(width)]
+        found = table.select("code", *columns).toArrow()
+        code = found.column(0).to_numpy().view(np.uint64)
         order = np.argsort(code)
-        return Held(code[order], found.column(1).to_numpy().astype(float).reshape(-1, max(width, 1))[order])
+        probabilities = np.empty((len(code), max(width, 1)))
+        for k in range(width):
+            probabilities[:, k] = found.column(k + 1).to_numpy()[order]
+        return Held(code[order], probabilities)
 
     def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which codes are held, and the cost of each in every language; 0 for the others."""
@@ -385,8 +417,7 @@ def classify(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str
     """``doc_id, text_hash, lang_pred, score, cross_entropy, rejected`` for each row.
 
     Null texts and texts without a letter are ``und`` with score 0 and rejected. Without any learned language all are.
-    Equal texts are scored alike; ties go to the language first in the alphabet. Other columns are not carried. Texts of
-    more than a million characters are read in pieces.
+    Equal texts are scored alike; ties go to the language first in the alphabet. Other columns are not carried.
     """
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     if not model.languages:
@@ -423,19 +454,25 @@ def fit(docs: DataFrame, held_out: int = 2, calibration: int = 3) -> Model:
         stored(_count(usable.where(rows).select("lang", "text")))
         for rows in (~F.col("fold").isin(held_out, calibration), F.col("fold") == calibration)
     )
-    first = _trained(others)
+    rows = usable.where(F.col("fold") == calibration).select("lang", "text")
+    weight, limits = _calibration(others, rows)
     model = _trained(stored(others.union(own).groupBy("lang", "code").agg(F.sum("n").alias("n"))))
     if not model.languages:
         return model
-    rows = usable.where(F.col("fold") == calibration).select("lang", "text")
-    if first.languages:
-        calibrate(first, rows)
-        model.weight = first.weight
-    limits = dict(zip(first.languages, zip(first.means, first.spreads))) if first.languages else {}
+    model.weight = weight
     model.means, model.spreads = (np.array([limits.get(x, UNFITTED)[k] for x in model.languages]) for k in (0, 1))
     return model
 
 
+def _calibration(counted: DataFrame, rows: DataFrame) -> tuple[float, dict[str, tuple[float, float]]]:
+    """Weight, and mean and spread of each language, by a model that is not kept."""
+    model = _trained(counted)
+    if not model.languages:
+        return model.weight, {}
+    calibrate(model, rows)
+    return model.weight, dict(zip(model.languages, zip(model.means, model.spreads)))
+
+
 def without_rejected(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` (all columns) that the model does not reject."""
     gone = classify(docs, model).where("rejected").select(
