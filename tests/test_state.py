@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import D, SALE, SNAPSHOT, STORE, frame, rows, star
 from tillscope.functions.periods import snapshots_between, sold_between
 from tillscope.plans import inventory, kpi, metrics, state, summary, tickets
+from tillscope.sources.shared import materialized, scratch
 from tillscope.sources.warehouse import Warehouse
 
 AS_OF = D("2024-06-30")
@@ -114,6 +115,17 @@ def test_a_refresh_without_changes_writes_nothing(spark, stored, tmp_path):
     assert set((tmp_path / "summaries" / "files").iterdir()) == folders and store.version("daily_sales") == 2
 
 
+def test_refreshes_leave_no_intermediate_tables(spark, stored, tmp_path, monkeypatch):
+    warehouse, store = stored
+    monkeypatch.setattr("tillscope.sources.shared.shared_folder", lambda _: str(tmp_path / "shared"))
+    summary.refresh(store, warehouse.star(), AS_OF, ["product_months", "product_performance"])
+    assert not (tmp_path / "shared").exists() or not list((tmp_path / "shared").iterdir())
+    with scratch(spark) as folder:
+        kept = materialized(spark.range(3))
+        assert kept.count() == 3 and all(f.startswith(f"file:{folder}") for f in kept.inputFiles())
+    assert not list((tmp_path / "shared").iterdir())
+
+
 def test_readers_keep_the_months_they_opened(spark, stored):
     warehouse, store = stored
     summary.refresh(store, warehouse.star(), AS_OF, ["daily_sales"])

@@ -26,6 +26,7 @@ from tillscope.operators.ranking import rank_descending
 from tillscope.plans.inventory import PAIR, label_priority, latest_stock, recent_sales, with_supply
 from tillscope.plans.state import current_positions
 from tillscope.sources.schema import STOCK_VALUE
+from tillscope.sources.shared import scratch
 from tillscope.sources.versions import MADE_FROM, Part, VersionedTables, Written
 from tillscope.sources.warehouse import analyze
 from tillscope.star import Star
@@ -408,19 +409,23 @@ def refresh(
         raise ValueError(f"summaries not published yet: {sorted(missing)}")
     done = [name for name in summaries if name in wanted]
     for name in done:
-        summary = summaries[name]
-        if summary.months and star.tracker:
-            _refresh_months(store, star, as_of, name, summary)
-            continue
-        df = summary.build(star, store, as_of)
-        if summary.partition_by:
-            # Gathered by partition, so that not every task writes to each of them.
-            df = df.hint("rebalance", *summary.partition_by)
-        store.publish(name, df, as_of, summary.freshness, summary.partition_by)
+        with scratch(store.spark):  # what a ranking stores on the way is gone once the summary is written
+            if summaries[name].months and star.tracker:
+                _refresh_months(store, star, as_of, name, summaries[name])
+            else:
+                _rebuild(store, star, as_of, name, summaries[name])
     store.vacuum()
     return summary_stats(store, as_of, done)
 
 
+def _rebuild(store: SummaryStore, star: Star, as_of: date, name: str, summary: Summary) -> None:
+    df = summary.build(star, store, as_of)
+    if summary.partition_by:
+        # Gathered by partition, so that not every task writes to each of them.
+        df = df.hint("rebalance", *summary.partition_by)
+    store.publish(name, df, as_of, summary.freshness, summary.partition_by)
+
+
 def _refresh_months(store: SummaryStore, star: Star, as_of: date, name: str, summary: Summary) -> None:
     wanted = summary.months.wanted(star, as_of)
     kept = [p for p in store.parts(name) if wanted.get(summary.months.of_part(p)) == p[MADE_FROM]]

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,8 +34,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession) -> str:
-    """A new, unused folder name inside the shared folder."""
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    """A new, unused folder name inside the shared folder, or inside the ``scratch`` folder in use."""
+    return f"{_scratch.get() or shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder that takes all intermediate tables made inside the block and is deleted at its end.
+
+    Only for blocks whose result is written elsewhere before they end: a DataFrame that still reads an intermediate table
+    can not be computed afterwards.
+    """
+    folder = fresh_folder(spark)
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store it lies in, if it exists."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialized(df: DataFrame) -> DataFrame:
