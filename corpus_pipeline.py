@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.llm import decontaminate, language_id, line_dedup, near_dedup, packing
-from tillscope.llm.stored import stored
 from tillscope.llm.tables import table
 from tillscope.llm.workers import ship_package
+from tillscope.sources.shared import delete_folder, fresh_folder, scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +59,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again.
+
+    What a stage stores on the way is deleted once its result is written, and so is the result of the stage before.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        out = fresh_folder(spark)
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(out)
+        if before:
+            delete_folder(spark, before)
+        docs, before = spark.read.schema(kept.schema).parquet(out), out
     return docs
