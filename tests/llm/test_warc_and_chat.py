@@ -49,6 +49,23 @@ def test_selected_ranges_and_standard_files(archives):
     assert archives.index.select("file").distinct().count() > 3
 
 
+def test_reading_tasks_grow_with_the_bytes(archives):
+    size = archives.index.agg(F.sum("length")).first()[0]
+    for task_bytes in (size, size // 4, 1):
+        tasks = warc.read(archives, task_bytes=task_bytes).rdd.getNumPartitions()
+        assert tasks == min(-(-size // task_bytes), len(PAGES))
+    few = warc.read(archives, task_bytes=size // 4)
+    held = few.groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) > 1 and sum(r["count"] for r in held) == len(PAGES)
+
+
+def test_a_very_long_page(spark, tmp_path):
+    html = "é<p>" * 2_000_000
+    pages = spark.createDataFrame([(1, "u", html), (2, "u", html), (3, "u", html + ".")], "page_id long, url string, html string")
+    rows = {r.page_id: r for r in warc.read(warc.write(pages, str(tmp_path / "long"))).collect()}
+    assert bytes(rows[1].payload).decode() == html and rows[2].refers_to == 1 and rows[3].payload_bytes == len(html.encode()) + 1
+
+
 def test_least_bytes_and_empty_table(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], "page_id long, url string, html string")
     kinds = {r.page_id: r.record_type for r in warc.read(warc.write(pages, str(tmp_path / "a"), least_bytes=3)).collect()}

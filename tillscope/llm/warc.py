@@ -27,6 +27,7 @@ from tillscope.sources.shared import fresh_folder
 FILE_BYTES = 64 << 20
 READ_BYTES = 8 << 20
 GAP_BYTES = 64 << 10
+TASK_BYTES = 16 << 20
 LEVEL = 6
 DATE = "2000-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -166,13 +167,22 @@ def write(pages: DataFrame, folder: str | None = None, least_bytes: int = 0, fil
     return Archives(folder, stored(ready.mapInArrow(written, INDEX)))
 
 
-def read(archives: Archives, selected: DataFrame | None = None, gap: int = GAP_BYTES, most: int = READ_BYTES) -> DataFrame:
+def read(
+    archives: Archives,
+    selected: DataFrame | None = None,
+    gap: int = GAP_BYTES,
+    most: int = READ_BYTES,
+    task_bytes: int = TASK_BYTES,
+) -> DataFrame:
     """The records of the index rows ``selected`` (all by default), as ``RECORDS``.
 
-    Rows are sorted by file and offset; ranges up to ``gap`` bytes apart are read at once, ``most`` bytes at a time.
+    Rows are sorted by file and offset; ranges up to ``gap`` bytes apart are read at once, ``most`` bytes at a time. There
+    is a task for about every ``task_bytes`` of the selected records, however small their index is; the lengths are summed
+    while the plan is built.
     """
     folder = archives.folder
     chosen = (archives.index if selected is None else selected).select("file", "offset", "length")
+    tasks = max(1, -(-(chosen.agg(F.sum("length")).first()[0] or 0) // task_bytes))
     names = [part.split(" ")[0] for part in RECORDS.split(", ")]
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
 
@@ -202,5 +212,5 @@ def read(archives: Archives, selected: DataFrame | None = None, gap: int = GAP_B
             found = [parse_record(zlib.decompress(data[a - begin : a - begin + n], wbits=31)) for a, n in run]
             yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], t) for c, t in zip(names, types)], names=names)
 
-    ordered = chosen.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    ordered = chosen.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(records, RECORDS)
