@@ -77,18 +77,27 @@ def test_packing_places_every_id_once(documents):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.integers(0, 4), max_size=200), st.integers(1, 12))
-def test_grammar_round_trip(ids, rounds):
+@given(st.lists(st.integers(0, 4), max_size=200), st.integers(2, 5))
+def test_grammar_round_trip(ids, least):
     cut = len(ids) // 3
-    shard = token_files.compress(np.array(ids, np.uint32), np.array([0, cut, len(ids)]), rounds=rounds, least=2)
+    shard = token_files.compress(np.array(ids, np.uint32), np.array([0, cut, len(ids)]), least=least)
     shard = token_files.Shard.from_bytes(shard.to_bytes())
     assert shard.ids().tolist() == ids
+    left, at = shard.symbols.tolist(), 0
+    counts = {}
+    while at < len(left) - 1:  # occurrences that do not overlap in a run
+        pair = (left[at], left[at + 1])
+        counts[pair] = counts.get(pair, 0) + 1
+        at += 2 if pair[0] == pair[1] else 1
+    assert all(n < least for n in counts.values())  # nothing frequent is left
     assert shard.document(0).tolist() == ids[:cut] and shard.document(1).tolist() == ids[cut:]
 
 
 def test_grammar_shortens_repeats():
-    shard = token_files.compress(np.array([1, 2, 3, 4] * 500, np.uint32), np.array([0, 2000]), rounds=8)
-    assert len(shard.symbols) < 100 and shard.lengths.max() >= 16
+    shard = token_files.compress(np.array([1, 2, 3, 4] * 500, np.uint32), np.array([0, 2000]))
+    assert len(shard.symbols) < 20 and shard.lengths.max() >= 256
+    run = token_files.compress(np.zeros(65536, np.uint32), np.array([0, 65536]))
+    assert len(run.symbols) < 8 and len(run.rules) < 16 and run.ids().tolist() == [0] * 65536
     assert (shard.sizes(shard.symbols).sum()) == 2000
     with pytest.raises(ValueError):
         token_files.Shard.from_bytes(b"x" * 40)
