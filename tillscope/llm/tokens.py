@@ -47,6 +47,7 @@ class TextEncoder:
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}  # ids as they lie in memory
         self.known_pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -62,27 +63,31 @@ class TextEncoder:
             return None
         return f"\n{text}".replace("\n", " \n").split(" ")[1:]
 
-    def _pieces(self, chunk: str) -> list[str] | None:
-        """The pieces of a simple chunk as the model's vocabulary writes them."""
+    def _core(self, chunk: str) -> tuple[str, str, str] | None:
+        """A simple chunk as the piece before its word, the word's piece, and the closing one, as the vocabulary writes them."""
         if self.ends_words:
             if not chunk.isascii() and ("Σ" in chunk or not unicodedata.is_normalized("NFC", chunk)):
                 return None
-            before, word = [], chunk.lower()
+            before, blank, word = "", "", chunk.lower()
+        elif chunk[0] == "\n":
+            before, blank, word = "\u010a", "", chunk[1:]
         else:
-            before, word = (["\u010a"], chunk[1:]) if chunk[0] == "\n" else ([], chunk)
+            before, blank, word = "", "\u0120", chunk
         core = word.rstrip(_CLOSING)
         if not core.isalpha():
             return None
-        closing = [word[len(core) :]] if len(core) < len(word) else []
-        blank = "" if self.ends_words or before else "\u0120"
-        return [*before, blank + _visible(core), *closing]
+        closing = word[len(core) :]
+        return before, blank + (core if core.isascii() else _visible(core)), closing
 
     def _piece_ids(self, piece: str) -> bytes:
+        """Ids of a piece. Pieces asked for since the last two clearings are known; those in use are never forgotten."""
         ids = self.known_pieces.get(piece)
         if ids is None:
-            ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-            if len(self.known_pieces) >= CACHE_CHUNKS // 2:
-                self.known_pieces = {}
+            ids = self.older_pieces.get(piece)
+            if ids is None:
+                ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+            if len(self.known_pieces) >= CACHE_CHUNKS // 4:
+                self.older_pieces, self.known_pieces = self.known_pieces, {}
             self.known_pieces[piece] = ids
         return ids
 
@@ -93,13 +98,18 @@ class TextEncoder:
         if len(self.known) + len(new) > CACHE_CHUNKS:
             self.known = {}
             new = set(chunks)
+        known, pieces, split = self.known, self._piece_ids, self._core
         others = []
         for chunk in new:
-            pieces = self._pieces(chunk)
-            if pieces is None:
+            parts = split(chunk)
+            if parts is None:
                 others.append(chunk)
-            else:
-                self.known[chunk] = b"".join(map(self._piece_ids, pieces))
+                continue
+            before, core, closing = parts
+            ids = pieces(core)
+            if before:
+                ids = pieces(before) + ids
+            known[chunk] = ids + pieces(closing) if closing else ids
         if others:
             texts = others if self.ends_words else [c if c[0] == "\n" else f" {c}" for c in others]
             encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
