@@ -47,13 +47,24 @@ def plain(docs, threshold, least):
         if a != b and first[b] < first[a] and min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= threshold
         and distance(a, b) <= threshold
     }
-    out = {doc: ([], []) for doc, _ in docs}
+    links = {
+        a: sum(a != b and min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= threshold and distance(a, b) <= threshold
+               for b in first)
+        for a in first
+    }
+    out = {doc: ([], [], []) for doc, _ in docs}
     for doc, place, line in lines:
+        out[doc][2].append(links[line])
         if first[line] != (doc, place):
             out[doc][0].append(place)
         elif line in near:
             out[doc][1].append(place)
-    return out
+    return {doc: (exact, near, sum(n)) for doc, (exact, near, n) in out.items()}
+
+
+def decided(docs, **options):
+    found = line_dedup.decide(docs, **options).documents.collect()
+    return {r.doc_id: (list(r.exact), list(r.near), r.n_links) for r in found}
 
 
 def test_equals_plain_search(documents):
@@ -63,8 +74,8 @@ def test_equals_plain_search(documents):
     texts += [None, "", "\n \n", "short\nshort\nshort", base[0] * 300]
     found = line_dedup.decide(documents(*texts)).documents.collect()
     want = plain(list(enumerate(texts)), 2, 20)
-    assert {r.doc_id: (list(r.exact), list(r.near)) for r in found} == want
-    assert any(near for _, near in want.values())
+    assert {r.doc_id: (list(r.exact), list(r.near), r.n_links) for r in found} == want
+    assert any(near for _, near, _ in want.values())
     assert {r.doc_id: r.n_lines for r in found}[40] == 0 and {r.doc_id: r.n_lines for r in found}[42] == 3
 
 
@@ -80,6 +91,10 @@ def test_cleaned_documents(documents):
 
 def test_equal_rows_are_one_document_and_empty_table(documents):
     docs = documents("some words here", "some words here", ids=[1, 1])
+    assert [r.n_links for r in line_dedup.decide(docs).documents.collect()] == [0, 0]
+    long = "some words here that are long enough"
+    twice = documents(long, long, long + "!", ids=[1, 1, 2])
+    assert sorted(r.n_links for r in line_dedup.decide(twice).documents.collect()) == [1, 1, 1]
     assert [(list(r.exact), r.n_lines) for r in line_dedup.decide(docs).documents.collect()] == [([], 1), ([], 1)]
     assert line_dedup.decide(docs.limit(0)).documents.count() == 0
 
@@ -89,8 +104,17 @@ def test_lines_that_occur_often(documents, monkeypatch):
     random.seed(6)
     base = ["".join(random.choice("abcde fé") for _ in range(40)) for _ in range(4)]
     texts = ["\n".join(edited(random.choice(base), random.choice([0, 0, 0, 1])) for _ in range(6)) for _ in range(12)]
-    found = line_dedup.decide(documents(*texts)).documents.collect()
-    assert {r.doc_id: (list(r.exact), list(r.near)) for r in found} == plain(list(enumerate(texts)), 2, 20)
+    assert decided(documents(*texts)) == plain(list(enumerate(texts)), 2, 20)
+
+
+@pytest.mark.parametrize("threshold", [0, 1, 2])
+def test_lines_of_every_length_can_be_compared(documents, threshold):
+    random.seed(9)
+    texts = ["\n".join("".join(random.choice("ab c") for _ in range(random.randrange(0, 9))) for _ in range(4)) for _ in range(25)]
+    got = decided(documents(*texts), threshold=threshold, near_length=threshold + 1)
+    assert got == plain(list(enumerate(texts)), threshold, threshold + 1)
+    with pytest.raises(ValueError):
+        line_dedup.decide(documents(*texts), threshold=threshold, near_length=threshold)
 
 
 def test_no_python_in_the_plan(documents):

@@ -31,8 +31,9 @@ FILTER_BITS = 20
 
 @dataclass(frozen=True)
 class LineDecisions:
-    """documents: ``doc_id, text_hash, n_lines, exact, near`` (places of lines that go, from 0) for each input row.
+    """documents: ``doc_id, text_hash, n_lines, exact, near`` (places of lines that go, from 0), ``n_links`` for each input row.
 
+    ``n_links`` counts, for each line of the row, the different lines of the table within the threshold of it.
     links: ``later, earlier`` hashes (``h1, h2``) of lines within the threshold.
     """
 
@@ -209,8 +210,11 @@ def decide(
     one comes before it, and as *near* if it is the first of its kind and a line within ``threshold`` edits comes before
     it; for that both need ``near_length`` characters. Lines without a word stay. Null texts have no lines. Rows equal in
     id and text are one document and are reported alike. An empty table gives an empty result; other columns are not
-    carried. ``threshold`` can be 0 to 3.
+    carried. ``threshold`` can be 0 to 3. ``near_length`` can be as low as ``threshold + 1``, so that every segment has a
+    character; shorter lines are compared for equality only, as any two of them are within the threshold.
     """
+    if near_length <= threshold:
+        raise ValueError(f"near_length must be over the threshold of {threshold}, got {near_length}")
     docs = docs.select(
         F.col(id_column).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash")
     )
@@ -224,13 +228,23 @@ def decide(
     a, b = F.struct(F.col("h1_a").alias("h1"), F.col("h2_a").alias("h2")), F.struct(F.col("h1_b").alias("h1"), F.col("h2_b").alias("h2"))
     a_later = F.col("first_a") > F.col("first_b")
     ordered = stored(both.select(F.when(a_later, a).otherwise(b).alias("later"), F.when(a_later, b).otherwise(a).alias("earlier")))
-    near = ordered.select("later.*").distinct().withColumn("near", F.lit(True))
-    judged = firsts.join(near, ["h1", "h2"], "left").where((F.col("n") > 1) | F.col("near"))
+    ends = ordered.select(F.col("later").alias("line"), F.lit(1).alias("is_later")).union(ordered.select("earlier", F.lit(0)))
+    near = ends.groupBy("line.h1", "line.h2").agg((F.max("is_later") == 1).alias("near"), F.count("*").alias("n_near"))
+    judged = firsts.join(near, ["h1", "h2"], "left").where((F.col("n") > 1) | F.col("n_near").isNotNull())
     seen = places.join(stored(judged.drop("n")), ["h1", "h2"])
     exact = ~at.eqNullSafe(F.col("first"))
-    gone = seen.where(exact | F.col("near")).groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_set(F.when(exact, F.col("place")))).alias("exact"),
-        F.array_sort(F.collect_set(F.when(~exact, F.col("place")))).alias("near"),
+    line = F.struct(
+        "place", exact.alias("exact"), (~exact & F.coalesce("near", F.lit(False))).alias("near"),
+        F.coalesce("n_near", F.lit(0)).alias("n"),
+    )
+    told = seen.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(line)).alias("told"))
+
+    def places_of(kind: str) -> Column:
+        return F.transform(F.filter("told", lambda x: x[kind]), lambda x: x["place"]).alias(kind)
+
+    gone = told.select(
+        "doc_id", "text_hash", places_of("exact"), places_of("near"),
+        F.aggregate("told", F.lit(0).cast("long"), lambda n, x: n + x["n"]).alias("n_links"),
     )
     found = gone.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
     counted = docs.select("doc_id", "text_hash", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
@@ -239,6 +253,7 @@ def decide(
     documents = counted.join(found, same, "left").select(
         "doc_id", "text_hash", F.greatest("n_lines", F.lit(0)).alias("n_lines"),
         F.coalesce("exact", none).alias("exact"), F.coalesce("near", none).alias("near"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
     return LineDecisions(documents, ordered)
 

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from tillscope.llm.quality_rules import RULES
 from tillscope.llm.textstats import all_stop_words
 
 _STOP = ", ".join(f"'{w}'" for w in all_stop_words())
-_BROKEN = " OR ".join(
-    part
-    for rule in RULES
-    for part in (
-        *([f"1000 * {rule.top} < {rule.low} * {rule.bottom}"] if rule.low is not None else []),
-        *([f"1000 * {rule.top} > {rule.high} * {rule.bottom}"] if rule.high is not None else []),
-    )
-)
+
+# The limits of the quality rules, in thousandths, written out here a second time.
+_BROKEN = """
+    1000 * word_chars < 2500 * n_words OR 1000 * word_chars > 12000 * n_words
+    OR 1000 * n_symbols > 100 * n_words OR 1000 * n_exclamations > 500 * n_words
+    OR 1000 * n_capitals > 400 * word_chars OR 1000 * n_stop_words < 10 * n_words
+    OR 1000 * n_dup_lines > 400 * n_lines OR 1000 * n_bullet_lines > 900 * n_lines
+    OR 1000 * n_ellipsis_lines > 300 * n_lines"""
 
 OP3 = r"""
 WITH split AS (
@@ -78,6 +77,21 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM judged
 """
 
+OP6 = """
+WITH digested AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+coded AS (
+    SELECT *, min(page_id) OVER (PARTITION BY html) AS first,
+           array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0],
+               lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                ((('0x' || substr(hex, 5 * g + 1, 5))::INTEGER >> s) & 31) + 1, 1)), '')), '') AS digest
+    FROM digested)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM coded
+"""
+
 OP8 = """
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -103,22 +117,27 @@ firsts AS (
     SELECT line, length(line) AS n, min(place_at) AS first, len(string_split(line, ' ')) AS blanks,
            len(string_split(line, 'e')) AS e, len(string_split(line, 'a')) AS a, len(string_split(line, 'o')) AS o
     FROM lines GROUP BY line),
-near AS (
-    SELECT DISTINCT y.line
+links AS (
+    SELECT x.line AS earlier, y.line AS later
     FROM firsts x JOIN (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM firsts WHERE n >= 20) y
       ON x.n = y.m AND x.n >= 20 AND x.first < y.first AND abs(x.blanks - y.blanks) <= 2 AND abs(x.e - y.e) <= 2
          AND abs(x.a - y.a) <= 2 AND abs(x.o - y.o) <= 2
     WHERE levenshtein(x.line, y.line) <= 2),
+near AS (
+    SELECT line, bool_or(is_later) AS is_later, count(*) AS n
+    FROM (SELECT later AS line, true AS is_later FROM links UNION ALL SELECT earlier, false FROM links) GROUP BY line),
 judged AS (
-    SELECT doc_id, place, place_at <> first AS exact, place_at = first AND near.line IS NOT NULL AS near
+    SELECT doc_id, place, place_at <> first AS exact, place_at = first AND coalesce(is_later, false) AS near,
+           coalesce(near.n, 0) AS n_links
     FROM lines JOIN firsts USING (line) LEFT JOIN near USING (line)),
 gone AS (
-    SELECT doc_id, count(*) FILTER (exact) AS n_exact, count(*) FILTER (near) AS n_near,
+    SELECT doc_id, count(*) FILTER (exact) AS n_exact, count(*) FILTER (near) AS n_near, sum(n_links) AS n_links,
            string_agg(place::VARCHAR, ',' ORDER BY place) FILTER (exact) AS exact_lines,
            string_agg(place::VARCHAR, ',' ORDER BY place) FILTER (near) AS near_lines
     FROM judged GROUP BY doc_id)
 SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n_exact, 0)::BIGINT AS n_exact,
-       coalesce(n_near, 0)::BIGINT AS n_near, coalesce(exact_lines, '') AS exact_lines, coalesce(near_lines, '') AS near_lines
+       coalesce(n_near, 0)::BIGINT AS n_near, coalesce(exact_lines, '') AS exact_lines, coalesce(near_lines, '') AS near_lines,
+       coalesce(n_links, 0)::BIGINT AS n_links
 FROM documents LEFT JOIN gone USING (doc_id)
 """
 
@@ -248,6 +267,7 @@ FROM codes, books
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": OP3,
     "op5_quality_rules": OP5,
+    "op6_warc": OP6,
     "op8_chat_formatting": OP8,
     "op10_line_dedup": OP10,
     "op11_filter_interaction_audit": OP11,

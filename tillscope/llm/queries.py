@@ -103,7 +103,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_lines", F.size("exact").cast("long").alias("n_exact"), F.size("near").cast("long").alias("n_near"),
         F.array_join(F.col("exact").cast("array<string>"), ",").alias("exact_lines"),
-        F.array_join(F.col("near").cast("array<string>"), ",").alias("near_lines"),
+        F.array_join(F.col("near").cast("array<string>"), ",").alias("near_lines"), "n_links",
     )
 
 
