@@ -54,8 +54,8 @@ def test_quantile_of_one_value(spark):
 
 def test_dense_keys_have_no_gaps_and_repeat(spark):
     df = spark.range(500).select(F.concat(F.lit("SKU"), "id").alias("sku")).repartition(7)
-    first = assign_dense_keys(df, "key", ["sku"], start_after=10, buckets=16)
-    again = assign_dense_keys(df.repartition(3), "key", ["sku"], start_after=10, buckets=16)
+    first = assign_dense_keys(df, "key", ["sku"], start_after=10, rows_a_part=40)
+    again = assign_dense_keys(df.repartition(3), "key", ["sku"], start_after=10, rows_a_part=40)
     keyed = {r["sku"]: r["key"] for r in first.collect()}
     assert sorted(keyed.values()) == list(range(11, 511))
     assert keyed == {r["sku"]: r["key"] for r in again.collect()}
