@@ -425,6 +425,8 @@ ORACLES["r2_top_in_category_region"] = query(
     "product_id:i product_name:s brand:s units:i net_sales:d",
     f"""SELECT * FROM ({M3}) WHERE month = DATE '2001-07-01' AND category = 'ECONOMY' AND region = 'ASIA'
         QUALIFY RANK() OVER (ORDER BY net_sales DESC) <= 5""")
+for _name in ("e2b_regional_ranking", "e3b_critical_alerts", "r1_daily_kpis", "r2_top_in_category_region"):
+    ORACLES[f"{_name}_served"] = ORACLES["e2b_regional_ranking_fast" if _name.startswith("e2b") else _name]
 ORACLES["r3_ticket_by_format"] = query(
     "format:s avg_line_value:d net_per_ticket:d units_per_ticket:d",
     f"""SELECT format, {LINE} AS avg_line_value, {NET_D} / COUNT(DISTINCT ticket_id) AS net_per_ticket,

@@ -15,7 +15,7 @@ from tillscope.functions.measures import net_sales, with_net
 from tillscope.functions.periods import snapshots_between, sold_between
 from tillscope.operators import calendar as cal
 from tillscope.operators import keys, quality, validate
-from tillscope.plans import advanced, inventory, kpi, metrics, products, sales, season, state, summary, tickets
+from tillscope.plans import advanced, inventory, kpi, metrics, products, sales, season, served, state, summary, tickets
 from tillscope.plans.load import SourceFiles, append_inventory, append_sales, load_star
 from tillscope.sources import csv
 from tillscope.sources.shared import fresh_folder, materialized
@@ -511,6 +511,19 @@ def cost_intervals(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(intervals.select("product_id", "store_id", "unit_cost", "valid_from", "valid_to", "cost_year"))
 
 
+def served_read(read: Callable[[summary.SummaryStore], DataFrame]) -> Query:
+    """A dashboard read over the tables that are kept ready for it."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        star, store = testbind.star(spark, folder), _store(spark)
+        names = ["regional_performance", "daily_sales", *summary.group_names("inventory")]
+        summary.refresh(store, star, AS_OF, names, TEST_SUMMARIES)
+        served.refresh(store, AS_OF)
+        return comparable(read(store))
+
+    return run
+
+
 def read_beside_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that readers count after a reload, an archive run and a clearing, having opened the tables before."""
     star, warehouse = testbind.star(spark, folder), _warehouse(spark)
@@ -641,6 +654,10 @@ QUERIES: dict[str, Query] = {
     "e1_daily_sales_by_chain_quarter": on_star(sales.daily_sales_by_chain_quarter, *QUARTER),
     "e2a_regional_ranking": on_star(products.regional_ranking, AS_OF),
     "e2b_regional_ranking_fast": on_star(lambda s: products.regional_ranking_fast(m3(s), AS_OF)),
+    "e2b_regional_ranking_served": served_read(served.regional_ranking),
+    "e3b_critical_alerts_served": served_read(served.critical_alerts),
+    "r1_daily_kpis_served": served_read(lambda store: served.daily_kpis(store, AS_OF, "BUILDING")),
+    "r2_top_in_category_region_served": served_read(lambda store: served.top_in_category_region(store, "ECONOMY", "ASIA")),
     "e3a_inventory_alerts_full": on_star(inventory.inventory_alerts_full, AS_OF, lookback_days=LONG, min_days=2),
     "e3a_inventory_alerts_of_positions": positions_after_append,
     "e3b_critical_alerts": on_star(lambda s: inventory.critical_alerts(m6(s))),

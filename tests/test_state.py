@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import D, SALE, SNAPSHOT, STORE, frame, rows, star
 from tillscope.functions.periods import snapshots_between, sold_between
-from tillscope.plans import inventory, kpi, metrics, state, summary, tickets
+from tillscope.plans import inventory, kpi, metrics, products, served, state, summary, tickets
 from tillscope.sources.shared import materialized, scratch
 from tillscope.sources.warehouse import Warehouse
 
@@ -126,6 +126,25 @@ def test_refreshes_leave_no_intermediate_tables(spark, stored, tmp_path, monkeyp
     assert not list((tmp_path / "shared").iterdir())
 
 
+def test_dashboard_reads_are_a_scan_and_a_filter(spark, stored):
+    warehouse, store = stored
+    current = warehouse.star()
+    summary.refresh(store, current, AS_OF, ["regional_performance", "daily_sales", *summary.group_names("inventory")])
+    served.refresh(store, D("2024-03-20"), min_net=1)
+    regional = store.read("regional_performance")
+    category = rows(regional.limit(1), "category")[0]
+    for fast, plain in (
+        (served.regional_ranking(store, 2), products.regional_ranking_fast(regional, D("2024-03-20"), 1, 2)),
+        (served.top_in_category_region(store, category, "R1", 1),
+         products.top_in_category_region(regional, D("2024-03-20"), category, "R1", 1)),
+        (served.critical_alerts(store), inventory.critical_alerts(store.read("inventory_alerts"))),
+        (served.daily_kpis(store, D("2024-03-20"), "C"), summary.daily_kpis(store.read("daily_sales"), D("2024-03-20"), "C")),
+    ):
+        assert same(plain, fast)
+        text = fast._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and "Sort" not in text and "Aggregate" not in text
+
+
 def test_readers_keep_the_months_they_opened(spark, stored):
     warehouse, store = stored
     summary.refresh(store, warehouse.star(), AS_OF, ["daily_sales"])
