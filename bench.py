@@ -22,7 +22,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from checks import registry as r  # noqa: E402
 from tillscope import testbind  # noqa: E402
 from tillscope.operators import quality  # noqa: E402
-from tillscope.plans import advanced, inventory, kpi, metrics, products, sales, season, served, summary, tickets  # noqa: E402
+from tillscope.plans import advanced, inventory, kpi, metrics, products, sales, season, served, state, summary, tickets  # noqa: E402
 from tillscope.sources.shared import fresh_folder  # noqa: E402
 from tillscope.sources.warehouse import Warehouse  # noqa: E402
 from tillscope.star import Star  # noqa: E402
@@ -101,9 +101,14 @@ def headline_queries(star: Star, read: dict[str, DataFrame]) -> dict[str, Callab
     }
 
 
-def served_queries(store: summary.SummaryStore) -> dict[str, Callable[[], DataFrame]]:
-    """Reads of the tables that are kept ready for the dashboard."""
+def maintained_queries(store: summary.SummaryStore, star: Star) -> dict[str, Callable[[], DataFrame]]:
+    """Plans over maintained state, and reads of the tables that are kept ready for the dashboard."""
+    positions, costs = state.current_positions(store, star), state.current_costs(store, star)
     return {
+        "e3a_inventory_alerts_positions": lambda: inventory.inventory_alerts_full(
+            star, r.AS_OF, lookback_days=r.LONG, min_days=2, positions=positions
+        ),
+        "x3_intervals": lambda: metrics.margin(star, *r.YEAR, costs),
         "e2b_regional_ranking_served": lambda: served.regional_ranking(store),
         "e3b_critical_alerts_served": lambda: served.critical_alerts(store),
         "r1_daily_kpis_served": lambda: served.daily_kpis(store, r.AS_OF, "BUILDING"),
@@ -121,7 +126,9 @@ def main() -> None:
         for name in r.TEST_SUMMARIES
     }
     build["served"] = timed(lambda: served.refresh(store, r.AS_OF))
-    queries = headline_queries(star, {name: store.read(name) for name in r.TEST_SUMMARIES}) | served_queries(store)
+    build["positions"] = timed(lambda: state.refresh_positions(store, star))
+    build["costs"] = timed(lambda: state.refresh_costs(store, star))
+    queries = headline_queries(star, {name: store.read(name) for name in r.TEST_SUMMARIES}) | maintained_queries(store, star)
     chosen = sys.argv[1:]
     first, usual = {}, {}
     for name, plan in queries.items():
