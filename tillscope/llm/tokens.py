@@ -15,7 +15,8 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_CHUNKS = 800_000
+#: Chunks known at a time, and once more those known before: chunks in use are never forgotten.
+CACHE_CHUNKS = 500_000
 
 #: White space to ``str.split`` that the library's pattern does not take as such.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -46,6 +47,7 @@ class TextEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}  # ids as they lie in memory
+        self.older: dict[str, bytes] = {}  # those known before the last clearing
         self.known_pieces: dict[str, bytes] = {}
         self.older_pieces: dict[str, bytes] = {}
 
@@ -86,7 +88,7 @@ class TextEncoder:
             ids = self.older_pieces.get(piece)
             if ids is None:
                 ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-            if len(self.known_pieces) >= CACHE_CHUNKS // 4:
+            if len(self.known_pieces) >= CACHE_CHUNKS // 2:
                 self.older_pieces, self.known_pieces = self.known_pieces, {}
             self.known_pieces[piece] = ids
         return ids
@@ -96,11 +98,15 @@ class TextEncoder:
         if not new:
             return
         if len(self.known) + len(new) > CACHE_CHUNKS:
-            self.known = {}
+            self.older, self.known = self.known, {}
             new = set(chunks)
-        known, pieces, split = self.known, self._piece_ids, self._core
+        known, older, pieces, split = self.known, self.older, self._piece_ids, self._core
         others = []
         for chunk in new:
+            ids = older.get(chunk)
+            if ids is not None:
+                known[chunk] = ids
+                continue
             parts = split(chunk)
             if parts is None:
                 others.append(chunk)
