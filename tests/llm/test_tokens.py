@@ -119,3 +119,15 @@ def test_files_round_trip_in_order(documents, spark):
     assert spark.read.parquet(folder).count() > 3
     empty = token_files.write(documents("a").limit(0), public_tokenizers.path(FILES[0]))
     assert token_files.read(spark, empty).count() == 0
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_a_chunk_in_use_is_made_once(file, monkeypatch):
+    monkeypatch.setattr("tillscope.llm.tokens.CACHE_CHUNKS", 8)
+    small, made = TextEncoder(public_tokenizers.path(file)), []
+    make = small.known.make
+    small.known.make = lambda chunk: made.append(chunk) or make(chunk)
+    for k in range(20):
+        text = f"and the{' the' * k} word{'x' * k}, one 12"
+        assert list(small.ids(text)) == PLAIN[file].encode(text, add_special_tokens=False).ids
+    assert len(made) == len(set(made)) == 24

@@ -8,18 +8,18 @@ or with the string of a special token go to the library whole.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Chunks known at a time, and once more those known before: chunks in use are never forgotten.
+#: Chunks known when a text begins, and once more those known before: chunks in use are never forgotten.
 CACHE_CHUNKS = 500_000
 
 #: White space to ``str.split`` that the library's pattern does not take as such.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 #: Characters that close a word and stand in a piece of their own.
@@ -34,6 +34,31 @@ def _visible(piece: str) -> str:
     return piece if piece.isascii() else piece.encode().decode("latin-1").translate(_VISIBLE)
 
 
+class _Unusual(Exception):
+    """A chunk that can not be treated alone."""
+
+
+class _Known(dict):
+    """Ids, as they lie in memory, of what was asked for; what is not there is made then, or taken from those known before."""
+
+    def __init__(self, make: Callable[[str], bytes], older: dict[str, bytes]) -> None:
+        self.make, self.older = make, older
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.make(key)
+        self[key] = ids
+        return ids
+
+    def cleared(self, most: int) -> _Known:
+        """Itself, or with ``most`` entries an empty one that still finds these."""
+        if len(self) < most:
+            return self
+        self.older = {}
+        return _Known(self.make, self)
+
+
 class TextEncoder:
     """Encodes texts with the tokenizer in a file.
 
@@ -46,10 +71,8 @@ class TextEncoder:
         self.ends_words = bool(self.tokenizer.model.end_of_word_suffix)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}  # ids as they lie in memory
-        self.older: dict[str, bytes] = {}  # those known before the last clearing
-        self.known_pieces: dict[str, bytes] = {}
-        self.older_pieces: dict[str, bytes] = {}
+        self.known = _Known(self._chunk_ids, {})
+        self.known_pieces = _Known(self._piece_ids, {})
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -58,11 +81,8 @@ class TextEncoder:
         """Chunks that the tokenizer treats alone; those of bytes begin with a line feed or have lost one blank."""
         if any(s in text for s in self.special):
             return None
-        chunks = text.split()
         if self.ends_words:
-            return None if _SEPARATORS.search(text) else chunks
-        if chunks != text.replace("\n", " ").split(" "):
-            return None
+            return None if any(s in text for s in _SEPARATORS) else text.split()
         return f"\n{text}".replace("\n", " \n").split(" ")[1:]
 
     def _core(self, chunk: str) -> tuple[str, str, str] | None:
@@ -82,44 +102,22 @@ class TextEncoder:
         return before, blank + (core if core.isascii() else _visible(core)), closing
 
     def _piece_ids(self, piece: str) -> bytes:
-        """Ids of a piece. Pieces asked for since the last two clearings are known; those in use are never forgotten."""
-        ids = self.known_pieces.get(piece)
-        if ids is None:
-            ids = self.older_pieces.get(piece)
-            if ids is None:
-                ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-            if len(self.known_pieces) >= CACHE_CHUNKS // 2:
-                self.older_pieces, self.known_pieces = self.known_pieces, {}
-            self.known_pieces[piece] = ids
-        return ids
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
-    def _learn(self, chunks: list[str]) -> None:
-        new = set(chunks).difference(self.known)
-        if not new:
-            return
-        if len(self.known) + len(new) > CACHE_CHUNKS:
-            self.older, self.known = self.known, {}
-            new = set(chunks)
-        known, older, pieces, split = self.known, self.older, self._piece_ids, self._core
-        others = []
-        for chunk in new:
-            ids = older.get(chunk)
-            if ids is not None:
-                known[chunk] = ids
-                continue
-            parts = split(chunk)
-            if parts is None:
-                others.append(chunk)
-                continue
+    def _chunk_ids(self, chunk: str) -> bytes:
+        parts = self._core(chunk) if chunk else None
+        if parts is not None:
             before, core, closing = parts
-            ids = pieces(core)
-            if before:
-                ids = pieces(before) + ids
-            known[chunk] = ids + pieces(closing) if closing else ids
-        if others:
-            texts = others if self.ends_words else [c if c[0] == "\n" else f" {c}" for c in others]
-            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            self.known.update(zip(others, (array("I", e.ids).tobytes() for e in encoded)))
+            pieces = self.known_pieces
+            ids = pieces[before] + pieces[core] if before else pieces[core]
+            return ids + pieces[closing] if closing else ids
+        if not self.ends_words:
+            bare = chunk.removeprefix("\n")
+            if bare.split() != [bare]:  # more than one white space side by side, or one that is neither a blank nor a line feed
+                raise _Unusual
+            if bare == chunk:
+                chunk = f" {chunk}"
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of a text as unsigned 32-bit integers; none for null."""
@@ -128,8 +126,11 @@ class TextEncoder:
         chunks = self._chunks(text)
         if chunks is None:
             return self._whole(text)
-        self._learn(chunks)
-        ids = np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), np.uint32)
+        self.known, self.known_pieces = self.known.cleared(CACHE_CHUNKS), self.known_pieces.cleared(CACHE_CHUNKS // 2)
+        try:
+            ids = np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), np.uint32)
+        except _Unusual:
+            return self._whole(text)
         return ids if self.ends_words else ids[1:]  # less the line feed put before the text
 
 
