@@ -120,3 +120,18 @@ def test_lines_of_every_length_can_be_compared(documents, threshold):
 def test_no_python_in_the_plan(documents):
     plan = line_dedup.decide(documents("a\nb")).documents._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_few_texts_of_a_large_group_are_compared(documents, monkeypatch):
+    words = [f"word{chr(97 + k)}" for k in range(12)]
+    lines = [" ".join([*words[:k], "thirteen", *words[k:]]) + f" {j}{j}{j}" for k in (1, 10) for j in range(10)]
+    held, stored = {}, line_dedup.stored
+
+    def counted(df):
+        held[tuple(df.columns)] = out = stored(df)
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    found = line_dedup.decide(documents(*lines)).documents.collect()
+    assert sum(r.n_links for r in found) == 0
+    assert held["h1_a", "h1_b"].count() <= 90  # of 190: those with the word at the same place

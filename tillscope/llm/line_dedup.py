@@ -1,10 +1,11 @@
 """Line deduplication: exact, and within an edit distance by a segment-partition join.
 
-A line within ``threshold`` edits of another keeps at least one of the other's ``threshold + 1`` segments whole. So the
-shorter line is indexed by its segments and their lengths, and the longer one probes with the few substrings that can be
-such a segment, given the difference of the lengths and the edits that may lie on either side. Pairs that meet are
-compared by counts of eight characters inside the join, then verified by a banded bit-parallel automaton: one word for
-each number of edits, whose bits are the places of the diagonal band.
+Lines meet in buckets of lengths. A bucket gives all its lines the same ``threshold + 1`` segments of one size, the last
+at the end of the line and the others side by side from its beginning. Of two lines within ``threshold`` edits one keeps a
+segment i whole with just i edits before it, so the other has it within i places; the last one stands at the end of both.
+A line near the lower end of its bucket is in the bucket below as well. Pairs that meet are compared by counts of
+fifteen characters, of the line and of its beginning, and by their lengths inside the join, then verified by a banded bit-parallel automaton: one word for each number
+of edits, whose bits are the places of the diagonal band.
 
 All of it is DataFrame expressions. Hashes move; of the texts only those of candidates do, and of few others. A line
 that occurs very often takes part with its first occurrence alone, so no key gets hot through copies.
@@ -24,7 +25,7 @@ from tillscope.llm.stored import stored
 
 THRESHOLD = 2
 NEAR_LENGTH = 20
-COUNTED = " entaois"
+COUNTED = " etaonihrsdlguw"
 OFTEN = 32
 FILTER_BITS = 20
 
@@ -85,53 +86,47 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
     return (F.abs(F.length(a) - F.length(b)) <= threshold) & bit
 
 
-#: Bytes of a character in the encoding that segments are cut from: of equal width, so a place is found without a scan.
-WIDE, BYTES = "UTF-32", 4
+def _bucket(n: Column) -> Column:
+    """The least length of the bucket that a length lies in: four buckets from a power of two to the next, of four lengths at least."""
+    places = F.greatest(F.length(F.bin(n)) - 3, F.lit(2))
+    return F.call_function("shiftleft", F.call_function("shiftright", n, places), places)
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment ``i`` (from 1) of a line cut into near-equal parts, the shorter ones first."""
-    base, longer = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    start = base * (i - 1) + F.greatest(F.lit(0), longer - (parts - i + 1))
-    return start, base + (F.lit(i) > parts - longer).cast("int")
+def _segment_keys(line: Column, n: Column, bucket: Column, threshold: int, least: int) -> Column:
+    """Counts of all segments but the last, keys of the segments, then of the other places where a line of the bucket can have them."""
+    size = F.floor(F.greatest(bucket, F.lit(least)) / (threshold + 1)).cast("int")
 
+    def key(i: int, start: Column) -> Column:
+        return F.xxhash64(F.lit(i), bucket, F.substr(line, start + 1, size))
 
-def _key(i: int, length: Column, wide: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, F.substr(wide, start * BYTES + 1, size * BYTES))
+    own = [*[key(i, size * i) for i in range(threshold)], key(threshold, n - size)]
+    moved = [key(i, size * i + shift) for i in range(1, threshold) for shift in range(-i, i + 1) if shift]
+    begin = size * threshold
+    return F.array(_counts(F.substr(line, F.lit(1), begin), begin), *own, *moved)
 
 
-def _index_keys(wide: Column, length: Column, threshold: int) -> Column:
-    parts = threshold + 1
-    return F.array(*[_key(i, length, wide, *_segment(length, i, parts)) for i in range(1, parts + 1)])
+def _keys(line: Column, n: Column, threshold: int, least: int) -> Column:
+    """An array, of counts and keys, for each bucket that a line is in."""
+    bucket = _bucket(n)
+    own = _segment_keys(line, n, bucket, threshold, least)
+    below = _segment_keys(line, n, _bucket(bucket - 1), threshold, least)
+    return F.when((n - bucket < threshold) & (bucket > least), F.array(own, below)).otherwise(F.array(own))
 
 
-def _probe_keys(wide: Column, n: Column, threshold: int, least: int) -> Column:
-    """Keys of the substrings that can be a segment of a line shorter by 0 to ``threshold`` characters."""
-    parts, keys = threshold + 1, []
-    for less in range(threshold + 1):
-        length = n - less
-        for i in range(1, parts + 1):
-            start, size = _segment(length, i, parts)
-            low, high = max(-(i - 1), less - (parts - i)), min(i - 1, less + (parts - i))
-            for shift in range(low, high + 1):
-                keys.append(F.when(length >= least, _key(i, length, wide, start + shift, size)))
-    return F.array_compact(F.array(*keys))
-
-
-def _counts(line: Column) -> Column:
-    """Counts of a few characters, 8 bits each."""
-    each = [F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in COUNTED]
-    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft((n % 256).cast("long"), 8 * k) for k, n in enumerate(each)])
+def _counts(line: Column, n: Column) -> Column:
+    """The length and counts of a few characters, modulo 16 in 4 bits each."""
+    each = [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in COUNTED]
+    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft((k % 16).cast("long"), 4 * at) for at, k in enumerate([n, *each])])
 
 
 def _may_be_near(a: Column, b: Column, threshold: int) -> Column:
-    """An edit changes one count, or two by one each."""
+    """An edit changes one count, and another one or the length, by one each; in a beginning of fixed length as well."""
 
     def apart(k: int) -> Column:
-        d = F.abs(F.shiftright(a, 8 * k).bitwiseAND(255) - F.shiftright(b, 8 * k).bitwiseAND(255))
-        return F.least(d, 256 - d)
+        d = F.abs(F.shiftright(a, 4 * k).bitwiseAND(15) - F.shiftright(b, 4 * k).bitwiseAND(15))
+        return F.least(d, 16 - d)
 
-    return reduce(add, [apart(k) for k in range(len(COUNTED))]) <= 2 * threshold
+    return (apart(0) <= threshold) & (reduce(add, [apart(k) for k in range(len(COUNTED) + 1)]) <= 2 * threshold)
 
 
 def _second(line: Column) -> Column:
@@ -150,8 +145,13 @@ def _place() -> Column:
 
 
 def _without_copies(lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Lines less the later occurrences of those that occur often. Other copies may stay; they change no result."""
-    often = firsts.where(F.col("n") > OFTEN).select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("first").alias("_first"))
+    """Lines less the later occurrences of those that occur often. Other copies may stay; they change no result.
+
+    The lines that occur often are stored, so that Spark knows when they are few enough to leave the texts where they are.
+    """
+    often = stored(
+        firsts.where(F.col("n") > OFTEN).select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("first").alias("_first"))
+    )
     joined = lines.join(often, (lines["h1"] == often["_h1"]) & (lines["h2"] == often["_h2"]), "left")
     return joined.where(F.col("_h1").isNull() | _place().eqNullSafe(F.col("_first"))).drop("_h1", "_h2", "_first")
 
@@ -173,19 +173,22 @@ def _wanted(hashes: DataFrame) -> Column:
 
 def _near_links(lines: DataFrame, firsts: DataFrame, threshold: int, least: int) -> DataFrame:
     """Pairs of distinct lines within the threshold: ``h1_a, h2_a, h1_b, h2_b``."""
-    long_lines = lines.where(F.length("line") >= least)
-    wide = _without_copies(long_lines, firsts).select(
-        "h1", F.encode("line", WIDE).alias("wide"), _counts(F.col("line")).alias("counts")
+    long_lines = lines.withColumn("n", F.length("line")).where(F.col("n") >= least)
+    line, n = F.col("line"), F.col("n")
+    keyed = stored(
+        _without_copies(long_lines, firsts)
+        .select("h1", _counts(line, n).alias("counts"), F.explode(_keys(line, n, threshold, least)).alias("keys"))
     )
-    keyed = wide.withColumn("n", (F.octet_length("wide") / BYTES).cast("int"))
-    index = keyed.select(F.explode(_index_keys(F.col("wide"), F.col("n"), threshold)).alias("key"), "h1", "counts")
+    begin = F.get("keys", F.lit(0))
+    index = keyed.select(F.explode(F.slice("keys", 2, threshold + 1)).alias("key"), "h1", "counts", begin.alias("begin"))
     probe = keyed.select(
-        F.explode(_probe_keys(F.col("wide"), F.col("n"), threshold, least)).alias("key"), F.col("h1").alias("h1_b"),
-        F.col("counts").alias("counts_b"),
+        F.explode(F.slice("keys", 2, threshold * threshold + 1)).alias("key"),
+        F.col("h1").alias("h1_b"), F.col("counts").alias("counts_b"), begin.alias("begin_b"),
     )
-    meet = (index["key"] == probe["key"]) & (index["h1"] != probe["h1_b"])
-    met = index.join(probe, meet & _may_be_near(index["counts"], probe["counts_b"], threshold))
-    pairs = stored(met.select(F.least("h1", "h1_b").alias("h1_a"), F.greatest("h1", "h1_b").alias("h1_b")).distinct())
+    meet = (index["key"] == probe["key"]) & (index["h1"] < probe["h1_b"])
+    alike = _may_be_near(index["counts"], probe["counts_b"], threshold) & _may_be_near(index["begin"], probe["begin_b"], threshold)
+    met = index.join(probe, meet & alike)
+    pairs = stored(met.select(F.col("h1").alias("h1_a"), "h1_b").distinct())
     sides = pairs.select("*", F.explode(F.array("h1_a", "h1_b")).alias("h1"))
     said = long_lines.where(_wanted(sides)).groupBy("h1").agg(F.first("line").alias("line"))
     texts = sides.join(said, "h1").groupBy("h1_a", "h1_b").agg(
