@@ -92,25 +92,20 @@ def _bucket(n: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", n, places), places)
 
 
-def _segment_keys(line: Column, n: Column, bucket: Column, threshold: int, least: int) -> Column:
-    """Counts of all segments but the last, keys of the segments, then of the other places where a line of the bucket can have them."""
-    size = F.floor(F.greatest(bucket, F.lit(least)) / (threshold + 1)).cast("int")
+def _buckets(n: Column, bucket: Column, threshold: int, least: int) -> Column:
+    """The buckets that a line is in: its own, and near the lower end of it the one below."""
+    return F.when((n - bucket < threshold) & (bucket > least), F.array(bucket, _bucket(bucket - 1))).otherwise(F.array(bucket))
+
+
+def _segment_keys(line: Column, n: Column, bucket: Column, size: Column, threshold: int) -> Column:
+    """Keys of the segments, then of the other places where a line of the bucket can have them."""
 
     def key(i: int, start: Column) -> Column:
         return F.xxhash64(F.lit(i), bucket, F.substr(line, start + 1, size))
 
     own = [*[key(i, size * i) for i in range(threshold)], key(threshold, n - size)]
     moved = [key(i, size * i + shift) for i in range(1, threshold) for shift in range(-i, i + 1) if shift]
-    begin = size * threshold
-    return F.array(_counts(F.substr(line, F.lit(1), begin), begin), *own, *moved)
-
-
-def _keys(line: Column, n: Column, threshold: int, least: int) -> Column:
-    """An array, of counts and keys, for each bucket that a line is in."""
-    bucket = _bucket(n)
-    own = _segment_keys(line, n, bucket, threshold, least)
-    below = _segment_keys(line, n, _bucket(bucket - 1), threshold, least)
-    return F.when((n - bucket < threshold) & (bucket > least), F.array(own, below)).otherwise(F.array(own))
+    return F.array(*own, *moved)
 
 
 def _counts(line: Column, n: Column) -> Column:
@@ -174,17 +169,22 @@ def _wanted(hashes: DataFrame) -> Column:
 def _near_links(lines: DataFrame, firsts: DataFrame, threshold: int, least: int) -> DataFrame:
     """Pairs of distinct lines within the threshold: ``h1_a, h2_a, h1_b, h2_b``."""
     long_lines = lines.withColumn("n", F.length("line")).where(F.col("n") >= least)
-    line, n = F.col("line"), F.col("n")
+    line, n, bucket, size = F.col("line"), F.col("n"), F.col("bucket"), F.col("size")
+    # One projection after the other: what several expressions use is computed once.
+    measured = _without_copies(long_lines, firsts).select("h1", "line", "n", _counts(line, n).alias("counts"), _bucket(n).alias("bucket"))
+    placed = measured.withColumn("bucket", F.explode(_buckets(n, bucket, threshold, least)))
+    sized = placed.withColumn("size", F.floor(F.greatest(bucket, F.lit(least)) / (threshold + 1)).cast("int"))
+    begun = sized.withColumn("begin", F.substr(line, F.lit(1), size * threshold))
     keyed = stored(
-        _without_copies(long_lines, firsts)
-        .select("h1", _counts(line, n).alias("counts"), F.explode(_keys(line, n, threshold, least)).alias("keys"))
-    )
-    begin = F.get("keys", F.lit(0))
-    index = keyed.select(F.explode(F.slice("keys", 2, threshold + 1)).alias("key"), "h1", "counts", begin.alias("begin"))
-    probe = keyed.select(
-        F.explode(F.slice("keys", 2, threshold * threshold + 1)).alias("key"),
-        F.col("h1").alias("h1_b"), F.col("counts").alias("counts_b"), begin.alias("begin_b"),
+        begun.select(
+            "h1", "counts", _counts(F.col("begin"), size * threshold).alias("begin"),
+            _segment_keys(line, n, bucket, size, threshold).alias("keys"),
+        )
     )
+    index = keyed.select(F.explode(F.slice("keys", 1, threshold + 1)).alias("key"), "h1", "counts", "begin")
+    probe = keyed.select(
+        F.explode("keys").alias("key"), F.col("h1").alias("h1_b"), F.col("counts").alias("counts_b"), F.col("begin").alias("begin_b")
+    )
     meet = (index["key"] == probe["key"]) & (index["h1"] < probe["h1_b"])
     alike = _may_be_near(index["counts"], probe["counts_b"], threshold) & _may_be_near(index["begin"], probe["begin_b"], threshold)
     met = index.join(probe, meet & alike)
