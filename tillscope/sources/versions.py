@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillscope.sources.shared import shuffles_deleted
+
 #: Partition columns that no reader sees: what a partition was made from, and the folder its write went to.
 MADE_FROM, WRITTEN_AS = "made_from", "written_as"
 HIDDEN = (MADE_FROM, WRITTEN_AS)
@@ -121,24 +123,28 @@ class VersionedTables:
         made_from: Column | str = "",
         buckets: int = 0,
         bucket_by: Sequence[str] = (),
+        options: Mapping[str, str] | None = None,
+        more: Iterable[DataFrame] = (),
     ) -> Written:
         """Store rows in a new folder; nobody sees them before ``switch``.
 
         A partitioned table gets two more partition columns: ``made_from`` tells what the rows were made from, as the
-        caller sees fit. With ``buckets`` the files of every partition are cut and sorted by ``bucket_by``.
+        caller sees fit. With ``buckets`` the files of every partition are cut and sorted by ``bucket_by``. Rows of ``more``
+        are stored beside those of ``df``, each by a job of its own.
         """
         token = uuid.uuid4().hex[:16]
-        rows = df
-        if partition_by:
-            made = F.lit(made_from) if isinstance(made_from, str) else made_from
-            rows = df.withColumns({MADE_FROM: made, WRITTEN_AS: F.lit(token)})
-        writer = rows.write.format("parquet").option("path", self._folder(token))
-        if partition_by:
-            writer = writer.partitionBy(*partition_by, *HIDDEN)
-        if buckets:
-            writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
         table = self.name(f"{name}__data_{token}")
-        writer.saveAsTable(table)
+        with shuffles_deleted(self.spark):
+            for rows in (df, *more):
+                if partition_by:
+                    made = F.lit(made_from) if isinstance(made_from, str) else made_from
+                    rows = rows.withColumns({MADE_FROM: made, WRITTEN_AS: F.lit(token)})
+                writer = rows.write.format("parquet").options(**options or {}).option("path", self._folder(token))
+                if partition_by:
+                    writer = writer.partitionBy(*partition_by, *HIDDEN)
+                if buckets:
+                    writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+                writer.mode("append").saveAsTable(table)
         return Written(table, token, tuple(df.columns), self._parts_of(table) if partition_by else None)
 
     def stored(self, written: Written) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillscope.functions.periods import MONTH_PARTITION, STOCK_MONTH, YEAR_PARTITION, year_month
 from tillscope.sources.schema import DESCRIPTIONS, KEYS, TABLES
+from tillscope.sources.shared import COMPACT, delete_folder, materialized, shuffles_deleted
 from tillscope.sources.versions import MADE_FROM, VersionedTables, Written
 from tillscope.star import Star
 
@@ -54,10 +56,11 @@ def statistics(spark: SparkSession, table: str, columns: list[str]) -> DataFrame
 
 @dataclass(frozen=True)
 class Layout:
-    """How a fact is laid out: its date, and the partition columns made from it."""
+    """How a fact is laid out: its date, the partition columns made from it, and the order of the rows of a date."""
 
     date: str
     months: tuple[str, ...]
+    order: tuple[str, ...]
 
     @property
     def month(self) -> str:
@@ -65,8 +68,8 @@ class Layout:
 
 
 LAYOUTS = {
-    "sales": Layout("sale_date", (YEAR_PARTITION, MONTH_PARTITION)),
-    "inventory": Layout("snapshot_date", (STOCK_MONTH,)),
+    "sales": Layout("sale_date", (YEAR_PARTITION, MONTH_PARTITION), ("sale_id",)),
+    "inventory": Layout("snapshot_date", (STOCK_MONTH,), ("product_id", "store_id")),
 }
 #: Columns that filters and joins of the plans estimate by.
 ESTIMATED = {
@@ -77,6 +80,8 @@ ESTIMATED = {
     "inventory": ("product_id", "store_id", "snapshot_date", "final_stock", STOCK_MONTH),
 }
 LOADS, LAST_KEY = "loads", "last_key"
+#: A fact is put in order a range of months at a time: so many rows at least, and so many ranges at most.
+RANGE_ROWS, MOST_RANGES = 1_000_000, 4
 
 
 def as_ranges(numbers: Iterable[int]) -> str:
@@ -144,17 +149,47 @@ class Warehouse(VersionedTables):
             ticket = F.coalesce("ticket_id", spread.cast("string"))
             rows = rows.repartition(self.ticket_buckets, ticket).sortWithinPartitions(*partition_by, "ticket_id")
         else:
-            rows = rows.repartitionByRange(layout.date, spread).sortWithinPartitions(*partition_by, layout.date)
+            order = [c for c in layout.order if c in df.columns]
+            rows = rows.repartitionByRange(layout.date, spread).sortWithinPartitions(*partition_by, layout.date, *order)
         return rows, partition_by
 
+    def _ranges(self, df: DataFrame, table: str) -> list[DataFrame]:
+        """The rows cut between months into ranges of dates; rows without a date are in the first."""
+        day = F.col(LAYOUTS[table].date).cast("date")
+        counted = df.groupBy(year_month(LAYOUTS[table].date)).agg(F.min(F.unix_date(day)).alias("first"), F.count("*").alias("n"))
+        months = sorted((r["first"], r["n"]) for r in counted.collect() if r["first"] is not None)
+        size = max(RANGE_ROWS, -(-sum(n for _, n in months) // MOST_RANGES))
+        starts, held = [], size
+        for first, n in months:
+            if held >= size:
+                starts.append(F.date_from_unix_date(F.lit(first)))
+                held = 0
+            held += n
+        if len(starts) < 2:
+            return [df]
+        inner = [df.where((day >= a) & (day < b)) for a, b in zip(starts[1:], starts[2:])]
+        return [df.where((day < starts[1]) | day.isNull()), *inner, df.where(day >= starts[-1])]
+
     def _buckets(self, table: str) -> int:
         return self.ticket_buckets if table == "sales" else 0
 
-    def write_fact(self, table: str, df: DataFrame, load: int) -> Written:
-        """Store the rows of a load beside the table, under its load number."""
-        rows, partition_by = self._laid_out(df, table)
-        commented = with_comments(rows, table)
-        return self.write(table, commented, partition_by, str(load), self._buckets(table), ["ticket_id"])
+    def write_fact(self, table: str, df: DataFrame, load: int, stored: bool = False) -> Written:
+        """Store the rows of a load beside the table, under its load number.
+
+        Rows are computed once, into a folder that goes at the end, unless they are ``stored`` already. From there they are
+        exchanged and written a range of dates after the other, so never more than one range lies in shuffle files.
+        """
+        folder = self._folder(f"rows_{uuid.uuid4().hex[:16]}")
+        with shuffles_deleted(self.spark):
+            try:
+                rows = df if stored else materialized(df, folder, COMPACT)
+                ranges = self._ranges(rows, table)
+                parts = [self._laid_out(part, table) for part in ranges]
+                first, *more = [with_comments(part, table) for part, _ in parts]
+                buckets = self._buckets(table)
+                return self.write(table, first, parts[0][1], str(load), buckets, ["ticket_id"], COMPACT, more)
+            finally:
+                delete_folder(self.spark, folder)
 
     def loads(self, table: str) -> set[int]:
         """Numbers of the loads that the current version of a fact was made from."""
@@ -210,7 +245,7 @@ class Warehouse(VersionedTables):
     # All tables
 
     def write_dimension(self, table: str, df: DataFrame) -> Written:
-        return self.write(table, with_comments(df, table))
+        return self.write(table, with_comments(df, table), options=COMPACT)
 
     def write_table(self, table: str, df: DataFrame, mode: str = "overwrite") -> None:
         """Store a table: a dimension as a whole, a fact as ``mode`` says."""
