@@ -344,7 +344,7 @@ def _exchange_files(star: Star, path: str) -> SourceFiles:
     for table in ("products", "stores", "sales", "inventory"):
         df = star.tables()[table]
         df = df.withColumn("opened_on", F.lit(None).cast("date")) if table == "stores" else df
-        csv.write_csv(df, table, f"{path}/{table}")
+        csv.write_csv(df, table, f"{path}/{table}", compression="gzip")
     return SourceFiles(f"{path}/products", f"{path}/stores", [f"{path}/sales"], f"{path}/inventory")
 
 

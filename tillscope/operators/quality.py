@@ -239,12 +239,15 @@ def unknown_keys(df: DataFrame, target: DataFrame, rule: ReferenceRule) -> DataF
 FEW_KEYS = 10_000
 
 
-def mark(df: DataFrame, table: str, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def mark(
+    df: DataFrame, table: str, targets: dict[str, DataFrame] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Rows with ``broken_rules``: the ids of the row rules and, with ``targets``, references they break.
 
     References are checked on distinct keys, which runs a job for each while the
     plan is built. Rows meet the unknown keys only: none at all need no join, few
-    are broadcast, and many are joined by key.
+    are broadcast, and many are joined by key; ``keep`` may store these, so that a
+    result read in portions does not find them again for each.
     """
     rows = df.withColumn("broken_rules", broken_row_rules(table))
     for rule in (r for r in REFERENCE_RULES if r.table == table and targets and r.target in targets):
@@ -254,6 +257,8 @@ def mark(df: DataFrame, table: str, targets: dict[str, DataFrame] | None = None)
             continue
         if len(some) <= FEW_KEYS:
             unknown = F.broadcast(df.sparkSession.createDataFrame(some, unknown.schema))
+        elif keep:
+            unknown = keep(unknown)
         unknown = unknown.withColumn("_unknown", F.lit(True))
         more = F.when(F.col("_unknown"), F.array(F.lit(rule.rule_id))).otherwise(F.array().cast("array<string>"))
         rows = (

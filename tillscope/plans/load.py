@@ -14,9 +14,13 @@ from tillscope.operators.keys import assign_keys
 from tillscope.operators.quality import mark, mark_duplicates, mark_known
 from tillscope.sources.csv import CORRUPT, content_digests, read_csv, with_defaults, with_inventory_value
 from tillscope.sources.schema import DESCRIPTIONS, KEYS
+from tillscope.sources.shared import COMPACT, delete_folder, materialized, shuffles_deleted
 from tillscope.sources.versions import Written
 from tillscope.sources.warehouse import LAYOUTS, Warehouse
 
+#: Rows are checked a portion at a time: so many rows at least, and so many portions at most.
+PORTION_ROWS, MOST_PORTIONS = 1_000_000, 4
+
 
 @dataclass(frozen=True)
 class SourceFiles:
@@ -29,14 +33,23 @@ class SourceFiles:
 def _stage(table: str, paths: str | Sequence[str], warehouse: Warehouse, key: str | None, start_after: int = 0) -> DataFrame:
     """Parse a table's files once, into a staging table; rows that do not parse are kept marked.
 
-    A generated key is assigned on the scan of the staging table, where the
-    order of rows is fixed, so tasks that are run again give the same keys.
+    A generated key is assigned on the scan of the files, where the order of
+    rows is fixed, and stored, so all that read the table see the same keys.
     """
     raw = read_csv(warehouse.spark, table, paths, keep_corrupt=True)
     name = warehouse.name(f"staging_{table}")
-    raw.write.mode("overwrite").format("parquet").saveAsTable(name)
-    staged = warehouse.spark.table(name)
-    return assign_keys(staged, key, start_after) if key else staged
+    keyed = assign_keys(raw, key, start_after) if key else raw
+    keyed.write.mode("overwrite").format("parquet").options(**COMPACT).saveAsTable(name)
+    return warehouse.spark.table(name)
+
+
+def _portions(table: str, rows: DataFrame, count: int, keys: dict[str, tuple[str, ...]]) -> list[DataFrame]:
+    """The rows cut by a hash of their unique key, else of the generated one; rows under more than one key are not cut."""
+    n = min(MOST_PORTIONS, max(1, -(-count // PORTION_ROWS)))
+    key = next(iter(keys.values()), (KEYS[table],))
+    if n == 1 or len(keys) > 1 or not set(key) <= set(rows.columns):
+        return [rows]
+    return [rows.where(F.pmod(F.xxhash64(*key), F.lit(n)) == i) for i in range(n)]
 
 
 def _parsed(table: str, staged: DataFrame) -> DataFrame:
@@ -59,18 +72,32 @@ def _checked(
     targets: dict[str, DataFrame] | None = None,
     stored: DataFrame | None = None,
 ) -> DataFrame:
-    """The staged rows with the rules they break, computed once into a table.
+    """The staged rows with the rules they break, computed once into a table, after which the staging table goes.
 
-    Keys must be unique among the rows and, with ``stored``, must not be those of stored rows.
+    Keys must be unique among the rows and, with ``stored``, must not be those of stored rows. Rows are checked a portion
+    after the other, so never more than one portion lies in shuffle files.
     """
-    rows = mark(with_defaults(_parsed(table, staged), table), table, targets)
-    rows = rows.withColumn("broken_rules", F.when(F.col("_unparsed"), F.array(F.lit("PARSE"))).otherwise(F.col("broken_rules")))
-    for rule_id, key in keys.items():
-        rows = mark_duplicates(rows, key, rule_id, primary=rule_id == "DQ1")
-        if stored is not None:
-            rows = mark_known(rows, key, rule_id, stored)
-    name = warehouse.name(f"checked_{table}")
-    rows.drop("_unparsed").write.mode("overwrite").format("parquet").saveAsTable(name)
+    name, folder = warehouse.name(f"checked_{table}"), warehouse.work_folder()
+
+    def keep(unknown: DataFrame) -> DataFrame:
+        return materialized(unknown, f"{folder}/{unknown.columns[0]}")
+
+    with shuffles_deleted(warehouse.spark):
+        try:
+            rows = mark(with_defaults(_parsed(table, staged), table), table, targets, keep)
+            unparsed = F.when(F.col("_unparsed"), F.array(F.lit("PARSE"))).otherwise(F.col("broken_rules"))
+            rows = rows.withColumn("broken_rules", unparsed)
+            mode = "overwrite"
+            for portion in _portions(table, rows, staged.count(), keys):
+                for rule_id, key in keys.items():
+                    portion = mark_duplicates(portion, key, rule_id, primary=rule_id == "DQ1")
+                    if stored is not None:
+                        portion = mark_known(portion, key, rule_id, stored)
+                portion.drop("_unparsed").write.mode(mode).format("parquet").options(**COMPACT).saveAsTable(name)
+                mode = "append"
+        finally:
+            delete_folder(warehouse.spark, folder)
+    _drop_work_tables(warehouse, [table], ["staging"])
     return warehouse.spark.table(name)
 
 
@@ -90,9 +117,9 @@ def _keep_rejects(checked: dict[str, DataFrame], warehouse: Warehouse, load: int
     warehouse.keep_rejected(reduce(DataFrame.unionByName, [_rejects(table, rows) for table, rows in checked.items()]), load)
 
 
-def _drop_work_tables(warehouse: Warehouse) -> None:
-    for table in DESCRIPTIONS:
-        for kind in ("staging", "checked"):
+def _drop_work_tables(warehouse: Warehouse, tables: Sequence[str] = tuple(DESCRIPTIONS), kinds: Sequence[str] = ("staging", "checked")) -> None:
+    for table in tables:
+        for kind in kinds:
             warehouse.spark.sql(f"DROP TABLE IF EXISTS {warehouse.name(f'{kind}_{table}')}")
 
 
@@ -117,30 +144,34 @@ def load_star(files: SourceFiles, calendar: DataFrame, warehouse: Warehouse) ->
     """Read, check and store all tables anew; returns the rejected rows.
 
     Files are parsed into staging tables and checked into ``checked_`` tables,
-    each once; facts are checked against the new dimensions. All five tables are
+    each once; facts are checked against the new dimensions. Both go as soon as
+    a table's rows, valid and rejected, are written. All five tables are
     written beside the old ones and change places at the end, so readers never
     see an empty or a missing table. Statistics are computed with histograms.
     Rejected rows are kept with the ids of the rules they break.
     """
     load = warehouse.next_load()
-    checked: dict[str, DataFrame] = {}
+    for table in LAYOUTS:  # first of all, so that a load that breaks off keeps its number to itself
+        _enter(table, content_digests(warehouse.spark, table, _paths(getattr(files, table))), warehouse, load)
+    last_keys: dict[str, int] = {}
     written: dict[str, Written] = {"calendar": warehouse.write_dimension("calendar", calendar)}
     for table, paths, keys in (
         ("products", files.products, {"DQ1": ("product_id",), "DQ2": ("sku",)}),
         ("stores", files.stores, {"DQ1": ("store_id",), "DQ3": ("store_code",)}),
     ):
-        checked[table] = _checked(table, _stage(table, paths, warehouse, None), warehouse, keys)
-        written[table] = warehouse.write_dimension(table, _valid(checked[table]))
+        checked = _checked(table, _stage(table, paths, warehouse, None), warehouse, keys)
+        written[table] = warehouse.write_dimension(table, _valid(checked))
+        _keep_rejects({table: checked}, warehouse, load)
+        _drop_work_tables(warehouse, [table])
 
     targets = {name: warehouse.stored(written[name]) for name in ("products", "stores", "calendar")}
     for table in LAYOUTS:
-        paths = _paths(getattr(files, table))
-        _enter(table, content_digests(warehouse.spark, table, paths), warehouse, load)
-        staged = _stage(table, paths, warehouse, KEYS[table])
-        checked[table] = _checked(table, staged, warehouse, FACT_KEYS[table], targets)
-        written[table] = warehouse.write_fact(table, _complete(table, _valid(checked[table])), load)
-    _keep_rejects(checked, warehouse, load)
-    last_keys = {table: _last_key(checked[table], table) for table in LAYOUTS}
+        staged = _stage(table, _paths(getattr(files, table)), warehouse, KEYS[table])
+        checked = _checked(table, staged, warehouse, FACT_KEYS[table], targets)
+        written[table] = warehouse.write_fact(table, _complete(table, _valid(checked)), load, stored=True)
+        _keep_rejects({table: checked}, warehouse, load)
+        last_keys[table] = _last_key(checked, table)
+        _drop_work_tables(warehouse, [table])
     for table in ("calendar", "products", "stores"):
         warehouse.switch(table, written[table], comment=DESCRIPTIONS[table])
     for table in LAYOUTS:
@@ -191,7 +222,7 @@ def append(table: str, paths: str | Sequence[str], warehouse: Warehouse) -> Data
     targets = {name: warehouse.table(name) for name in ("products", "stores", "calendar")}
     stored = _stored_months(table, staged, warehouse) if FACT_KEYS[table] else None
     checked = _checked(table, staged, warehouse, FACT_KEYS[table], targets, stored)
-    written = warehouse.write_fact(table, _complete(table, _valid(checked)), load)
+    written = warehouse.write_fact(table, _complete(table, _valid(checked)), load, stored=True)
     _keep_rejects({table: checked}, warehouse, load)
     warehouse.switch_fact(table, written, load, True, _last_key(checked, table))
     _drop_work_tables(warehouse)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillscope.sources.schema import CSV_HEADERS, DEFAULTS, KEYS, STOCK_VALUE, TABLES
+from tillscope.sources.shared import shuffles_deleted
 
 CORRUPT = "corrupt_record"
 # What an unquoted empty field is read as before it becomes NULL. It differs
@@ -86,13 +87,18 @@ def read_inventory(spark: SparkSession, path: str, **options) -> DataFrame:
     return read_csv(spark, "inventory", path, **options)
 
 
-def write_csv(df: DataFrame, table: str, path: str) -> None:
-    """Write a table's exchange columns under their file headers, blanks kept."""
+def write_csv(df: DataFrame, table: str, path: str, compression: str = "none") -> None:
+    """Write a table's exchange columns under their file headers, blanks kept.
+
+    A file with ``compression`` is read by one task; there is one for each task that wrote.
+    """
     columns = [F.col(col).alias(head) for head, col in CSV_HEADERS[table].items()]
     writer = df.select(*columns).write.mode("overwrite").options(
-        header=True, encoding="UTF-8", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    )
-    writer.csv(path)
+        header=True, encoding="UTF-8", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        compression=compression,
+    )
+    with shuffles_deleted(df.sparkSession):
+        writer.csv(path)
 
 
 def with_defaults(df: DataFrame, table: str) -> DataFrame:

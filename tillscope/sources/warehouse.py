@@ -179,7 +179,7 @@ class Warehouse(VersionedTables):
         Rows are computed once, into a folder that goes at the end, unless they are ``stored`` already. From there they are
         exchanged and written a range of dates after the other, so never more than one range lies in shuffle files.
         """
-        folder = self._folder(f"rows_{uuid.uuid4().hex[:16]}")
+        folder = self.work_folder()
         with shuffles_deleted(self.spark):
             try:
                 rows = df if stored else materialized(df, folder, COMPACT)
@@ -191,6 +191,10 @@ class Warehouse(VersionedTables):
             finally:
                 delete_folder(self.spark, folder)
 
+    def work_folder(self) -> str:
+        """A new, unused folder for rows on their way; a vacuum deletes what a change that broke off left in one."""
+        return self._folder(f"rows_{uuid.uuid4().hex[:16]}")
+
     def loads(self, table: str) -> set[int]:
         """Numbers of the loads that the current version of a fact was made from."""
         return from_ranges(self.properties(table).get(LOADS, "")) if self.exists(table) else set()
@@ -337,7 +341,7 @@ class Warehouse(VersionedTables):
         """Store rejected rows (``table_name, broken_rules, source_row``) of a load beside those of others."""
         self._logs("rejected", self._REJECTED)
         numbered = rows.select(F.lit(load).alias("load"), "table_name", "broken_rules", "source_row")
-        numbered.write.mode("append").parquet(f"{self.place}/rejected")
+        numbered.write.mode("append").options(**COMPACT).parquet(f"{self.place}/rejected")
 
     def rejected(self, load: int | None = None) -> DataFrame:
         """Rejected rows of all loads that the facts hold, or of one load."""
